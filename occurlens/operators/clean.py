@@ -79,26 +79,47 @@ def is_consummated(status: Column) -> Column:
 
 
 def clean_columns() -> list[Column]:
-    """The 16 clean columns as expressions over the raw columns."""
+    """The 16 clean columns as expressions over the raw columns.
+
+    Built in two projections: the first trims, null-maps, casts and parses
+    each input once; the second derives type, brand, period and the
+    normalised neighbourhood from those values. Catalyst keeps the two
+    projections apart because the staged values are not cheap and are read
+    more than once (a single nested projection would re-evaluate them inside
+    every CASE branch).
+    """
+    return _final_columns()
+
+
+def _staged_columns() -> list[Column]:
     typed = typed_columns()
     text = text_columns()
-    hora = typed["hora"]
     return [
-        typed["ano_bo"].alias("ano_bo"),
-        typed["ano"].alias("ano"),
-        typed["mes"].alias("mes"),
-        text["NOME_MUNICIPIO_CIRC"].alias("municipio"),
-        text["CIDADE"].alias("cidade"),
-        normalize_bairro(text["BAIRRO"]).alias("bairro"),
-        crime_type(text["RUBRICA"]).alias("tipo_crime"),
-        text["RUBRICA"].alias("rubrica"),
-        text["DESCR_TIPOLOCAL"].alias("tipo_local"),
-        brand(text["MARCA_OBJETO"]).alias("marca"),
-        hora.alias("hora"),
+        *[text[c].alias(c) for c in C.TEXT_COLUMNS],
+        *[typed[c].alias(c) for c in ("ano_bo", "ano", "mes", "latitude", "longitude",
+                                      "hora", "data_ocorrencia")],
+        F.col(C.LINEAGE_COLUMN),
+    ]
+
+
+def _final_columns() -> list[Column]:
+    hora = F.col("hora")
+    return [
+        F.col("ano_bo"),
+        F.col("ano"),
+        F.col("mes"),
+        F.col("NOME_MUNICIPIO_CIRC").alias("municipio"),
+        F.col("CIDADE").alias("cidade"),
+        normalize_bairro("BAIRRO").alias("bairro"),
+        crime_type("RUBRICA").alias("tipo_crime"),
+        F.col("RUBRICA").alias("rubrica"),
+        F.col("DESCR_TIPOLOCAL").alias("tipo_local"),
+        brand("MARCA_OBJETO").alias("marca"),
+        hora,
         period(hora).alias("periodo"),
-        typed["latitude"].alias("latitude"),
-        typed["longitude"].alias("longitude"),
-        typed["data_ocorrencia"].alias("data_ocorrencia"),
+        F.col("latitude"),
+        F.col("longitude"),
+        F.col("data_ocorrencia"),
         F.col(C.LINEAGE_COLUMN).alias("arquivo_origem"),
     ]
 
@@ -107,5 +128,5 @@ def clean(raw: DataFrame, years: int | Iterable[int] | None = None,
           date_mode: str = "compat") -> DataFrame:
     """Raw -> clean: year filter, date filter, consummated filter, one projection."""
     df = filter_valid_dates(filter_years(raw, years), date_mode)
-    df = df.filter(is_consummated(clean_text("FLAG_STATUS")))
-    return df.select(*clean_columns())
+    staged = df.select(*_staged_columns()).filter(is_consummated(F.col("FLAG_STATUS")))
+    return staged.select(*_final_columns())

@@ -45,3 +45,278 @@ def _kpi_query(name: str) -> Query:
 
 for _name in K.KPI_FUNCTIONS:
     REGISTRY[_name] = (_kpi_query(_name), O.with_raw(O.KPI_SQL[_name]))
+
+
+# ---------------------------------------------------------------------------
+# Cleaning rules, one query each (row level, over every raw row)
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .. import functions as FN  # noqa: E402
+from ..operators import views as V  # noqa: E402
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_from_tables(spark, sf_dir)
+
+
+@register("clean_casts", O.with_raw(
+    f"select {O.tolerant_int('ANO_BO')} as ano_bo, {O.tolerant_int('NUM_BO')} as num_bo,"
+    f" {O.tolerant_int('MES')} as mes, {O.tolerant_int('ANO')} as ano,"
+    f" {O.tolerant_double('LATITUDE')} as latitude, {O.tolerant_double('LONGITUDE')} as longitude"
+    f" from raw", clean=False))
+def clean_casts(spark, sf_dir):
+    t = CL.typed_columns()
+    return _raw(spark, sf_dir).select(*[t[c].alias(c) for c in
+                                        ("ano_bo", "num_bo", "mes", "ano", "latitude", "longitude")])
+
+
+@register("clean_valid_dates", O.with_raw(f"select * from raw where {O.date_filter('compat')}", clean=False))
+def clean_valid_dates(spark, sf_dir):
+    return CL.filter_valid_dates(_raw(spark, sf_dir), "compat")
+
+
+@register("clean_valid_dates_parsed",
+          O.with_raw(f"select * from raw where {O.date_filter('parsed')}", clean=False))
+def clean_valid_dates_parsed(spark, sf_dir):
+    return CL.filter_valid_dates(_raw(spark, sf_dir), "parsed")
+
+
+@register("clean_consummated", O.with_raw(
+    f"select NUM_BO, FLAG_STATUS from raw where upper({O.clean_text('FLAG_STATUS')}) = 'CONSUMADO'",
+    clean=False))
+def clean_consummated(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return raw.filter(CL.is_consummated(FN.clean_text("FLAG_STATUS"))).select("NUM_BO", "FLAG_STATUS")
+
+
+@register("clean_one_year", O.with_raw("select * from clean", year=1998))
+def clean_one_year(spark, sf_dir):
+    return CL.clean(_raw(spark, sf_dir), years=1998)
+
+
+@register("clean_full", O.with_raw("select * from clean"))
+def clean_full(spark, sf_dir):
+    return _clean(spark, sf_dir)
+
+
+@register("clean_parsed_dates", O.with_raw("select * from clean", date_mode="parsed"))
+def clean_parsed_dates(spark, sf_dir):
+    return CL.clean(_raw(spark, sf_dir), date_mode="parsed")
+
+
+@register("clean_strings", O.with_raw(
+    "select " + ", ".join(f"{O.clean_text(c)} as {c}" for c in C.TEXT_COLUMNS) + " from raw", clean=False))
+def clean_strings(spark, sf_dir):
+    t = CL.text_columns()
+    return _raw(spark, sf_dir).select(*[t[c].alias(c) for c in C.TEXT_COLUMNS])
+
+
+@register("clean_hour", O.with_raw(
+    f"select HORA_OCORRENCIA, {O.parse_hour('HORA_OCORRENCIA')} as hora from raw", clean=False))
+def clean_hour(spark, sf_dir):
+    return _raw(spark, sf_dir).select("HORA_OCORRENCIA", FN.parse_hour("HORA_OCORRENCIA").alias("hora"))
+
+
+@register("clean_dates", O.with_raw(
+    f"select DATA_OCORRENCIA_BO, {O.parse_date('DATA_OCORRENCIA_BO')} as data_ocorrencia from raw",
+    clean=False))
+def clean_dates(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "DATA_OCORRENCIA_BO", FN.parse_date("DATA_OCORRENCIA_BO").alias("data_ocorrencia"))
+
+
+@register("derive_tipo_crime", O.with_raw(
+    f"select RUBRICA, {O.crime_type(O.clean_text('RUBRICA'))} as tipo_crime from raw", clean=False))
+def derive_tipo_crime(spark, sf_dir):
+    return _raw(spark, sf_dir).select("RUBRICA", FN.crime_type(FN.clean_text("RUBRICA")).alias("tipo_crime"))
+
+
+@register("derive_brand", O.with_raw(
+    f"select MARCA_OBJETO, {O.brand(O.clean_text('MARCA_OBJETO'))} as marca from raw", clean=False))
+def derive_brand(spark, sf_dir):
+    return _raw(spark, sf_dir).select("MARCA_OBJETO", FN.brand(FN.clean_text("MARCA_OBJETO")).alias("marca"))
+
+
+@register("normalize_bairro", O.with_raw(
+    f"select BAIRRO, {O.normalize_bairro(O.clean_text('BAIRRO'))} as bairro from raw", clean=False))
+def normalize_bairro(spark, sf_dir):
+    return _raw(spark, sf_dir).select("BAIRRO", FN.normalize_bairro(FN.clean_text("BAIRRO")).alias("bairro"))
+
+
+@register("derive_period", O.with_raw(
+    f"select hora, {O.period('hora')} as periodo from (select {O.parse_hour('HORA_OCORRENCIA')} as hora"
+    f" from raw)", clean=False))
+def derive_period(spark, sf_dir):
+    hora = _raw(spark, sf_dir).select(FN.parse_hour("HORA_OCORRENCIA").alias("hora"))
+    return hora.select("hora", FN.period("hora").alias("periodo"))
+
+
+# ---------------------------------------------------------------------------
+# Dashboard views over the KPI tables
+# ---------------------------------------------------------------------------
+
+def _kpi_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    clean = _clean(spark, sf_dir)
+    return [K.kpi(clean, n) for n in names]
+
+
+_YOY_SQL = (
+    "select ano, tipo_crime, total, case when prev is not null and prev <> 0"
+    " then (total - prev) / prev * 100 end as variacao_yoy_pct from (select ano, tipo_crime, total,"
+    " lag(total) over (partition by coalesce(tipo_crime, '__sem_tipo__') order by ano nulls first) as prev"
+    " from kpi_annual_summary)")
+
+
+def _cards_ctes(where: str = "true", ano: int | None = None) -> list[tuple[str, str]]:
+    ref = f"{ano}" if ano is not None else "(select max(ano) from py where ano <> 0)"
+    return [
+        ("y", _YOY_SQL),
+        ("d", f"select * from y where {where}"),
+        ("py", "select ano, sum(total) as t, sum(case when tipo_crime = 'Furto' then total end) as f,"
+               " sum(case when tipo_crime = 'Roubo' then total end) as r,"
+               " avg(coalesce(variacao_yoy_pct, 0)) as yy from d group by ano"),
+        ("c", "select cast(coalesce(sum(t), 0) as bigint) as total, cast(coalesce(sum(f), 0) as bigint) as furtos,"
+              f" cast(coalesce(sum(r), 0) as bigint) as roubos, (select max(yy) from py where ano = {ref})"
+              " as variacao_yoy_media from py"),
+    ]
+
+
+_CARDS_BODY = ("select *, case when variacao_yoy_media is null then null when variacao_yoy_media > 0"
+               " then 'up' else 'down' end as direcao from c")
+
+
+def _kpi_body(body: str, *tables: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return O.with_raw(body, [(t, O.KPI_SQL[t]) for t in tables] + (extra or []))
+
+
+@register("view_cards", _kpi_body(_CARDS_BODY, C.KPI_ANNUAL, extra=_cards_ctes()))
+def view_cards(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.cards(annual)
+
+
+@register("view_filtered", _kpi_body(_CARDS_BODY, C.KPI_ANNUAL,
+                                    extra=_cards_ctes("ano = 1998 and tipo_crime = 'Furto'", 1998)))
+def view_filtered(spark, sf_dir):
+    """Drill-down: clicking a year bar and the theft slice filters the cards."""
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.cards(annual, ano=1998, tipo=C.CRIME_THEFT)
+
+
+@register("view_yoy", _kpi_body(_YOY_SQL, C.KPI_ANNUAL))
+def view_yoy(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.yoy_recomputed(annual)
+
+
+@register("view_annual_pivot", _kpi_body(
+    "select ano, cast(coalesce(sum(case when tipo_crime = 'Furto' then total end), 0) as bigint) as furto,"
+    " cast(coalesce(sum(case when tipo_crime = 'Roubo' then total end), 0) as bigint) as roubo"
+    " from kpi_annual_summary group by ano", C.KPI_ANNUAL))
+def view_annual_pivot(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.annual_pivot(annual)
+
+
+_MONTH_LABELS_SQL = "[" + ", ".join(f"'{m}'" for m in C.MONTH_LABELS) + "]"
+
+
+@register("view_monthly", _kpi_body(
+    f"select cast(m.mes as integer) as mes, {_MONTH_LABELS_SQL}[m.mes] as mes_rotulo,"
+    " cast(coalesce(sum(k.total), 0) as bigint) as total"
+    " from (select range as mes from range(1, 13)) m left join kpi_monthly k"
+    " on coalesce(nullif(k.mes, 0), 1) = m.mes group by m.mes", C.KPI_MONTHLY))
+def view_monthly(spark, sf_dir):
+    (monthly,) = _kpi_tables(spark, sf_dir, C.KPI_MONTHLY)
+    return V.monthly(monthly)
+
+
+@register("view_hourly", _kpi_body(
+    "select cast(h.hora as integer) as hora, lpad(cast(h.hora as varchar), 2, '0') || 'h' as rotulo,"
+    " case when h.hora < 6 then 'Madrugada' when h.hora < 12 then 'Manhã' when h.hora < 18 then 'Tarde'"
+    " else 'Noite' end as faixa, cast(coalesce(sum(k.total), 0) as bigint) as total"
+    " from (select range as hora from range(24)) h left join kpi_by_hour k on k.hora = h.hora"
+    " group by h.hora", C.KPI_HOUR))
+def view_hourly(spark, sf_dir):
+    (hour,) = _kpi_tables(spark, sf_dir, C.KPI_HOUR)
+    return V.hourly(hour)
+
+
+def _top_sql(table: str, key: str, k: int) -> str:
+    return (f"select {key}, cast(sum(total) as bigint) as total from {table} group by {key}"
+            f" order by total desc, {key} asc nulls first limit {k}")
+
+
+@register("view_top_brands", _kpi_body(_top_sql(C.KPI_BRAND, "marca", C.VIEW_TOP_BRANDS), C.KPI_BRAND))
+def view_top_brands(spark, sf_dir):
+    (brand,) = _kpi_tables(spark, sf_dir, C.KPI_BRAND)
+    return V.top_brands(brand)
+
+
+@register("view_top_locations", _kpi_body(
+    _top_sql(C.KPI_LOCATION, "tipo_local", C.VIEW_TOP_LOCATIONS), C.KPI_LOCATION))
+def view_top_locations(spark, sf_dir):
+    (loc,) = _kpi_tables(spark, sf_dir, C.KPI_LOCATION)
+    return V.top_locations(loc)
+
+
+def _ranking_sql(table: str, key: str, k: int) -> str:
+    return (f"select row_number() over (order by total desc, {key} asc nulls first) as posicao, {key}, total,"
+            f" round(total / coalesce(nullif(max(total) over (), 0), 1) * 100, 1) as pct_max"
+            f" from ({_top_sql(table, key, k)})")
+
+
+@register("view_municipality_ranking", _kpi_body(
+    _ranking_sql(C.KPI_MUNICIPALITY, "municipio", C.VIEW_TOP_MUNICIPALITIES), C.KPI_MUNICIPALITY))
+def view_municipality_ranking(spark, sf_dir):
+    (mun,) = _kpi_tables(spark, sf_dir, C.KPI_MUNICIPALITY)
+    return V.municipality_ranking(mun)
+
+
+@register("view_bairro_ranking", _kpi_body(
+    _ranking_sql(C.KPI_BAIRRO, "bairro", C.VIEW_TOP_BAIRROS), C.KPI_BAIRRO))
+def view_bairro_ranking(spark, sf_dir):
+    (b,) = _kpi_tables(spark, sf_dir, C.KPI_BAIRRO)
+    return V.bairro_ranking(b)
+
+
+@register("view_type_split", _kpi_body(
+    "select furtos, roubos, furtos + roubos as total,"
+    " round(furtos / nullif(furtos + roubos, 0) * 100, 1) as pct_furto,"
+    " round(roubos / nullif(furtos + roubos, 0) * 100, 1) as pct_roubo from ("
+    " select cast(coalesce(sum(case when tipo_crime = 'Furto' then total end), 0) as bigint) as furtos,"
+    " cast(coalesce(sum(case when tipo_crime = 'Roubo' then total end), 0) as bigint) as roubos"
+    " from kpi_annual_summary)", C.KPI_ANNUAL))
+def view_type_split(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.type_split(annual)
+
+
+@register("view_total_compat", _kpi_body(
+    "select ano, periodo, tipo_crime, cast(coalesce(nullif(total, 0), 0) as bigint) as total"
+    " from kpi_by_period", C.KPI_PERIOD))
+def view_total_compat(spark, sf_dir):
+    (period_kpi,) = _kpi_tables(spark, sf_dir, C.KPI_PERIOD)
+    return V.with_total(period_kpi)
+
+
+@register("dim_years", _kpi_body("select distinct ano from kpi_annual_summary", C.KPI_ANNUAL))
+def dim_years(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.years(annual)
+
+
+@register("dim_bairros", _kpi_body("select distinct bairro from kpi_by_bairro", C.KPI_BAIRRO))
+def dim_bairros(spark, sf_dir):
+    (b,) = _kpi_tables(spark, sf_dir, C.KPI_BAIRRO)
+    return V.bairros(b)
+
+
+@register("meta_period", _kpi_body(
+    f"select max(ano) as ultimo_ano, 'Dados: {C.FIRST_YEAR_LABEL}–' || cast(max(ano) as varchar)"
+    " || ' | Fonte: SSP-SP' as rotulo from kpi_annual_summary", C.KPI_ANNUAL))
+def meta_period(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.period_covered(annual)
