@@ -39,6 +39,15 @@ def filter_years(raw: DataFrame, years: int | Iterable[int] | None) -> DataFrame
     return raw.filter(year_column(raw).isin(years))
 
 
+def valid_date(mode: str = "compat") -> Column:
+    """Predicate of ``filter_valid_dates``."""
+    if mode == "compat":
+        return F.col("DATA_OCORRENCIA_BO") >= F.lit(C.MIN_DATE_STRING)
+    if mode == "parsed":
+        return parse_date("DATA_OCORRENCIA_BO") >= F.lit(C.MIN_DATE_STRING).cast("date")
+    raise ValueError(f"mode must be one of {DATE_FILTER_MODES}")
+
+
 def filter_valid_dates(raw: DataFrame, mode: str = "compat") -> DataFrame:
     """Drop rows before 1900-01-01.
 
@@ -47,11 +56,7 @@ def filter_valid_dates(raw: DataFrame, mode: str = "compat") -> DataFrame:
     passes); it is pushed to the Parquet scan. ``parsed`` parses the date
     first and drops unparsable and earlier dates.
     """
-    if mode == "compat":
-        return raw.filter(F.col("DATA_OCORRENCIA_BO") >= F.lit(C.MIN_DATE_STRING))
-    if mode == "parsed":
-        return raw.filter(parse_date("DATA_OCORRENCIA_BO") >= F.lit(C.MIN_DATE_STRING).cast("date"))
-    raise ValueError(f"mode must be one of {DATE_FILTER_MODES}")
+    return raw.filter(valid_date(mode))
 
 
 def typed_columns() -> dict[str, Column]:

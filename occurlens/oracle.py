@@ -101,8 +101,8 @@ def date_filter(mode: str = "compat") -> str:
 
 
 def with_raw(body: str, extra_ctes: list[tuple[str, str]] | None = None, clean: bool = True,
-             date_mode: str = "compat", year: int | None = None) -> str:
-    ctes = [("raw", raw_sql())]
+             date_mode: str = "compat", year: int | None = None, extended: bool = False) -> str:
+    ctes = [("raw", raw_sql(extended))]
     if clean:
         ctes.append(("clean", clean_select("raw", date_mode, year)))
     ctes += extra_ctes or []

@@ -320,3 +320,318 @@ def dim_bairros(spark, sf_dir):
 def meta_period(spark, sf_dir):
     (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
     return V.period_covered(annual)
+
+
+# ---------------------------------------------------------------------------
+# Sources on files (written by Spark from the tables, then read back)
+# ---------------------------------------------------------------------------
+
+from ..operators import extras as X  # noqa: E402
+from ..operators import quality as QY  # noqa: E402
+from ..schema import RAW_COLUMNS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks import tables as SK  # noqa: E402
+from ..sources import files as SF  # noqa: E402
+from ..sources.fixture import BLANK_YEAR_FILE, raw_blank_year  # noqa: E402
+from . import pipeline as PL  # noqa: E402
+
+_EXPORT_GLOB = "part-*"
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> str:
+    """Yearly source files under ``ARQUIVO_ORIGEM=<origin>`` folders; the
+    blank-year origin is written without its ANO and MES columns."""
+    root = scratch_path(spark, "source-files")
+    return SF.export_source_files(_raw(spark, sf_dir), root, drop={BLANK_YEAR_FILE: ["ANO", "MES"]})
+
+
+_DERIVED_SQL = ", ".join(
+    f"case when f.blank then coalesce(cast({fn}({O.parse_date('r.DATA_OCORRENCIA_BO')}) as varchar), '')"
+    f" else r.{c} end as {c}" if c in ("ANO", "MES") else f"r.{c}"
+    for c, fn in [(c, {"ANO": "year", "MES": "month"}.get(c)) for c in RAW_COLUMNS])
+_DERIVED_CTES = [("flags", "select ARQUIVO_ORIGEM, bool_and(ANO = '') as blank from raw0 group by 1")]
+_DERIVED_BODY = f"select {_DERIVED_SQL} from raw0 r left join flags f using (ARQUIVO_ORIGEM)"
+
+
+@register("raw_ingest", O.with_raw_blank_year(_DERIVED_BODY, _DERIVED_CTES))
+def raw_ingest(spark, sf_dir):
+    return SF.read_occurrence_files(spark, _exported(spark, sf_dir), _EXPORT_GLOB)
+
+
+@register("raw_projection", O.with_raw_blank_year("select * from raw0"))
+def raw_projection(spark, sf_dir):
+    return SF.read_occurrence_files(spark, _exported(spark, sf_dir), _EXPORT_GLOB, derive_year=False)
+
+
+@register("raw_derive_year_month", O.with_raw_blank_year(_DERIVED_BODY, _DERIVED_CTES))
+def raw_derive_year_month(spark, sf_dir):
+    return SF.derive_year_month(raw_blank_year(_raw(spark, sf_dir)))
+
+
+@register("schema_drift", O.with_raw(
+    f"select distinct ARQUIVO_ORIGEM as arquivo, 'MES,ANO' as colunas_ausentes from raw"
+    f" where ARQUIVO_ORIGEM = '{BLANK_YEAR_FILE}'", clean=False))
+def schema_drift(spark, sf_dir):
+    return SF.schema_drift(spark, _exported(spark, sf_dir), _EXPORT_GLOB)
+
+
+# ---------------------------------------------------------------------------
+# Pipeline, sinks, refresh
+# ---------------------------------------------------------------------------
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> PL.Layout:
+    layout = PL.Layout(scratch_path(spark, "pipeline"))
+    PL.run_pipeline(spark, layout, _raw(spark, sf_dir))
+    return layout
+
+
+@register("load_report", _kpi_body(" union all ".join(
+    f"select '{t}' as tabela, count(*) as linhas, 'OK' as status from {t}" for t in K.KPI_FUNCTIONS),
+    *K.KPI_FUNCTIONS))
+def load_report(spark, sf_dir):
+    layout = PL.Layout(scratch_path(spark, "pipeline"))
+    report = PL.run_pipeline(spark, layout, _raw(spark, sf_dir))
+    return SK.load_report(spark, report.loads)
+
+
+@register("kpi_refresh_year", _kpi_body(f"select * from {C.KPI_ANNUAL}", C.KPI_ANNUAL))
+def kpi_refresh_year(spark, sf_dir):
+    """Full run, then a refresh of 1998 and 1999 (one job); the published
+    annual table must equal a full computation."""
+    layout = _pipeline(spark, sf_dir)
+    PL.refresh_years(spark, layout, [1998, 1999])
+    return SK.read_kpi(spark, layout.published, C.KPI_ANNUAL)
+
+
+@register("discover_years", O.with_raw(
+    f"select distinct {O.tolerant_int('ANO')} as ano from raw where {O.tolerant_int('ANO')} is not null",
+    clean=False))
+def discover_years(spark, sf_dir):
+    layout = PL.Layout(scratch_path(spark, "pipeline"))
+    PL.ingest(_raw(spark, sf_dir), layout)
+    return PL.discover_years(spark, layout)
+
+
+@register("null_out_nan", _kpi_body(
+    "select ano, tipo_crime, cast(total as integer) as total,"
+    " cast(variacao_yoy_pct as decimal(6,2)) as variacao_yoy_pct from kpi_annual_summary", C.KPI_ANNUAL))
+def null_out_nan(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return SK.to_sink_types(annual, C.KPI_ANNUAL)
+
+
+@register("hour_grid", O.with_raw(
+    "select ano, tipo_crime, hora from (select distinct ano, tipo_crime from clean)"
+    " cross join (select cast(range as integer) as hora from range(24))"))
+def hour_grid(spark, sf_dir):
+    pairs = _clean(spark, sf_dir).select("ano", "tipo_crime").distinct()
+    return pairs.select("ano", "tipo_crime", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora"))
+
+
+# ---------------------------------------------------------------------------
+# Quality
+# ---------------------------------------------------------------------------
+
+_DATE_OK = O.date_filter("compat")
+_CONS = f"upper({O.clean_text('FLAG_STATUS')}) = 'CONSUMADO'"
+
+
+@register("clean_quality", O.with_raw(
+    f"select count(*) as linhas_brutas, count_if({_DATE_OK}) as linhas_validas,"
+    f" count_if({_DATE_OK} and {_CONS}) as linhas_limpas,"
+    f" case when count(*) > 0 then round(count_if({_DATE_OK} and {_CONS}) / count(*) * 100, 1) else 0.0 end"
+    f" as pct_retido from raw", clean=False))
+def clean_quality(spark, sf_dir):
+    return QY.clean_quality(_raw(spark, sf_dir))
+
+
+@register("dist_tipo_crime", O.with_raw("select tipo_crime, count(*) as total from clean group by 1"))
+def dist_tipo_crime(spark, sf_dir):
+    return QY.dist_tipo_crime(_clean(spark, sf_dir))
+
+
+@register("dist_top_brands", O.with_raw(
+    "select marca, count(*) as total from clean group by 1 order by total desc, marca asc nulls first limit 10"))
+def dist_top_brands(spark, sf_dir):
+    return QY.dist_top_brands(_clean(spark, sf_dir))
+
+
+def _integrity_sql() -> str:
+    from ..schema import KPI_KEYS  # noqa: PLC0415
+    parts = []
+    for t, keys in KPI_KEYS.items():
+        anynull = " or ".join(f"{k} is null" for k in keys)
+        parts.append(
+            f"select '{t}' as tabela, cast(coalesce(sum(n), 0) as bigint) as linhas,"
+            f" cast(count(*) filter (where n > 1) as bigint) as chaves_duplicadas,"
+            f" cast(coalesce(sum(case when nulo then n end), 0) as bigint) as chaves_nulas"
+            f" from (select {', '.join(keys)}, count(*) as n, bool_or({anynull}) as nulo from {t}"
+            f" group by {', '.join(keys)})")
+    return " union all ".join(parts)
+
+
+@register("kpi_integrity", _kpi_body(_integrity_sql(), *K.KPI_FUNCTIONS))
+def kpi_integrity(spark, sf_dir):
+    return QY.kpi_integrity(K.compute_kpis(_clean(spark, sf_dir)))
+
+
+def _reconcile_sql() -> str:
+    per = O.period("h.hora")
+    rows = [
+        "select 'anual_soma_igual_linhas_limpas' as verificacao, (select count(*) from clean) as esperado,"
+        f" (select coalesce(sum(total), 0) from {C.KPI_ANNUAL}) as obtido",
+    ]
+    for t in (C.KPI_MONTHLY, C.KPI_PERIOD):
+        rows.append(
+            f"select '{t}_nao_excede_anual', 0, (select count(*) from (select ano, tipo_crime, sum(total) as p"
+            f" from {t} group by all) m left join (select ano, tipo_crime, sum(total) as a"
+            f" from {C.KPI_ANNUAL} group by all) a on m.ano = a.ano and m.tipo_crime = a.tipo_crime"
+            f" where m.p > coalesce(a.a, 0))")
+    rows.append(
+        "select 'periodo_igual_horas_agrupadas', 0, (select count(*) from"
+        f" (select h.ano, {per} as periodo, h.tipo_crime, sum(h.total) as s from {C.KPI_HOUR} h"
+        f"  where h.ano is not null group by all) r full join (select * from {C.KPI_PERIOD}"
+        "  where ano is not null) p on r.ano = p.ano and r.periodo = p.periodo and r.tipo_crime = p.tipo_crime"
+        " where coalesce(r.s, 0) <> coalesce(p.total, 0))")
+    rows.append(
+        f"select 'horas_24_por_grupo', (select 24 * count(*) from (select distinct ano, tipo_crime"
+        f" from {C.KPI_HOUR})), (select count(*) from {C.KPI_HOUR})")
+    body = " union all ".join(rows)
+    return (f"select verificacao, cast(esperado as bigint) as esperado, cast(obtido as bigint) as obtido,"
+            f" cast(esperado as bigint) = cast(obtido as bigint) as ok from ({body})")
+
+
+@register("kpi_reconcile", _kpi_body(_reconcile_sql(), *K.KPI_FUNCTIONS))
+def kpi_reconcile(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    return QY.kpi_reconcile(clean, K.compute_kpis(clean))
+
+
+# ---------------------------------------------------------------------------
+# Specified extras
+# ---------------------------------------------------------------------------
+
+@register("annual_share", O.with_raw(
+    "select ano, count(*) as total_ocorrencias, count_if(tipo_crime = 'Furto') as total_furtos,"
+    " count_if(tipo_crime = 'Roubo') as total_roubos,"
+    " round(count_if(tipo_crime = 'Roubo') / count(*) * 100, 2) as pct_roubo from clean group by ano"))
+def annual_share(spark, sf_dir):
+    return X.annual_share(_clean(spark, sf_dir))
+
+
+@register("peak_hour", _kpi_body(
+    "select ano, hora as hora_pico, total from (select ano, hora, cast(sum(total) as bigint) as total,"
+    " row_number() over (partition by ano order by sum(total) desc, hora asc) as rn from kpi_by_hour"
+    " group by ano, hora) where rn = 1", C.KPI_HOUR))
+def peak_hour(spark, sf_dir):
+    (hour,) = _kpi_tables(spark, sf_dir, C.KPI_HOUR)
+    return X.peak_hour(hour)
+
+
+@register("status_split", O.with_raw(
+    f"select {O.tolerant_int('ANO')} as ano, upper({O.clean_text('FLAG_STATUS')}) as status, count(*) as total"
+    f" from raw where {_DATE_OK} group by all", clean=False))
+def status_split(spark, sf_dir):
+    return X.status_split(_raw(spark, sf_dir))
+
+
+def _topn_sql() -> str:
+    keep = {"marca": "marca <> 'Outras'",
+            "tipo_local": "tipo_local is not null and upper(tipo_local) <> 'NAO INFORMADO'",
+            "municipio": "municipio is not null",
+            "bairro": "municipio = 'S.PAULO' and bairro is not null and upper(bairro) <> 'NAO INFORMADO'"}
+    parts = []
+    for dim, n in X.TOPN_PER_YEAR:
+        parts.append(
+            f"select ano, '{dim}' as dimensao, cast({dim} as varchar) as valor, total, cast(posicao as integer)"
+            f" as posicao from (select ano, {dim}, count(*) as total, rank() over (partition by ano"
+            f" order by count(*) desc) as posicao from clean where {keep[dim]} group by ano, {dim})"
+            f" where posicao <= {n}")
+    return " union all ".join(parts)
+
+
+@register("topn_per_year", O.with_raw(_topn_sql()))
+def topn_per_year(spark, sf_dir):
+    return X.topn_per_year(_clean(spark, sf_dir))
+
+
+@register("brand_evolution", O.with_raw(
+    "select ano, marca, total, cast(posicao as integer) as posicao,"
+    " cast(lag(posicao) over (partition by marca order by ano nulls first) as integer) as posicao_anterior,"
+    " cast(lag(posicao) over (partition by marca order by ano nulls first) - posicao as integer)"
+    " as variacao_posicao from (select ano, marca, count(*) as total,"
+    " rank() over (partition by ano order by count(*) desc) as posicao from clean where marca <> 'Outras'"
+    " group by ano, marca)"))
+def brand_evolution(spark, sf_dir):
+    return X.brand_evolution(_clean(spark, sf_dir))
+
+
+@register("municipality_history", O.with_raw(
+    "select b.municipio, b.ano, b.total,"
+    " lag(b.total) over (partition by b.municipio order by b.ano nulls first) as total_anterior,"
+    " round((b.total - lag(b.total) over (partition by b.municipio order by b.ano nulls first))"
+    " / lag(b.total) over (partition by b.municipio order by b.ano nulls first) * 100, 2) as variacao_yoy_pct,"
+    " s.serie from base b join (select municipio, string_agg(cast(ano as varchar) || ':' || cast(total as varchar),"
+    " ',' order by ano nulls first) as serie from base group by municipio) s on b.municipio = s.municipio",
+    [("base", "select municipio, ano, count(*) as total from clean where municipio is not null group by all")]))
+def municipality_history(spark, sf_dir):
+    return X.municipality_history(_clean(spark, sf_dir))
+
+
+@register("brand_rare_fold", O.with_raw(
+    "select f.ano, case when p.n < 10 then 'Outras' else f.marca end as marca, f.tipo_crime,"
+    " cast(sum(f.total) as bigint) as total from fine f left join pb p on f.ano = p.ano and f.marca = p.marca"
+    " group by all",
+    [("fine", "select ano, marca, tipo_crime, count(*) as total from clean group by all"),
+     ("pb", "select ano, marca, sum(total) as n from fine group by all")]))
+def brand_rare_fold(spark, sf_dir):
+    return X.brand_rare_fold(_clean(spark, sf_dir))
+
+
+_COORDS_OK = "latitude is not null and longitude is not null and latitude <> 0 and longitude <> 0"
+
+
+@register("geo_points", O.with_raw(f"select ano, tipo_crime, latitude, longitude from clean where {_COORDS_OK}"))
+def geo_points(spark, sf_dir):
+    return X.geo_points(_clean(spark, sf_dir))
+
+
+@register("geo_heat", O.with_raw(
+    f"select ano, round(latitude, 2) as lat, round(longitude, 2) as lon, count(*) as total from clean"
+    f" where {_COORDS_OK} group by all"))
+def geo_heat(spark, sf_dir):
+    return X.geo_heat(_clean(spark, sf_dir))
+
+
+@register("period_share", _kpi_body(
+    "select ano, periodo, cast(sum(total) as bigint) as total,"
+    " round(sum(total) / sum(sum(total)) over (partition by ano) * 100, 2) as pct from kpi_by_period"
+    " group by ano, periodo",
+    C.KPI_PERIOD))
+def period_share(spark, sf_dir):
+    (period_kpi,) = _kpi_tables(spark, sf_dir, C.KPI_PERIOD)
+    return X.period_share(period_kpi)
+
+
+@register("flagrante_rate", O.with_raw(
+    f"select {O.tolerant_int('ANO')} as ano, count(*) as total,"
+    f" count_if(upper({O.clean_text('FLAG_FLAGRANTE')}) = 'S') as flagrantes,"
+    f" round(count_if(upper({O.clean_text('FLAG_FLAGRANTE')}) = 'S') / count(*) * 100, 2) as pct_flagrante"
+    f" from raw where {_DATE_OK} and {_CONS} group by 1", clean=False, extended=True))
+def flagrante_rate(spark, sf_dir):
+    return X.flagrante_rate(raw_from_tables(spark, sf_dir, extended=True))
+
+
+@register("by_seccional", O.with_raw(
+    f"select {O.tolerant_int('ANO')} as ano, {O.clean_text('NOME_SECCIONAL_CIRC')} as seccional,"
+    f" count(*) as total, round(count(*) / sum(count(*)) over (partition by {O.tolerant_int('ANO')}) * 100, 2)"
+    f" as pct from raw where {_DATE_OK} and {_CONS} group by 1, 2", clean=False, extended=True))
+def by_seccional(spark, sf_dir):
+    return X.by_seccional(raw_from_tables(spark, sf_dir, extended=True))
+
+
+@register("clean_cep", O.with_raw(
+    f"select * from raw where try_cast({O.clean_text('CEP')} as double) >= {X.MIN_VALID_CEP}",
+    clean=False, extended=True))
+def clean_cep(spark, sf_dir):
+    return X.clean_cep(raw_from_tables(spark, sf_dir, extended=True))

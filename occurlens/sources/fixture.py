@@ -55,6 +55,14 @@ RAW_EXPRESSIONS = [
     "concat('f_', cast(year(l_shipdate) as string)) as ARQUIVO_ORIGEM",
 ]
 
+# Extra source columns for the caught-in-the-act, police-section and
+# postal-code operators (the file format has them; the KPIs do not use them).
+EXTRA_EXPRESSIONS = [
+    "case when l_linenumber = 1 then 'S' when l_orderkey % 11 = 0 then 'NULL' else 'N' end as FLAG_FLAGRANTE",
+    "concat('DEL.SEC. ', cast(c_nationkey % 7 as string), ' ') as NOME_SECCIONAL_CIRC",
+    "case when c_custkey % 13 = 0 then '' else cast(c_custkey * 7919 % 9000000 as string) end as CEP",
+]
+
 # Order date parts used by the date expressions.
 ORDER_DATE_PARTS = [
     "cast(year(o_orderdate) as string) as y",
@@ -67,10 +75,11 @@ ORDER_DATE_PARTS = [
 BLANK_YEAR_FILE = "f_2001"
 
 
-def raw_sql() -> str:
+def raw_sql(extended: bool = False) -> str:
     """The fixture as one SQL query over the base tables (for DuckDB)."""
+    exprs = RAW_EXPRESSIONS + (EXTRA_EXPRESSIONS if extended else [])
     return (
-        "select " + ",\n  ".join(RAW_EXPRESSIONS) + "\n"
+        "select " + ",\n  ".join(exprs) + "\n"
         "from (select l.*, o_orderstatus, o_custkey, " + ", ".join(ORDER_DATE_PARTS) + "\n"
         "      from lineitem l join orders on l_orderkey = o_orderkey) lo\n"
         "join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey\n"
@@ -90,7 +99,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     """The 16-string raw table, one row per line item.
 
     Joins are left to the optimizer: AQE broadcasts a side only when its
@@ -111,7 +120,7 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (lo.join(customer, lo.o_custkey == customer.c_custkey)
               .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
               .join(part, lo.l_partkey == part.p_partkey))
-    return joined.selectExpr(*RAW_EXPRESSIONS)
+    return joined.selectExpr(*RAW_EXPRESSIONS, *(EXTRA_EXPRESSIONS if extended else []))
 
 
 def raw_blank_year(raw: DataFrame) -> DataFrame:
