@@ -31,6 +31,7 @@ MIN_DATE_STRING = "1900-01-01"
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy"]
 # Hour text must start like H:MM or HH:MM.
 HOUR_PATTERN = r"^\d{1,2}:\d{2}"
+HOUR_CAPTURE = r"^(\d{1,2}):\d{2}"  # the same, with the hour captured
 
 CONSUMMATED = "CONSUMADO"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,13 +29,28 @@ def tolerant_double(c: Column | str) -> Column:
 
 
 def parse_hour(c: Column | str) -> Column:
-    """Hour of 'H:MM' / 'HH:MM[:SS]' text; null otherwise. May exceed 23."""
-    c = _col(c)
-    return (F.when(c.rlike(C.HOUR_PATTERN), F.split(c, ":").getItem(0).try_cast("int"))
-            .otherwise(F.lit(None).cast("int")))
+    """Hour of 'H:MM' / 'HH:MM[:SS]' text; null otherwise. May exceed 23.
+
+    One regex and one reference to the input: a consumer filter that is
+    pushed below the projection inlines it once, not once per branch."""
+    return F.regexp_extract(_col(c), C.HOUR_CAPTURE, 1).try_cast("int")
+
+
+def format_guard(c: Column, fmt: str) -> Column:
+    """Necessary condition for ``c`` to parse with a numeric datetime
+    pattern: it holds only digits and the pattern's literal characters, and
+    every literal appears. Parsing is only attempted where this holds, so a
+    text in another format costs a character scan instead of a failed parse
+    (which raises and catches an exception inside the parser)."""
+    literals = sorted({ch for ch in fmt if not ch.isalpha()})
+    allowed = "".join(re.escape(ch) if ch != "-" else r"\-" for ch in literals)
+    cond = c.rlike(f"^[0-9{allowed}]+$")
+    for ch in literals:
+        cond = cond & c.contains(ch)
+    return cond
 
 
 def parse_date(c: Column | str) -> Column:
     """First of the accepted date formats that parses; null if none does."""
     c = _col(c)
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in C.DATE_FORMATS])
+    return F.coalesce(*[F.when(format_guard(c, fmt), F.try_to_date(c, fmt)) for fmt in C.DATE_FORMATS])

@@ -30,13 +30,12 @@ def brand(marca: Column | str) -> Column:
 
 
 def period(hora: Column | str) -> Column:
-    """Period of day for hours 0-23; null for null or out-of-range hours."""
-    h = _col(hora)
-    out = None
-    for low, high, label in C.PERIODS:
-        cond = (h >= low) & (h <= high)
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out.otherwise(F.lit(None).cast("string"))
+    """Period of day for hours 0-23; null for null or out-of-range hours.
+
+    A lookup in the 24 labels (built from the period bounds), so the hour
+    is referenced once."""
+    labels = [label for low, high, label in C.PERIODS for _ in range(low, high + 1)]
+    return F.get(F.array(*[F.lit(x) for x in labels]), _col(hora))
 
 
 def period_band(hora: Column | str) -> Column:

@@ -20,8 +20,13 @@ def fold_accents(c: Column | str) -> Column:
 
 
 def normalize_bairro(c: Column | str) -> Column:
-    """Fold accents, upper-case, expand abbreviations; null stays null."""
-    out = F.upper(fold_accents(c))
+    """Fold accents, upper-case, expand abbreviations; null stays null.
+
+    The replacement chain runs only on names holding an abbreviation (one
+    combined test first); others pass through unchanged."""
+    base = F.upper(fold_accents(c))
+    out = base
     for pattern, expansion in C.ABBREVIATIONS:
         out = F.regexp_replace(out, pattern, expansion)
-    return out
+    words = "|".join(p.replace(r"\b", "") for p, _ in C.ABBREVIATIONS)
+    return F.when(base.rlike(rf"\b({words})\b"), out).otherwise(base)

@@ -86,31 +86,38 @@ def hour_ok() -> Column:
 # One function per table
 # ---------------------------------------------------------------------------
 
+def counted(clean: DataFrame, keys: list[str], keep: Column) -> DataFrame:
+    """Rows satisfying ``keep`` counted per key; keys without any dropped.
+
+    The predicate is a conditional count inside the aggregate, not a
+    Filter: a Filter on a derived clean column would be pushed below the
+    cleaning projection and inline the whole derivation into the scan."""
+    return (clean.groupBy(*keys).agg(F.count_if(keep).alias("total"))
+            .filter(F.col("total") > 0))
+
+
 def kpi_annual_summary(clean: DataFrame) -> DataFrame:
     return with_yoy(clean.groupBy(*BY).agg(_count()))
 
 
 def kpi_monthly(clean: DataFrame) -> DataFrame:
-    return clean.filter(month_ok()).groupBy("ano", "mes", "tipo_crime").agg(_count())
+    return counted(clean, ["ano", "mes", "tipo_crime"], month_ok())
 
 
 def kpi_by_municipality(clean: DataFrame, n: int = C.TOP_MUNICIPALITIES) -> DataFrame:
-    base = clean.filter(F.col("municipio").isNotNull()).groupBy("ano", "municipio", "tipo_crime").agg(_count())
-    return top_n(base, n)
+    return top_n(counted(clean, ["ano", "municipio", "tipo_crime"], F.col("municipio").isNotNull()), n)
 
 
 def kpi_by_bairro(clean: DataFrame, n: int = C.TOP_BAIRROS, capital: str = C.CAPITAL) -> DataFrame:
-    base = clean.filter(bairro_ok(capital)).groupBy("ano", "bairro", "tipo_crime").agg(_count())
-    return top_n(base, n)
+    return top_n(counted(clean, ["ano", "bairro", "tipo_crime"], bairro_ok(capital)), n)
 
 
 def kpi_by_location_type(clean: DataFrame) -> DataFrame:
-    return clean.filter(location_ok()).groupBy("ano", "tipo_local", "tipo_crime").agg(_count())
+    return counted(clean, ["ano", "tipo_local", "tipo_crime"], location_ok())
 
 
 def kpi_by_brand(clean: DataFrame, n: int = C.TOP_BRANDS) -> DataFrame:
-    base = clean.filter(brand_ok()).groupBy("ano", "marca", "tipo_crime").agg(_count())
-    return top_n(base, n)
+    return top_n(counted(clean, ["ano", "marca", "tipo_crime"], brand_ok()), n)
 
 
 def kpi_by_hour(clean: DataFrame) -> DataFrame:
@@ -128,7 +135,7 @@ def kpi_by_hour(clean: DataFrame) -> DataFrame:
 
 
 def kpi_by_period(clean: DataFrame) -> DataFrame:
-    return clean.filter(F.col("periodo").isNotNull()).groupBy("ano", "periodo", "tipo_crime").agg(_count())
+    return counted(clean, ["ano", "periodo", "tipo_crime"], F.col("periodo").isNotNull())
 
 
 KPI_FUNCTIONS = {

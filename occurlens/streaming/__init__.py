@@ -1,0 +1,5 @@
+"""Structured Streaming entry: refresh KPIs as yearly files land."""
+
+from .refresh import start_refresh_stream
+
+__all__ = ["start_refresh_stream"]

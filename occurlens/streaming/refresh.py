@@ -1,0 +1,61 @@
+"""Refresh KPIs when new yearly report files land in a folder.
+
+A file-source stream over the landing folder (all-string raw schema, so no
+inference) feeds ``foreachBatch``: each micro-batch replaces the raw
+partitions of the years it carries (dynamic partition overwrite: a yearly
+file is that year's complete data) and then runs the per-year refresh for
+exactly those years. Replaying a batch after a failure rewrites the same
+partitions with the same rows, so the sink is idempotent; the stream's
+checkpoint lives in the shared work folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from .. import constants as C
+from ..functions import tolerant_int
+from ..plans.pipeline import Layout, refresh_years
+from ..schema import RAW_SCHEMA
+from ..session import scratch_path
+from ..sinks.tables import write_partitioned
+
+
+def _on_batch(spark: SparkSession, layout: Layout):
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        # Years present in the batch: a handful of values, not rows.
+        years = sorted(r["y"] for r in batch.select(tolerant_int("ANO").alias("y")).distinct().collect()
+                       if r["y"] is not None)
+        if not years:
+            return
+        write_partitioned(batch, layout.raw, "ANO", dynamic=True)
+        report = refresh_years(spark, layout, years)
+        if report.failed_years:
+            raise RuntimeError(f"refresh failed for years {report.failed_years} (epoch {epoch_id})")
+    return handle
+
+
+def start_refresh_stream(spark: SparkSession, landing: str, layout: Layout, fmt: str = "parquet",
+                         checkpoint: str | None = None, available_now: bool = True,
+                         file_glob: str | None = None) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what is there
+    and stops (``query.awaitTermination()`` to wait)."""
+    reader = spark.readStream.schema(RAW_SCHEMA).format(fmt)
+    if fmt == "csv":
+        from ..sources.files import CSV_OPTIONS  # noqa: PLC0415
+        reader = reader.options(**CSV_OPTIONS)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    stream = reader.load(landing).na.fill("", subset=C.REQUIRED_COLUMNS)
+    writer = (stream.writeStream.foreachBatch(_on_batch(spark, layout))
+              .option("checkpointLocation", checkpoint or scratch_path(spark, "refresh-stream")))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def landing_batch(raw: DataFrame, landing: str, years: list[int]) -> None:
+    """Drop the rows of the given years into the landing folder as new
+    files (how a yearly file arrives); used to drive the stream."""
+    (raw.filter(tolerant_int("ANO").isin(years)).select(*RAW_SCHEMA.fieldNames())
+     .write.mode("append").parquet(landing))
