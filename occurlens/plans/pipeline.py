@@ -164,13 +164,17 @@ def run_kpis(spark: SparkSession, layout: Layout, years: list[int] | None = None
 
 
 def run_load(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> list[LoadResult]:
-    """Stage, validate keys, publish (replace all or replace the given years)."""
+    """Validate keys and publish from the KPI folder (replace all, or replace
+    the given years); missing tables are reported and skipped."""
     _require(spark, layout.kpis, "kpis")
-    stored = {name: read_kpi(spark, layout.kpis, name) for name in KPI_TABLES}
-    results = [LoadResult(n, 0, "AVISO vazio ou ausente") for n, df in stored.items() if df is None]
-    present = {n: df for n, df in stored.items() if df is not None}
+    results, present = [], {}
+    for name in KPI_TABLES:
+        if _exists(spark, f"{layout.kpis}/{name}"):
+            present[name] = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{layout.kpis}/{name}")
+        else:
+            results.append(LoadResult(name, 0, "AVISO ausente"))
     if present:
-        results += publish_kpis(present, layout.published, f"{layout.staging}", years)
+        results += publish_kpis(present, layout.published, years=years)
     return results
 
 

@@ -139,26 +139,34 @@ def check_keys(df: DataFrame, name: str) -> DataFrame:
     ).select(F.lit(name).alias("tabela"), "*")
 
 
-def publish_kpis(kpis: dict[str, DataFrame], target: str, staging: str,
+def publish_kpis(kpis: dict[str, DataFrame], target: str, staging: str | None = None,
                  years: list[int] | None = None) -> list[LoadResult]:
-    """Stage, validate keys, then publish (no partial replacement when a
-    table has duplicate or null keys)."""
-    staged = write_kpis(kpis, staging, years)
-    spark = next(iter(kpis.values())).sparkSession
+    """Validate keys, then publish (no partial replacement when a table has
+    duplicate or null keys; an empty table is reported and skipped).
+
+    ``staging``: persist the tables there first (for lazy inputs); tables
+    read from the KPI folder are already persisted and go straight through
+    one check job and one write each."""
+    if staging is not None:
+        spark = next(iter(kpis.values())).sparkSession
+        write_kpis(kpis, staging, years)
+        kpis = {n: spark.read.schema(KPI_SCHEMAS[n]).parquet(f"{staging}/{n}") for n in kpis}
     results = []
-    for r in staged:
-        if r.status != "OK":
-            results.append(r)
-            continue
-        df = spark.read.schema(KPI_SCHEMAS[r.tabela]).parquet(f"{staging}/{r.tabela}")
+    for name, df in kpis.items():
         if years is not None:
             df = df.filter(F.col("ano").isin(years))
-        bad = check_keys(df, r.tabela).first()
-        if bad["chaves_duplicadas"] or bad["chaves_nulas"]:
-            results.append(LoadResult(r.tabela, 0, f"ERRO chaves: {bad['chaves_duplicadas']} duplicadas,"
-                                                   f" {bad['chaves_nulas']} nulas"))
-            continue
-        n = write_partitioned(df.select(*[f.name for f in KPI_SCHEMAS[r.tabela].fields]),
-                              f"{target}/{r.tabela}", "ano", dynamic=years is not None)
-        results.append(LoadResult(r.tabela, n, "OK"))
+        try:
+            chk = check_keys(df, name).first()
+            if chk["linhas"] == 0:
+                results.append(LoadResult(name, 0, "AVISO vazio"))
+                continue
+            if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
+                results.append(LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas,"
+                                                   f" {chk['chaves_nulas']} nulas"))
+                continue
+            n = write_partitioned(df.select(*[f.name for f in KPI_SCHEMAS[name].fields]),
+                                  f"{target}/{name}", "ano", dynamic=years is not None)
+            results.append(LoadResult(name, n, "OK"))
+        except Exception as e:  # noqa: BLE001 - reported, others continue
+            results.append(LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}"[:300]))
     return results

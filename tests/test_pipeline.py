@@ -58,7 +58,7 @@ def test_publish_rejects_duplicate_keys(spark):
     df = spark.createDataFrame([(2020, "Furto", 1, None), (2020, "Furto", 2, None)],
                                "ano int, tipo_crime string, total long, variacao_yoy_pct double")
     root = scratch_path(spark, "pub")
-    res = SK.publish_kpis({C.KPI_ANNUAL: df}, f"{root}/target", f"{root}/staging")
+    res = SK.publish_kpis({C.KPI_ANNUAL: df}, f"{root}/target", staging=f"{root}/staging")
     assert res[0].status.startswith("ERRO chaves")
 
 
