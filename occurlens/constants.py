@@ -95,6 +95,7 @@ VIEW_TOP_BAIRROS = 20
 MONTH_LABELS = ["Jan", "Fev", "Mar", "Abr", "Mai", "Jun",
                 "Jul", "Ago", "Set", "Out", "Nov", "Dez"]
 FIRST_YEAR_LABEL = 2017
+COVERAGE_LABEL = "Dados: {first}–{last} | Fonte: SSP-SP"
 
 # KPI table names.
 KPI_ANNUAL = "kpi_annual_summary"

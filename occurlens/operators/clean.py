@@ -130,8 +130,14 @@ def _final_columns() -> list[Column]:
 
 
 def clean(raw: DataFrame, years: int | Iterable[int] | None = None,
-          date_mode: str = "compat") -> DataFrame:
-    """Raw -> clean: year filter, date filter, consummated filter, one projection."""
+          date_mode: str = "compat", require_municipality: bool = False) -> DataFrame:
+    """Raw -> clean: year filter, date filter, consummated filter, one projection.
+
+    ``require_municipality`` also drops rows without a municipality (the
+    specification's cleaning rule; by default only the municipality KPI
+    drops them)."""
     df = filter_valid_dates(filter_years(raw, years), date_mode)
     staged = df.select(*_staged_columns()).filter(is_consummated(F.col("FLAG_STATUS")))
+    if require_municipality:
+        staged = staged.filter(F.col("NOME_MUNICIPIO_CIRC").isNotNull())
     return staged.select(*_final_columns())

@@ -85,6 +85,29 @@ def cards(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     return out.withColumn("direcao", direction("variacao_yoy_media"))
 
 
+def _thousands(c: Column) -> Column:
+    """Integer with '.' as the thousands separator (pt-BR)."""
+    return F.translate(F.format_number(c.cast("long"), 0), ",", ".")
+
+
+def cards_text(cards_df: DataFrame) -> DataFrame:
+    """The cards as display text: thousands separators, a signed percent
+    with one decimal, and a dash when the change is unknown."""
+    yoy = F.col("variacao_yoy_media")
+    pct = F.concat(F.when(yoy > 0, F.lit("+")).otherwise(F.lit("")), F.format_string("%.1f", yoy), F.lit("%"))
+    return cards_df.select(
+        _thousands(F.col("total")).alias("total_txt"), _thousands(F.col("furtos")).alias("furtos_txt"),
+        _thousands(F.col("roubos")).alias("roubos_txt"),
+        F.when(yoy.isNull(), F.lit("—")).otherwise(pct).alias("variacao_txt"), "direcao")
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Empty-result guard: an input without rows is an error (one tiny job)."""
+    if df.isEmpty():
+        raise ValueError(f"no rows in {what}: load the KPI tables first")
+    return df
+
+
 def annual_pivot(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     """Thefts and robberies per year (the type filter is ignored)."""
     d = with_total(apply_filters(annual, ano, None, bairro))
@@ -179,8 +202,12 @@ def period_covered(annual: DataFrame) -> DataFrame:
     """Latest year and the coverage label."""
     return annual.agg(F.max("ano").alias("ultimo_ano")).select(
         "ultimo_ano",
-        F.concat(F.lit(f"Dados: {C.FIRST_YEAR_LABEL}–"), F.col("ultimo_ano").cast("string"),
-                 F.lit(" | Fonte: SSP-SP")).alias("rotulo"))
+        F.concat(*_label_parts(F.col("ultimo_ano").cast("string"))).alias("rotulo"))
+
+
+def _label_parts(last):
+    head, tail = C.COVERAGE_LABEL.format(first=C.FIRST_YEAR_LABEL, last="\0").split("\0")
+    return [F.lit(head), last, F.lit(tail)]
 
 
 VIEWS = {
@@ -198,6 +225,7 @@ VIEWS = {
 
 def dashboard(kpis: dict[str, DataFrame], ano=None, tipo=None, bairro=None) -> dict[str, DataFrame]:
     """All views at one filter setting (a drill-down sets ano or tipo)."""
+    require_rows(kpis[C.KPI_ANNUAL], C.KPI_ANNUAL)
     out = {name: fn(kpis[table], ano, tipo, bairro) for name, (fn, table) in VIEWS.items()}
     out["years"] = years(kpis[C.KPI_ANNUAL])
     out["bairros"] = bairros(kpis[C.KPI_BAIRRO])

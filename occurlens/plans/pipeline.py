@@ -21,7 +21,7 @@ from .. import constants as C
 from ..operators.clean import clean as clean_step, is_consummated, valid_date
 from ..operators.kpis import compute_kpis, with_yoy
 from ..functions import clean_text
-from ..schema import KPI_SCHEMAS, KPI_TABLES
+from ..schema import KPI_SCHEMAS, KPI_TABLES, RAW_COLUMNS, check_raw_schema
 from ..sinks.tables import LoadResult, publish_kpis, read_kpi, write_kpis, write_partitioned
 
 STEPS = ["ingest", "clean", "kpis", "load"]
@@ -100,6 +100,7 @@ def read_clean(spark: SparkSession, layout: Layout, years: list[int] | None = No
 
 def ingest(raw: DataFrame, layout: Layout) -> int:
     """Full replacement of the raw checkpoint, partitioned by ANO."""
+    check_raw_schema(raw.select(*[c for c in raw.columns if c in RAW_COLUMNS]))
     return write_partitioned(raw, layout.raw, "ANO", dynamic=False)
 
 

@@ -205,6 +205,26 @@ def view_filtered(spark, sf_dir):
     return V.cards(annual, ano=1998, tipo=C.CRIME_THEFT)
 
 
+def _thousands_sql(x: str) -> str:
+    return f"replace(format('{{:,}}', cast({x} as bigint)), ',', '.')"
+
+
+@register("view_cards_text", _kpi_body(
+    f"select {_thousands_sql('total')} as total_txt, {_thousands_sql('furtos')} as furtos_txt,"
+    f" {_thousands_sql('roubos')} as roubos_txt,"
+    " case when variacao_yoy_media is null then '—' else (case when variacao_yoy_media > 0 then '+' else '' end)"
+    " || printf('%.1f', variacao_yoy_media) || '%' end as variacao_txt, direcao from (" + _CARDS_BODY + ")",
+    C.KPI_ANNUAL, extra=_cards_ctes()))
+def view_cards_text(spark, sf_dir):
+    (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
+    return V.cards_text(V.cards(annual))
+
+
+@register("clean_with_municipality", O.with_raw("select * from clean where municipio is not null"))
+def clean_with_municipality(spark, sf_dir):
+    return CL.clean(_raw(spark, sf_dir), require_municipality=True)
+
+
 @register("view_yoy", _kpi_body(_YOY_SQL, C.KPI_ANNUAL))
 def view_yoy(spark, sf_dir):
     (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
@@ -315,8 +335,9 @@ def dim_bairros(spark, sf_dir):
 
 
 @register("meta_period", _kpi_body(
-    f"select max(ano) as ultimo_ano, 'Dados: {C.FIRST_YEAR_LABEL}–' || cast(max(ano) as varchar)"
-    " || ' | Fonte: SSP-SP' as rotulo from kpi_annual_summary", C.KPI_ANNUAL))
+    "select max(ano) as ultimo_ano, '{0}' || cast(max(ano) as varchar) || '{1}' as rotulo"
+    " from kpi_annual_summary".format(*C.COVERAGE_LABEL.format(first=C.FIRST_YEAR_LABEL, last="\0").split("\0")),
+    C.KPI_ANNUAL))
 def meta_period(spark, sf_dir):
     (annual,) = _kpi_tables(spark, sf_dir, C.KPI_ANNUAL)
     return V.period_covered(annual)

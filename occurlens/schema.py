@@ -81,3 +81,16 @@ KPI_SCHEMAS: dict[str, StructType] = {
 }
 
 KPI_TABLES = list(KPI_KEYS)
+
+
+def check_raw_schema(df, columns: list[str] | None = None) -> None:
+    """Fail fast when a raw table does not have the expected string columns
+    in the expected order (analysis only, no job)."""
+    expected = columns or RAW_COLUMNS
+    got = [(f.name, f.dataType) for f in df.schema.fields]
+    problems = []
+    if [n for n, _ in got] != expected:
+        problems.append(f"columns {[n for n, _ in got]} != {expected}")
+    problems += [f"{n} is {t.simpleString()}" for n, t in got if not isinstance(t, StringType)]
+    if problems:
+        raise ValueError("raw schema mismatch: " + "; ".join(problems))

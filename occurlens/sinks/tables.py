@@ -56,15 +56,17 @@ def write_kpis(kpis: dict[str, DataFrame], root: str, years: list[int] | None =
     return results
 
 
-def read_kpi(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """A stored KPI table, or None when it is missing or empty."""
+def read_kpi(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame | None:
+    """A stored KPI table, or None when it is missing or empty. ``ordered``
+    sorts by year on the read side (the files promise no order)."""
     try:
         df = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{root}/{name}")
     except Exception:  # noqa: BLE001 - missing folder
         return None
     if df.isEmpty():
         return None
-    return df.select(*[f.name for f in KPI_SCHEMAS[name].fields])
+    df = df.select(*[f.name for f in KPI_SCHEMAS[name].fields])
+    return df.orderBy("ano") if ordered else df
 
 
 def read_kpis(spark: SparkSession, root: str) -> dict[str, DataFrame]:

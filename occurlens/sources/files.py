@@ -26,6 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as C
 from ..functions import parse_date
+from ..schema import check_raw_schema
 
 # CSV options that keep every character of a value (Spark trims leading and
 # trailing blanks on write by default; the padding is data here).
@@ -79,11 +80,19 @@ def _header(spark: SparkSession, path: str, fmt: str, options: dict[str, str]) -
     return tuple(spark.read.format(fmt).load(path).columns)
 
 
+PROBE_THREADS = 16
+
+
 def probe_files(spark: SparkSession, files: list[str], fmt: str = "csv",
                 options: dict[str, str] | None = None) -> list[SourceFile]:
-    """Header of each file: one tiny job per file that reads its first line
-    (CSV) or its footer (Parquet); the data is not read."""
-    return [SourceFile(f, _header(spark, f, fmt, options or {})) for f in files]
+    """Header of each file: a tiny job per file that reads its first line
+    (CSV) or its footer (Parquet); the data is not read. The jobs run
+    concurrently (Spark schedules jobs from several driver threads)."""
+    from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
+
+    with ThreadPoolExecutor(max_workers=min(PROBE_THREADS, max(1, len(files)))) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f, fmt, options or {}), files))
+    return [SourceFile(f, h) for f, h in zip(files, headers)]
 
 
 def _read_group(spark: SparkSession, group: list[SourceFile], fmt: str,
@@ -121,7 +130,9 @@ def read_occurrence_files(spark: SparkSession, root: str | list[str], file_glob:
     selected = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
     out = df.select(*selected, origin_of(F.col("_file")).alias(C.LINEAGE_COLUMN))
     out = out.na.fill("", subset=columns)
-    return derive_year_month(out) if derive_year else out
+    out = derive_year_month(out) if derive_year else out
+    check_raw_schema(out, columns + [C.LINEAGE_COLUMN])
+    return out
 
 
 def origin_of(file_path):

@@ -99,6 +99,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    splits than cores (a single unsplittable file would otherwise run the
+    whole join-and-clean stage in one task). Round-robin, not by key, so a
+    key holding a third of the rows cannot make one task hot. At scale the
+    scan has thousands of splits and nothing is added."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     """The 16-string raw table, one row per line item.
 
@@ -107,13 +119,8 @@ def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) ->
     join key. ``nation`` has a fixed 25 rows, so it is broadcast outright.
     Only the referenced columns are read (pruned ReadSchema).
     """
-    # Hash-partitioned on the order key: the distribution the join with
-    # orders needs anyway at scale (both sides large), made explicit so that
-    # the per-row work after it runs in parallel even when the input is a
-    # single unsplittable file.
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
-    ).repartition("l_orderkey")
+    lineitem = spread(spark, read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

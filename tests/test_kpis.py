@@ -78,3 +78,17 @@ def test_null_year_hours_are_zero(spark):
                        for f in CLEAN_SCHEMA.fields])
     grouped = K.compute_kpis(full, materialize=False)[C.KPI_HOUR]
     assert rows(grouped) == rows(hour.select(*K.KPI_COLUMNS[C.KPI_HOUR]))
+
+
+def test_cards_text_and_empty_guard(spark):
+    import pytest
+    from occurlens.operators import views as V
+
+    annual = spark.createDataFrame([(2020, "Furto", 1234567, None), (2021, "Furto", 1500000, 21.5),
+                                    (2021, "Roubo", 10, None)],
+                                   "ano int, tipo_crime string, total long, variacao_yoy_pct double")
+    text = V.cards_text(V.cards(annual)).first()
+    assert text["total_txt"] == "2.734.577" and text["roubos_txt"] == "10"
+    assert text["variacao_txt"].startswith("+") and text["variacao_txt"].endswith("%")
+    with pytest.raises(ValueError):
+        V.require_rows(annual.limit(0), "kpi_annual_summary")

@@ -54,3 +54,24 @@ def test_year_derivation_only_when_whole_file_blank(spark):
     got = sorted((r["ARQUIVO_ORIGEM"], r["DATA_OCORRENCIA_BO"], r["ANO"], r["MES"]) for r in out.collect())
     assert got == [("a", "2020-05-01", "", ""), ("a", "2020-06-01", "2020", "6"),
                    ("b", "2021-07-02", "2021", "7"), ("b", "bad", "", "")]
+
+
+def test_latin1_files_with_encoding_option(spark):
+    root = local(scratch_path(spark, "latin1"))
+    os.makedirs(root, exist_ok=True)
+    header = C.REQUIRED_COLUMNS
+    row = {c: "" for c in header}
+    row.update(BAIRRO="Consolação", ANO="2019", DATA_OCORRENCIA_BO="2019-01-02")
+    with open(f"{root}/CelularesSubtraidos_2019.csv", "w", encoding="latin-1") as f:
+        f.write(",".join(header) + "\n" + ",".join(row[c] for c in header) + "\n")
+    df = SF.read_occurrence_files(spark, root, options={"encoding": "ISO-8859-1"})
+    assert df.first()["BAIRRO"] == "Consolação"
+
+
+def test_raw_schema_check(spark):
+    from occurlens.schema import check_raw_schema
+    import pytest
+
+    bad = spark.createDataFrame([(1, "x")], "ANO_BO int, NUM_BO string")
+    with pytest.raises(ValueError, match="raw schema mismatch"):
+        check_raw_schema(bad)
