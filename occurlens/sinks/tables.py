@@ -38,22 +38,38 @@ class LoadResult:
     status: str
 
 
+TABLE_THREADS = 8
+
+
+def for_each_table(kpis: dict[str, DataFrame], fn) -> list[LoadResult]:
+    """Run ``fn(name, df) -> LoadResult`` for every table, concurrently.
+
+    The tables are small and independent, so their jobs are submitted from
+    several driver threads at once instead of one after another. A failing
+    table is recorded and the others continue; results keep table order."""
+    from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
+
+    def safe(item):
+        name, df = item
+        try:
+            return fn(name, df)
+        except Exception as e:  # noqa: BLE001 - reported, others continue
+            return LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}"[:300])
+
+    with ThreadPoolExecutor(max_workers=min(TABLE_THREADS, max(1, len(kpis)))) as pool:
+        return list(pool.map(safe, kpis.items()))
+
+
 def write_kpis(kpis: dict[str, DataFrame], root: str, years: list[int] | None = None) -> list[LoadResult]:
     """Write each KPI table to ``root/<table>`` partitioned by ``ano``.
 
     Without ``years`` every partition is replaced (full refresh); with
-    ``years`` only those partitions are (replace-by-year). A failing table
-    is recorded and the others continue."""
-    results = []
-    for name, df in kpis.items():
-        try:
-            if years is not None:
-                df = df.filter(F.col("ano").isin(years))
-            n = write_partitioned(df, f"{root}/{name}", "ano", dynamic=years is not None)
-            results.append(LoadResult(name, n, "OK"))
-        except Exception as e:  # noqa: BLE001 - reported, others continue
-            results.append(LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}"[:300]))
-    return results
+    ``years`` only those partitions are (replace-by-year)."""
+    def write(name: str, df: DataFrame) -> LoadResult:
+        if years is not None:
+            df = df.filter(F.col("ano").isin(years))
+        return LoadResult(name, write_partitioned(df, f"{root}/{name}", "ano", dynamic=years is not None), "OK")
+    return for_each_table(kpis, write)
 
 
 def read_kpi(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame | None:
@@ -153,22 +169,17 @@ def publish_kpis(kpis: dict[str, DataFrame], target: str, staging: str | None =
         spark = next(iter(kpis.values())).sparkSession
         write_kpis(kpis, staging, years)
         kpis = {n: spark.read.schema(KPI_SCHEMAS[n]).parquet(f"{staging}/{n}") for n in kpis}
-    results = []
-    for name, df in kpis.items():
+
+    def publish(name: str, df: DataFrame) -> LoadResult:
         if years is not None:
             df = df.filter(F.col("ano").isin(years))
-        try:
-            chk = check_keys(df, name).first()
-            if chk["linhas"] == 0:
-                results.append(LoadResult(name, 0, "AVISO vazio"))
-                continue
-            if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
-                results.append(LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas,"
-                                                   f" {chk['chaves_nulas']} nulas"))
-                continue
-            n = write_partitioned(df.select(*[f.name for f in KPI_SCHEMAS[name].fields]),
-                                  f"{target}/{name}", "ano", dynamic=years is not None)
-            results.append(LoadResult(name, n, "OK"))
-        except Exception as e:  # noqa: BLE001 - reported, others continue
-            results.append(LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}"[:300]))
-    return results
+        chk = check_keys(df, name).first()
+        if chk["linhas"] == 0:
+            return LoadResult(name, 0, "AVISO vazio")
+        if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
+            return LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas,"
+                                       f" {chk['chaves_nulas']} nulas")
+        n = write_partitioned(df.select(*[f.name for f in KPI_SCHEMAS[name].fields]),
+                              f"{target}/{name}", "ano", dynamic=years is not None)
+        return LoadResult(name, n, "OK")
+    return for_each_table(kpis, publish)
