@@ -70,17 +70,28 @@ TOPN_PER_YEAR = [("marca", 5), ("tipo_local", 5), ("municipio", 10), ("bairro",
 
 def topn_per_year(clean: DataFrame, spec=None) -> DataFrame:
     """Top N per year for brands, locations, municipalities, capital
-    neighbourhoods (all types together; ties kept), in long form."""
+    neighbourhoods (all types together; ties kept), in long form.
+
+    All four counts come from one GROUPING SETS aggregation (one scan, one
+    shuffle, reused by the four rankings); each ranking is a rank <= N over
+    its own set."""
     spec = spec or TOPN_PER_YEAR
     keep = {"marca": F.col("marca") != C.BRAND_OTHER, "tipo_local": location_ok(),
             "municipio": F.col("municipio").isNotNull(), "bairro": bairro_ok()}
-    parts = []
-    for dim, n in spec:
-        base = clean.filter(keep[dim]).groupBy("ano", dim).agg(_count())
-        parts.append(_ranked(base, ["ano"], n).select(
-            "ano", F.lit(dim).alias("dimensao"), F.col(dim).cast("string").alias("valor"), "total",
-            F.col("posicao").cast("int")))
-    return reduce(DataFrame.unionByName, parts)
+    dims = [d for d, _ in spec]
+    pre = clean.select("ano", *[F.when(keep[d], F.col(d).cast("string")).alias(d) for d in dims])
+    grouped = pre.groupingSets([["ano", d] for d in dims], "ano", *dims).agg(
+        _count(), *[F.grouping(d).alias(f"g_{d}") for d in dims])
+    # Long form straight from the one aggregate: which set a row belongs to
+    # and its value; the rank runs per (dimension, year) over groups.
+    dim = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, F.lit(d)) for d in dims])
+    value = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, F.col(d)) for d in dims])
+    long = grouped.select("ano", dim.alias("dimensao"), value.alias("valor"), "total")
+    limit = F.coalesce(*[F.when(F.col("dimensao") == d, F.lit(n)) for d, n in spec])
+    w = Window.partitionBy("dimensao", "ano").orderBy(F.desc("total"))
+    ranked = long.filter(F.col("valor").isNotNull()).withColumn("posicao", F.rank().over(w))
+    return ranked.filter(F.col("posicao") <= limit).select(
+        "ano", "dimensao", "valor", "total", F.col("posicao").cast("int"))
 
 
 def brand_evolution(clean: DataFrame) -> DataFrame:

@@ -35,7 +35,9 @@ def get_session(master: str | None = None, app_name: str = "occurlens",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = (builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+               # checkpoint files of DataFrames that are gone are removed
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
