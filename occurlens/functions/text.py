@@ -16,17 +16,23 @@ def clean_text(c: Column | str) -> Column:
 
 
 def fold_accents(c: Column | str) -> Column:
-    return F.translate(_col(c), C.ACCENTS_FROM, C.ACCENTS_TO)
+    """Accent folding. Every folded character is non-ASCII, so pure-ASCII
+    text (as many bytes as characters) skips the per-character map."""
+    c = _col(c)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, C.ACCENTS_FROM, C.ACCENTS_TO))
 
 
 def normalize_bairro(c: Column | str) -> Column:
     """Fold accents, upper-case, expand abbreviations; null stays null.
 
-    The replacement chain runs only on names holding an abbreviation (one
-    combined test first); others pass through unchanged."""
+    The regex chain runs only on names that contain one of the abbreviations
+    as a substring (plain byte searches first); others pass unchanged."""
     base = F.upper(fold_accents(c))
     out = base
     for pattern, expansion in C.ABBREVIATIONS:
         out = F.regexp_replace(out, pattern, expansion)
-    words = "|".join(p.replace(r"\b", "") for p, _ in C.ABBREVIATIONS)
-    return F.when(base.rlike(rf"\b({words})\b"), out).otherwise(base)
+    words = [p.replace(r"\b", "") for p, _ in C.ABBREVIATIONS]
+    maybe = base.contains(words[0])
+    for w in words[1:]:
+        maybe = maybe | base.contains(w)
+    return F.when(maybe, out).otherwise(base)
