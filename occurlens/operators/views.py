@@ -59,6 +59,14 @@ def _sum_if(cond: Column, value: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
 
 
+def _ordered_mean(x: Column) -> Column:
+    """Mean whose floating-point sum runs in ascending value order, so the
+    result does not depend on how rows were partitioned. Used per year over
+    at most one value per crime type (a bounded list)."""
+    vals = F.array_sort(F.collect_list(x))
+    return F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v) / F.size(vals)
+
+
 def cards(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     """KPI cards: total, thefts, robberies, mean YoY of the reference year
     (the given year, else the latest present), and its direction.
@@ -70,7 +78,7 @@ def cards(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
         _sum_if(F.lit(True), F.col("total")).alias("t"),
         _sum_if(F.col("tipo_crime") == C.CRIME_THEFT, F.col("total")).alias("f"),
         _sum_if(F.col("tipo_crime") == C.CRIME_ROBBERY, F.col("total")).alias("r"),
-        F.avg(F.coalesce(F.col("variacao_yoy_pct"), F.lit(0.0))).alias("y"),
+        _ordered_mean(F.coalesce(F.col("variacao_yoy_pct"), F.lit(0.0))).alias("y"),
     )
     if _set(ano):
         yoy = F.max(F.when(F.col("ano") == int(ano), F.col("y")))

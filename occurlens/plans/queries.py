@@ -176,7 +176,8 @@ def _cards_ctes(where: str = "true", ano: int | None = None) -> list[tuple[str,
         ("d", f"select * from y where {where}"),
         ("py", "select ano, sum(total) as t, sum(case when tipo_crime = 'Furto' then total end) as f,"
                " sum(case when tipo_crime = 'Roubo' then total end) as r,"
-               " avg(coalesce(variacao_yoy_pct, 0)) as yy from d group by ano"),
+               " list_reduce(list_sort(list(coalesce(variacao_yoy_pct, 0))), lambda a, b: a + b) / count(*)"
+               " as yy from d group by ano"),
         ("c", "select cast(coalesce(sum(t), 0) as bigint) as total, cast(coalesce(sum(f), 0) as bigint) as furtos,"
               f" cast(coalesce(sum(r), 0) as bigint) as roubos, (select max(yy) from py where ano = {ref})"
               " as variacao_yoy_media from py"),
