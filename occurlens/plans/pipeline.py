@@ -22,7 +22,7 @@ from ..operators.clean import clean as clean_step, is_consummated, valid_date
 from ..operators.kpis import compute_kpis, with_yoy
 from ..functions import clean_text
 from ..schema import KPI_SCHEMAS, KPI_TABLES, RAW_COLUMNS, check_raw_schema
-from ..sinks.tables import LoadResult, publish_kpis, read_kpi, write_kpis, write_partitioned
+from ..sinks.tables import LoadResult, publish_kpis, read_kpi, replace_years, write_kpis, write_partitioned
 
 STEPS = ["ingest", "clean", "kpis", "load"]
 
@@ -161,7 +161,9 @@ def run_kpis(spark: SparkSession, layout: Layout, years: list[int] | None = None
     kpis[C.KPI_ANNUAL] = _annual_with_neighbours(spark, layout, kpis[C.KPI_ANNUAL], years)
     touched = sorted(set(years) | {r[0] for r in kpis[C.KPI_ANNUAL].select("ano").distinct().collect()
                                    if r[0] is not None})
-    return write_kpis(kpis, layout.kpis, touched), touched
+    # Annual rows of the next years were recomputed (their YoY); every other
+    # table changes only in the refreshed years.
+    return replace_years(kpis, layout.kpis, years, {C.KPI_ANNUAL: touched}), touched
 
 
 def run_load(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> list[LoadResult]:
@@ -223,5 +225,7 @@ def refresh_years(spark: SparkSession, layout: Layout, years: list[int] | None =
 
 def _refresh(spark: SparkSession, layout: Layout, years: list[int], date_mode: str, report: Report) -> None:
     report.metrics.update(run_clean(spark, layout, years, date_mode))
-    _, touched = run_kpis(spark, layout, years)
-    report.loads = run_load(spark, layout, touched)
+    run_kpis(spark, layout, years)
+    # The KPI folder now holds every year correctly (vanished years removed);
+    # the published copy is replaced whole from it after validation.
+    report.loads = run_load(spark, layout)

@@ -72,6 +72,26 @@ def write_kpis(kpis: dict[str, DataFrame], root: str, years: list[int] | None =
     return for_each_table(kpis, write)
 
 
+def replace_years(kpis: dict[str, DataFrame], root: str, years: list[int],
+                  years_by_table: dict[str, list[int]] | None = None) -> list[LoadResult]:
+    """Replace-by-year for KPI tables: rows of ``years`` come from ``kpis``,
+    rows of other years from the stored table; each table is rewritten
+    whole. A year with no new rows therefore disappears, as a delete-then-
+    insert would leave it. KPI tables are groups, not rows, so the rewrite
+    is small; the merged frame is checkpointed so the write never reads the
+    path it replaces. ``years_by_table`` overrides the years per table."""
+    def merge(name: str, df: DataFrame) -> LoadResult:
+        ys = (years_by_table or {}).get(name, years)
+        cols = [f.name for f in KPI_SCHEMAS[name].fields]
+        merged = df.filter(F.col("ano").isin(ys)).select(*cols)
+        stored = read_kpi(df.sparkSession, root, name)
+        if stored is not None:
+            merged = merged.unionByName(stored.filter(~F.col("ano").isin(ys) | F.col("ano").isNull()))
+        merged = merged.checkpoint(eager=True)
+        return LoadResult(name, write_partitioned(merged, f"{root}/{name}", "ano", dynamic=False), "OK")
+    return for_each_table(kpis, merge)
+
+
 def read_kpi(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame | None:
     """A stored KPI table, or None when it is missing or empty. ``ordered``
     sorts by year on the read side (the files promise no order)."""
