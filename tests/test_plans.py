@@ -53,3 +53,17 @@ def test_no_python_in_any_plan(spark):
 def test_one_pass_kpis_single_scan(clean_small):
     grouped = K.grouped_counts(clean_small)
     assert "Expand" in plan(grouped)
+
+
+# Queries whose construction writes files first (pipeline, file sources).
+EAGER = {"raw_ingest", "raw_projection", "schema_drift", "load_report", "kpi_refresh_year",
+         "discover_years", "kpi_integrity", "kpi_reconcile"}
+
+
+def test_no_cross_join_or_python_in_registered_queries(spark):
+    for name, (fn, _) in sorted(REGISTRY.items()):
+        if name in EAGER:
+            continue
+        text = plan(fn(spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in text, (name, bad)
