@@ -10,7 +10,6 @@ rows); none puts an unbounded group into one task.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

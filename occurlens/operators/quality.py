@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import clean_text
+from ..functions import clean_text, period
 from ..schema import KPI_KEYS
 from .clean import filter_years, is_consummated, valid_date
 
@@ -76,7 +76,7 @@ def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
             F.when(F.col("p") > F.coalesce(F.col("a"), F.lit(0)), 1).otherwise(0).alias("v"))
         checks.append(row(f"{name}_nao_excede_anual", over.limit(0).select("v"), over))
     hour = kpis[C.KPI_HOUR].filter(F.col("ano").isNotNull())
-    rolled = (hour.withColumn("periodo", _period_of(F.col("hora"))).groupBy("ano", "periodo", "tipo_crime")
+    rolled = (hour.withColumn("periodo", period(F.col("hora"))).groupBy("ano", "periodo", "tipo_crime")
               .agg(F.sum("total").alias("h")))
     per = kpis[C.KPI_PERIOD].filter(F.col("ano").isNotNull())
     diff = (rolled.join(per, ["ano", "periodo", "tipo_crime"], "full")
@@ -86,8 +86,3 @@ def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
     cells = kpis[C.KPI_HOUR].groupBy("ano", "tipo_crime").agg(F.count(F.lit(1)).alias("n"))
     checks.append(row("horas_24_por_grupo", cells.select(F.lit(24).alias("v")), cells.select(F.col("n").alias("v"))))
     return reduce(DataFrame.unionByName, checks)
-
-
-def _period_of(hora):
-    from ..functions import period  # noqa: PLC0415
-    return period(hora)

@@ -147,7 +147,3 @@ KPI_SQL = {
     C.KPI_PERIOD: ("select ano, periodo, tipo_crime, count(*) as total from clean"
                    " where periodo is not null group by all"),
 }
-
-
-def kpi_ctes() -> list[tuple[str, str]]:
-    return [(name, body) for name, body in KPI_SQL.items()]
