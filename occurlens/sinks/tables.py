@@ -84,7 +84,7 @@ def replace_years(kpis: dict[str, DataFrame], root: str, years: list[int],
         ys = (years_by_table or {}).get(name, years)
         cols = [f.name for f in KPI_SCHEMAS[name].fields]
         merged = df.filter(F.col("ano").isin(ys)).select(*cols)
-        stored = read_kpi(df.sparkSession, root, name)
+        stored = _stored(df.sparkSession, root, name)
         if stored is not None:
             merged = merged.unionByName(stored.filter(~F.col("ano").isin(ys) | F.col("ano").isNull()))
         merged = merged.checkpoint(eager=True)
@@ -92,6 +92,15 @@ def replace_years(kpis: dict[str, DataFrame], root: str, years: list[int],
     return for_each_table(kpis, merge)
 
 
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The stored table by listing only (no job); None when missing."""
+    try:
+        df = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{root}/{name}")
+    except Exception:  # noqa: BLE001 - missing folder
+        return None
+    return df.select(*[f.name for f in KPI_SCHEMAS[name].fields])
+
+
 def read_kpi(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame | None:
     """A stored KPI table, or None when it is missing or empty. ``ordered``
     sorts by year on the read side (the files promise no order)."""
