@@ -67,3 +67,15 @@ def test_no_cross_join_or_python_in_registered_queries(spark):
         text = plan(fn(spark, SF_SMALL))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in text, (name, bad)
+
+
+def test_single_split_scan_is_spread_round_robin(spark):
+    from occurlens.sources.fixture import read_table, spread
+
+    lineitem = read_table(spark, SF_SMALL, "lineitem")
+    spread_df = spread(spark, lineitem)
+    if lineitem.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        text = plan(spread_df)
+        assert "RoundRobinPartitioning" in text and "hashpartitioning(l_orderkey" not in text
+    else:
+        assert spread_df is lineitem
