@@ -167,6 +167,12 @@ class Words:
         return at, g[at]
 
 
+def text_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A text column, or a field of a struct column (``struct.field``)."""
+    outer, _, field = column.partition(".")
+    return pc.struct_field(batch.column(outer), [field]) if field else batch.column(outer)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows of about ``limit`` text bytes (a single
@@ -174,7 +180,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(text_of(batch, column)), 0).to_numpy(zero_copy_only=False)
         group = (np.cumsum(size, dtype=np.int64) - size) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
