@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
-from . import ngram_join, quality_rules
+from . import decontaminate, ngram_join, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,11 +26,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op6_quality_rules": op6_quality_rules,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op6_quality_rules": quality_rules.ORACLE_SQL,
+    "op8_decontaminate": decontaminate.ORACLE_SQL,
 }
