@@ -6,10 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
-from . import decontaminate, ngram_join, quality_rules
+from . import bpe, decontaminate, ngram_join, quality_rules
+
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(_table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +40,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
 }
 
