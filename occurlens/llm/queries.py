@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
-from . import bpe, decontaminate, ngram_join, quality_rules
+from . import bpe, decontaminate, ngram_join, pii, quality_rules
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -37,11 +37,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op9_pii": op9_pii,
 }
 
 ORACLES: dict[str, str] = {
