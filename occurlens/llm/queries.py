@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
-from . import bpe, decontaminate, ngram_join, pii, quality_rules
+from . import bpe, decontaminate, ngram_join, pii, quality_rules, sharding
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.table(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
     "op3_ngram_join": op3_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_sharding": sharding.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
 }
