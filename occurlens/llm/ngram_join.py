@@ -40,6 +40,7 @@ RECALL = 0.9999
 MAX_HASHES = 128
 CHUNK_TEXTS = 256       # texts and n-grams that one side of a verification block may hold
 CHUNK_GRAMS = 400_000
+FILTER_WORDS = 18
 CELLS = 1 << 24         # incidence cells multiplied at a time
 
 
@@ -182,6 +183,22 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iter
         yield out
 
 
+def _maybe_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows whose row_id may be a member's (all that are, few others), so that the
+    texts of the rest are not shuffled. A one-hash filter of fixed size: at most
+    2 ** FILTER_WORDS words of 64 bits are broadcast, whatever the input."""
+    def place(c):
+        return F.shiftright(F.xxhash64(c), 6).bitwiseAND((1 << FILTER_WORDS) - 1).cast("int")
+
+    def bit(c):
+        return F.xxhash64(c).bitwiseAND(63).cast("int")
+
+    words = members.groupBy(place("node").alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit("node"))).alias("bits"))
+    return (rows.join(F.broadcast(words), place("row_id") == F.col("at"))
+            .filter(F.call_function("shiftright", F.col("bits"), bit("row_id")).bitwiseAND(1) == 1))
+
+
 def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """(set_key, n_grams, rep, links, root): per copy class its representative row,
     its number of links and the smallest representative of its component."""
@@ -195,7 +212,7 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
                       .select("node", F.col("root").alias("grp"), "n_grams"), "members")
     parts = members.groupBy("grp").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / CHUNK_TEXTS, F.sum("n_grams") / CHUNK_GRAMS)).cast("int").alias("parts"))
-    texts = sketched.select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
+    texts = _maybe_members(sketched, members).select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
     side = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # Only members of groups are replicated, and only over the chunks of a large group.
     blocks = (members.join(parts, "grp").withColumn("side", side)
@@ -217,20 +234,22 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
 
 
 def _classed(docs: DataFrame, n: int, threshold: float, recall: float, max_hashes: int, text_col: str,
-             id_col: str) -> DataFrame:
-    """Sketched rows with ``links`` and ``root`` (null where the text has no n-gram)."""
+             id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(row_id, doc_id, links, root) per row (null root where the text has no n-gram),
+    and the sketched rows."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     sketched = sketch(docs, n, bands, rows, text_col, id_col)
     classes = link_classes(sketched, n, threshold, text_col).drop("rep")
-    return sketched.drop("bands").join(classes, ["set_key", "n_grams"], "left")
+    keys = sketched.select("row_id", "doc_id", "set_key", "n_grams")
+    return written(keys.join(classes, ["set_key", "n_grams"], "left").drop("set_key", "n_grams"), "classed"), sketched
 
 
 def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL,
                  max_hashes: int = MAX_HASHES, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, class_id, n_links."""
-    rows = _classed(docs.select(id_col, text_col), n, threshold, recall, max_hashes, text_col, id_col)
-    names = (rows.filter("root is not null").groupBy(F.col("root").alias("r"))
-             .agg(F.min("doc_id").alias("class_id")))
+    rows, _ = _classed(docs.select(id_col, text_col), n, threshold, recall, max_hashes, text_col, id_col)
+    names = written(rows.filter("root is not null").groupBy(F.col("root").alias("r"))
+                    .agg(F.min("doc_id").alias("class_id")), "names")
     return (rows.join(names, F.col("root") == F.col("r"), "left")
             .select("doc_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("links", F.lit(0)).cast("long").alias("n_links")))
@@ -239,10 +258,11 @@ def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, reca
 def keep_one(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL,
              max_hashes: int = MAX_HASHES, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The input rows with one document of each class kept: the smallest doc_id."""
-    rows = _classed(docs, n, threshold, recall, max_hashes, text_col, id_col)
+    rows, sketched = _classed(docs, n, threshold, recall, max_hashes, text_col, id_col)
     order = F.struct(F.col("doc_id").isNull().alias("null_last"), "doc_id", "row_id")
-    keeper = (rows.filter("root is not null").groupBy(F.col("root").alias("r"))
-              .agg(F.min(order)["row_id"].alias("keep")))
-    return (rows.join(keeper, F.col("root") == F.col("r"), "left")
-            .filter("keep is null or keep = row_id")
-            .select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
+    keeper = written(rows.filter("root is not null").groupBy(F.col("root").alias("r"))
+                     .agg(F.min(order)["row_id"].alias("keep")), "keepers")
+    # Only the rows that go are looked up against the texts.
+    gone = rows.join(keeper, F.col("root") == F.col("r")).filter("keep <> row_id").select(F.col("row_id").alias("node"))
+    kept = sketched.join(written(gone, "gone"), F.col("row_id") == F.col("node"), "left_anti")
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
