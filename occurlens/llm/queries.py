@@ -7,10 +7,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, decontaminate, ngram_join, pii, quality_rules, sharding
+from . import bpe, decontaminate, lm, ngram_join, pii, quality_rules, sharding
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def _fold(doc_id: Column) -> Column:
+    """CRC-32 of the id as text, modulo 5 (null for a null id)."""
+    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5))
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.table(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +51,12 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(_table(spark, sf_dir, "documents"), training=lambda doc_id: _fold(doc_id) != 1)
+    held_out = F.coalesce(_fold(F.col("doc_id")) == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op3_ngram_join": op3_ngram_join,
@@ -52,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
+    "op10_lm": op10_lm,
 }
 
 ORACLES: dict[str, str] = {
