@@ -195,3 +195,25 @@ def list_array(values: np.ndarray | pa.Array, counts: np.ndarray) -> pa.ListArra
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def vector_rows(vector: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A vector of sums as ``parts`` rows (part, packed float64 slice)."""
+    cut = [s.astype(np.float64).tobytes() for s in np.array_split(vector.ravel(), parts)]
+    return pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(cut, pa.binary())], names=["part", "data"])
+
+
+def sum_vectors(rows: DataFrame, parts: int) -> np.ndarray | None:
+    """Sum of the vectors that tasks emitted with ``vector_rows``: each slice is summed in a
+    task of its own, one row at a time; only the one summed vector reaches the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                v = np.frombuffer(data, np.float64)
+                total[part] = total[part] + v if part in total else v
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                         names=["part", "data"])
+
+    got = {r["part"]: r["data"] for r in rows.repartition(parts, "part").mapInArrow(run, "part int, data binary").collect()}
+    return np.concatenate([np.frombuffer(got[p], np.float64) for p in range(parts)]) if got else None

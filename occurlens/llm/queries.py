@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, decontaminate, lm, ngram_join, pii, quality_rules, sharding
+from . import bpe, chat, decontaminate, language_id, lm, ngram_join, pii, quality_classifier, quality_rules, sharding
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,10 +32,30 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.table(_table(spark, sf_dir, "documents"))
 
 
+def _held_out(remainder: int) -> Column:
+    return F.coalesce(_fold(F.col("doc_id")) == remainder, F.lit(False)).alias("held_out")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_classifier.classify(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+        training=lambda doc_id: _fold(doc_id).isin(1, 2, 3), calibration=lambda doc_id: _fold(doc_id) == 4)
+    return out.select("doc_id", _held_out(0), "score", "predicted")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify(_table(spark, sf_dir, "documents"), training=lambda doc_id: _fold(doc_id) != 0)
+    return out.select("doc_id", _held_out(0), "lang_pred", "score")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.table(_table(spark, sf_dir, "conversations"), CHAT_TOKENIZER)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -53,13 +74,15 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score(_table(spark, sf_dir, "documents"), training=lambda doc_id: _fold(doc_id) != 1)
-    held_out = F.coalesce(_fold(F.col("doc_id")) == 1, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", _held_out(1), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_ngram_join": op3_ngram_join,
+    "op4_chat": op4_chat,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
@@ -69,6 +92,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.ORACLE_SQL,
+    "op4_chat": chat.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
 }
