@@ -110,3 +110,6 @@ KPI_PERIOD = "kpi_by_period"
 # Sink parameters.
 SINK_BATCH_SIZE = 500
 YOY_PRECISION = (6, 2)
+
+# Text that a lenient integer cast accepts: sign, digits, optional fraction.
+INTEGER_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\s*$"

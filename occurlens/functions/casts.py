@@ -18,9 +18,11 @@ def tolerant_int(c: Column | str) -> Column:
     """String to int; blanks and text give null, '7.6' gives 7, '-7.6' gives -7.
 
     Goes through double so that decimal text truncates toward zero, as a
-    lenient integer cast does; out-of-range values give null.
+    lenient integer cast does; out-of-range values give null, and so does text
+    that only a floating-point cast accepts ('12d', '12f', '1e3', 'NaN').
     """
-    return _col(c).try_cast("double").try_cast("int")
+    c = _col(c)
+    return F.when(c.rlike(C.INTEGER_TEXT), c.try_cast("double")).try_cast("int")
 
 
 def tolerant_double(c: Column | str) -> Column:

@@ -83,19 +83,6 @@ def is_consummated(status: Column) -> Column:
     return F.upper(status) == C.CONSUMMATED
 
 
-def clean_columns() -> list[Column]:
-    """The 16 clean columns as expressions over the raw columns.
-
-    Built in two projections: the first trims, null-maps, casts and parses
-    each input once; the second derives type, brand, period and the
-    normalised neighbourhood from those values. Catalyst keeps the two
-    projections apart because the staged values are not cheap and are read
-    more than once (a single nested projection would re-evaluate them inside
-    every CASE branch).
-    """
-    return _final_columns()
-
-
 def _staged_columns() -> list[Column]:
     typed = typed_columns()
     text = text_columns()

@@ -58,11 +58,6 @@ def status_split(raw: DataFrame, date_mode: str = "compat") -> DataFrame:
             .agg(_count()))
 
 
-def _ranked(base: DataFrame, part: list[str], n: int) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(F.desc("total"))
-    return base.withColumn("posicao", F.rank().over(w)).filter(F.col("posicao") <= n)
-
-
 # Top-N per year of the executive KPIs.
 TOPN_PER_YEAR = [("marca", 5), ("tipo_local", 5), ("municipio", 10), ("bairro", 10)]
 
@@ -89,6 +84,8 @@ def topn_per_year(clean: DataFrame, spec=None) -> DataFrame:
     limit = F.coalesce(*[F.when(F.col("dimensao") == d, F.lit(n)) for d, n in spec])
     w = Window.partitionBy("dimensao", "ano").orderBy(F.desc("total"))
     ranked = long.filter(F.col("valor").isNotNull()).withColumn("posicao", F.rank().over(w))
+    # The literal bound lets the ranking drop rows before its shuffle (WindowGroupLimit).
+    ranked = ranked.filter(F.col("posicao") <= max(n for _, n in spec))
     return ranked.filter(F.col("posicao") <= limit).select(
         "ano", "dimensao", "valor", "total", F.col("posicao").cast("int"))
 

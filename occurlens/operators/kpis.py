@@ -18,8 +18,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import constants as C
+from ..schema import CLEAN_SCHEMA
 
 BY = ["ano", "tipo_crime"]
 
@@ -66,8 +68,10 @@ def month_ok() -> Column:
 
 
 def bairro_ok(capital: str = C.CAPITAL) -> Column:
-    return ((F.col("municipio") == capital) & F.col("bairro").isNotNull()
-            & (F.upper(F.col("bairro")) != C.NOT_INFORMED))
+    """The municipality is tested first: rows elsewhere never evaluate the
+    neighbourhood's normalisation."""
+    named = F.col("bairro").isNotNull() & (F.upper(F.col("bairro")) != C.NOT_INFORMED)
+    return F.when(F.col("municipio") == capital, named).otherwise(F.lit(False))
 
 
 def location_ok() -> Column:
@@ -105,11 +109,26 @@ def kpi_monthly(clean: DataFrame) -> DataFrame:
 
 
 def kpi_by_municipality(clean: DataFrame, n: int = C.TOP_MUNICIPALITIES) -> DataFrame:
-    return top_n(counted(clean, ["ano", "municipio", "tipo_crime"], F.col("municipio").isNotNull()), n)
+    return top_n(municipality_counts(clean), n)
+
+
+def bairro_counts(clean: DataFrame, capital: str = C.CAPITAL) -> DataFrame:
+    """Uncut counts per neighbourhood of the capital. The capital filter is one cheap
+    expression over the raw column, so it runs (and is pushed down) before the derivation;
+    other municipalities' neighbourhoods are neither normalised nor shuffled."""
+    return counted(clean.filter(F.col("municipio") == capital), ["ano", "bairro", "tipo_crime"], bairro_ok(capital))
+
+
+def municipality_counts(clean: DataFrame) -> DataFrame:
+    return counted(clean, ["ano", "municipio", "tipo_crime"], F.col("municipio").isNotNull())
+
+
+def brand_counts(clean: DataFrame) -> DataFrame:
+    return counted(clean, ["ano", "marca", "tipo_crime"], brand_ok())
 
 
 def kpi_by_bairro(clean: DataFrame, n: int = C.TOP_BAIRROS, capital: str = C.CAPITAL) -> DataFrame:
-    return top_n(counted(clean, ["ano", "bairro", "tipo_crime"], bairro_ok(capital)), n)
+    return top_n(bairro_counts(clean, capital), n)
 
 
 def kpi_by_location_type(clean: DataFrame) -> DataFrame:
@@ -117,7 +136,7 @@ def kpi_by_location_type(clean: DataFrame) -> DataFrame:
 
 
 def kpi_by_brand(clean: DataFrame, n: int = C.TOP_BRANDS) -> DataFrame:
-    return top_n(counted(clean, ["ano", "marca", "tipo_crime"], brand_ok()), n)
+    return top_n(brand_counts(clean), n)
 
 
 def kpi_by_hour(clean: DataFrame) -> DataFrame:
@@ -198,6 +217,22 @@ def grouped_counts(clean: DataFrame, capital: str = C.CAPITAL) -> DataFrame:
     return pre.groupingSets(sets, *cols).agg(_count(), F.grouping_id().alias("gid"))
 
 
+def counts_schema() -> StructType:
+    """Columns of the stored uncut counts (the output of ``grouped_counts``)."""
+    dims = [d.column for d in _dims(C.CAPITAL)]
+    return StructType([CLEAN_SCHEMA[c] for c in [*dims, "tipo_crime"]]
+                      + [StructField("total", LongType()), StructField("gid", LongType()), CLEAN_SCHEMA["ano"]])
+
+
+def uncut(grouped: DataFrame, table: str, capital: str = C.CAPITAL) -> DataFrame:
+    """Every counted row of one dimension's table, before its top-N cut: the input of
+    rankings and lists that add up over years and types."""
+    dims = _dims(capital)
+    cols = [*BY, *[d.column for d in dims]]
+    (column,) = [d.column for d in dims if d.table == table]
+    return grouped.filter((F.col("gid") == _gid(cols, [*BY, column])) & F.col(column).isNotNull()).select(*BY, column, "total")
+
+
 def _gid(cols: list[str], members: list[str]) -> int:
     n = len(cols)
     return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in members)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import clean_text, period
 from ..schema import KPI_KEYS
+from .kpis import BY, uncut
 from .clean import filter_years, is_consummated, valid_date
 
 
@@ -31,8 +32,9 @@ def clean_quality(raw: DataFrame, years=None, date_mode: str = "compat") -> Data
 
 
 def dist_tipo_crime(clean: DataFrame) -> DataFrame:
-    """Rows per crime type (shown largest first)."""
-    return clean.groupBy("tipo_crime").agg(F.count(F.lit(1)).alias("total"))
+    """Rows per crime type, largest first (ties by name)."""
+    return (clean.groupBy("tipo_crime").agg(F.count(F.lit(1)).alias("total"))
+            .orderBy(F.desc("total"), F.asc_nulls_first("tipo_crime")))
 
 
 def dist_top_brands(clean: DataFrame, k: int = 10) -> DataFrame:
@@ -49,6 +51,41 @@ def kpi_integrity(kpis: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _sums(name: str, expected: DataFrame, obtained: DataFrame) -> DataFrame:
+    """One check row: the sums of the column ``v`` on both sides."""
+    both = (expected.select(F.col("v").alias("e"), F.lit(0).alias("o"))
+            .unionByName(obtained.select(F.lit(0).alias("e"), F.col("v").alias("o"))))
+    return both.agg(F.coalesce(F.sum("e"), F.lit(0)).cast("long").alias("esperado"),
+                    F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("obtido")).select(
+        F.lit(name).alias("verificacao"), "esperado", "obtido", (F.col("esperado") == F.col("obtido")).alias("ok"))
+
+
+def reconcile(clean_rows: int, counts: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
+    """Health check of a version before it is published, from the stored counts (clean is
+    not read again): rows (verificacao, esperado, obtido, ok).
+
+    * the counted rows add up to the clean rows that were written;
+    * each cut table holds exactly the counts it was cut from (no changed or invented row);
+    * the annual and hour tables add up to the counts of the rows with a year."""
+    total = counts.groupBy("gid").agg(F.sum("total").alias("t")).agg(F.max("t").alias("v"))
+    rows = [total.select(F.lit("contagens_somam_linhas_limpas").alias("verificacao"),
+                         F.lit(clean_rows).cast("long").alias("esperado"), F.coalesce("v", F.lit(0)).cast("long").alias("obtido"))]
+    years = counts.filter(F.col("ano").isNotNull())
+    rows.append(_sums("anual_igual_contagens", years.groupBy("gid").agg(F.sum("total").alias("t")).agg(F.max("t").alias("v")),
+                      kpis[C.KPI_ANNUAL].select(F.col("total").alias("v"))))
+    for name, column in ((C.KPI_MONTHLY, "mes"), (C.KPI_MUNICIPALITY, "municipio"), (C.KPI_BAIRRO, "bairro"),
+                         (C.KPI_LOCATION, "tipo_local"), (C.KPI_BRAND, "marca"), (C.KPI_PERIOD, "periodo")):
+        keys = [*BY, column]
+        strange = kpis[name].select(*keys, "total").exceptAll(uncut(counts, name).select(*keys, "total"))
+        rows.append(strange.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(f"{name}_dentro_das_contagens").alias("verificacao"), F.lit(0).cast("long").alias("esperado"),
+            F.col("n").cast("long").alias("obtido")))
+    rows.append(_sums("horas_iguais_contagens", uncut(counts, C.KPI_HOUR).filter("ano is not null").select(F.col("total").alias("v")),
+                      kpis[C.KPI_HOUR].select(F.col("total").alias("v"))))
+    rows = [r.select("verificacao", "esperado", "obtido") for r in rows]
+    return reduce(DataFrame.unionByName, rows).withColumn("ok", F.col("esperado") == F.col("obtido"))
+
+
 def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
     """Cross-table checks as rows (verificacao, esperado, obtido, ok):
 
@@ -59,22 +96,15 @@ def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
     annual = kpis[C.KPI_ANNUAL]
     checks = []
 
-    def row(name: str, expected: DataFrame, obtained: DataFrame) -> DataFrame:
-        both = (expected.select(F.col("v").alias("e"), F.lit(0).alias("o"))
-                .unionByName(obtained.select(F.lit(0).alias("e"), F.col("v").alias("o"))))
-        return both.agg(F.coalesce(F.sum("e"), F.lit(0)).cast("long").alias("esperado"),
-                        F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("obtido")).select(
-            F.lit(name).alias("verificacao"), "esperado", "obtido",
-            (F.col("esperado") == F.col("obtido")).alias("ok"))
-
-    checks.append(row("anual_soma_igual_linhas_limpas",
+    checks.append(_sums("anual_soma_igual_linhas_limpas",
                       clean.select(F.lit(1).alias("v")), annual.select(F.col("total").alias("v"))))
     for name in (C.KPI_MONTHLY, C.KPI_PERIOD):
         by = annual.groupBy("ano", "tipo_crime").agg(F.sum("total").alias("a"))
         part = kpis[name].groupBy("ano", "tipo_crime").agg(F.sum("total").alias("p"))
-        over = part.join(by, ["ano", "tipo_crime"], "left").select(
+        by = by.select(F.col("ano").alias("a_ano"), F.col("tipo_crime").alias("a_tipo"), "a")
+        over = part.join(by, F.col("ano").eqNullSafe(F.col("a_ano")) & (F.col("tipo_crime") == F.col("a_tipo")), "left").select(
             F.when(F.col("p") > F.coalesce(F.col("a"), F.lit(0)), 1).otherwise(0).alias("v"))
-        checks.append(row(f"{name}_nao_excede_anual", over.limit(0).select("v"), over))
+        checks.append(_sums(f"{name}_nao_excede_anual", over.limit(0).select("v"), over))
     hour = kpis[C.KPI_HOUR].filter(F.col("ano").isNotNull())
     rolled = (hour.withColumn("periodo", period(F.col("hora"))).groupBy("ano", "periodo", "tipo_crime")
               .agg(F.sum("total").alias("h")))
@@ -82,7 +112,7 @@ def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
     diff = (rolled.join(per, ["ano", "periodo", "tipo_crime"], "full")
             .select(F.when(F.coalesce(F.col("h"), F.lit(0)) != F.coalesce(F.col("total"), F.lit(0)), 1)
                     .otherwise(0).alias("v")))
-    checks.append(row("periodo_igual_horas_agrupadas", diff.limit(0).select("v"), diff))
+    checks.append(_sums("periodo_igual_horas_agrupadas", diff.limit(0).select("v"), diff))
     cells = kpis[C.KPI_HOUR].groupBy("ano", "tipo_crime").agg(F.count(F.lit(1)).alias("n"))
-    checks.append(row("horas_24_por_grupo", cells.select(F.lit(24).alias("v")), cells.select(F.col("n").alias("v"))))
+    checks.append(_sums("horas_24_por_grupo", cells.select(F.lit(24).alias("v")), cells.select(F.col("n").alias("v"))))
     return reduce(DataFrame.unionByName, checks)

@@ -3,7 +3,9 @@
 Each view takes the KPI DataFrame(s) plus the optional filters ``ano``,
 ``tipo`` and ``bairro`` (blank or None = no filter). Inputs are KPI tables:
 small (groups, not rows), so global aggregates and top-k are cheap; none of
-them collects to the driver.
+them collects to the driver. Rankings and lists that add up over years and types
+(brands, municipalities, neighbourhoods) take the uncut counts, not the KPI tables,
+whose rows are already cut per year and type (``kpis.uncut``, ``kpis.*_counts``).
 """
 
 from __future__ import annotations
@@ -13,8 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import direction, hour_label, month_label, period_band
-
-SEM_TIPO = "__sem_tipo__"
+from .kpis import uncut
 
 
 def _set(v) -> bool:
@@ -26,7 +27,7 @@ def apply_filters(df: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     for tables that have that column."""
     if _set(ano):
         df = df.filter(F.col("ano") == int(ano))
-    if _set(tipo):
+    if _set(tipo) and "tipo_crime" in df.columns:
         df = df.filter(F.col("tipo_crime") == tipo)
     if _set(bairro) and "bairro" in df.columns:
         df = df.filter(F.col("bairro") == bairro)
@@ -44,12 +45,17 @@ def with_total(df: DataFrame) -> DataFrame:
     return df.withColumn("total", total_of(df))
 
 
+def with_type(df: DataFrame) -> DataFrame:
+    """Input without a crime type (the per-year shape): its type is null."""
+    return df if "tipo_crime" in df.columns else df.withColumn("tipo_crime", F.lit(None).cast("string"))
+
+
 def yoy_recomputed(annual: DataFrame) -> DataFrame:
     """Unrounded year-on-year change per crime type over the KPI rows.
 
     Null for the first year of a type and when the previous total is 0."""
-    df = with_total(annual)
-    w = Window.partitionBy(F.coalesce(F.col("tipo_crime"), F.lit(SEM_TIPO))).orderBy(F.col("ano").asc_nulls_first())
+    df = with_total(with_type(annual))
+    w = Window.partitionBy("tipo_crime").orderBy(F.col("ano").asc_nulls_first())
     prev = F.lag("total", 1).over(w)
     yoy = F.when(prev.isNotNull() & (prev != 0), (F.col("total") - prev) / prev * 100)
     return df.select("ano", "tipo_crime", "total", yoy.alias("variacao_yoy_pct"))
@@ -118,7 +124,7 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 def annual_pivot(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     """Thefts and robberies per year (the type filter is ignored)."""
-    d = with_total(apply_filters(annual, ano, None, bairro))
+    d = with_type(with_total(apply_filters(annual, ano, None, bairro)))
     return (d.groupBy("ano").pivot("tipo_crime", [C.CRIME_THEFT, C.CRIME_ROBBERY]).agg(F.sum("total"))
             .select("ano",
                     F.coalesce(F.col(C.CRIME_THEFT), F.lit(0)).cast("long").alias("furto"),
@@ -188,7 +194,7 @@ def bairro_ranking(bairro_kpi: DataFrame, ano=None, tipo=None, bairro=None,
 
 def type_split(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame:
     """Thefts vs robberies (type filter ignored; 'Outros' left out)."""
-    d = with_total(apply_filters(annual, ano, None, bairro))
+    d = with_type(with_total(apply_filters(annual, ano, None, bairro)))
     s = d.agg(_sum_if(F.col("tipo_crime") == C.CRIME_THEFT, F.col("total")).alias("furtos"),
               _sum_if(F.col("tipo_crime") == C.CRIME_ROBBERY, F.col("total")).alias("roubos"))
     both = F.col("furtos") + F.col("roubos")
@@ -198,12 +204,13 @@ def type_split(annual: DataFrame, ano=None, tipo=None, bairro=None) -> DataFrame
 
 
 def years(annual: DataFrame) -> DataFrame:
-    """Distinct years (shown newest first)."""
-    return annual.select("ano").distinct()
+    """Distinct years, newest first."""
+    return annual.select("ano").distinct().orderBy(F.desc("ano"))
 
 
-def bairros(bairro_kpi: DataFrame) -> DataFrame:
-    return bairro_kpi.select("bairro").distinct()
+def bairros(bairro_counts: DataFrame) -> DataFrame:
+    """Every neighbourhood that was counted, by name."""
+    return bairro_counts.select("bairro").distinct().orderBy("bairro")
 
 
 def period_covered(annual: DataFrame) -> DataFrame:
@@ -231,11 +238,17 @@ VIEWS = {
 }
 
 
-def dashboard(kpis: dict[str, DataFrame], ano=None, tipo=None, bairro=None) -> dict[str, DataFrame]:
-    """All views at one filter setting (a drill-down sets ano or tipo)."""
+#: Tables whose views need every counted row, not the rows kept per year and type.
+RANKED = (C.KPI_MUNICIPALITY, C.KPI_BAIRRO, C.KPI_BRAND)
+
+
+def dashboard(kpis: dict[str, DataFrame], counts: DataFrame, ano=None, tipo=None, bairro=None) -> dict[str, DataFrame]:
+    """All views at one filter setting (a drill-down sets ano or tipo). ``counts``: the
+    uncut counts stored with the KPI tables (``pipeline.read_counts``)."""
     require_rows(kpis[C.KPI_ANNUAL], C.KPI_ANNUAL)
-    out = {name: fn(kpis[table], ano, tipo, bairro) for name, (fn, table) in VIEWS.items()}
+    tables = {**kpis, **{t: uncut(counts, t) for t in RANKED}}
+    out = {name: fn(tables[table], ano, tipo, bairro) for name, (fn, table) in VIEWS.items()}
     out["years"] = years(kpis[C.KPI_ANNUAL])
-    out["bairros"] = bairros(kpis[C.KPI_BAIRRO])
+    out["bairros"] = bairros(tables[C.KPI_BAIRRO])
     out["period"] = period_covered(kpis[C.KPI_ANNUAL])
     return out

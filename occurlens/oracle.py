@@ -17,7 +17,8 @@ def _q(s: str) -> str:
 
 
 def tolerant_int(x: str) -> str:
-    return f"try_cast(trunc(try_cast({x} as double)) as integer)"
+    return (f"case when regexp_matches({x}, {_q(C.INTEGER_TEXT)})"
+            f" then try_cast(trunc(try_cast(trim({x}) as double)) as integer) end")
 
 
 def tolerant_double(x: str) -> str:
@@ -113,11 +114,22 @@ def with_raw_blank_year(body: str, extra_ctes: list[tuple[str, str]] | None = No
     return with_raw(body, [("raw0", raw_blank_year_sql())] + (extra_ctes or []), clean=False)
 
 
-def _top(base: str, n: int) -> str:
+def top_sql(base: str, n: int) -> str:
     return (f"select * exclude (rk) from (select *, rank() over (partition by ano, tipo_crime "
             f"order by total desc) as rk from ({base})) where rk <= {n}")
 
 
+# Uncut counts of the tables that are cut to a top N per year and type.
+UNCUT_SQL = {
+    C.KPI_MUNICIPALITY: ("select ano, municipio, tipo_crime, count(*) as total from clean"
+                         " where municipio is not null group by all"),
+    C.KPI_BAIRRO: (f"select ano, bairro, tipo_crime, count(*) as total from clean"
+                   f" where municipio = {_q(C.CAPITAL)} and bairro is not null"
+                   f" and upper(bairro) <> {_q(C.NOT_INFORMED)} group by all"),
+    C.KPI_BRAND: (f"select ano, marca, tipo_crime, count(*) as total from clean"
+                  f" where marca is not null and marca <> {_q(C.BRAND_OTHER)} group by all"),
+}
+
 # KPI bodies over a relation named ``clean``.
 KPI_SQL = {
     C.KPI_ANNUAL: (
@@ -126,17 +138,12 @@ KPI_SQL = {
         " window w as (partition by tipo_crime order by ano nulls first)"),
     C.KPI_MONTHLY: ("select ano, mes, tipo_crime, count(*) as total from clean"
                     " where mes is not null and mes between 1 and 12 group by all"),
-    C.KPI_MUNICIPALITY: _top("select ano, municipio, tipo_crime, count(*) as total from clean"
-                             " where municipio is not null group by all", C.TOP_MUNICIPALITIES),
-    C.KPI_BAIRRO: _top(f"select ano, bairro, tipo_crime, count(*) as total from clean"
-                       f" where municipio = {_q(C.CAPITAL)} and bairro is not null"
-                       f" and upper(bairro) <> {_q(C.NOT_INFORMED)} group by all", C.TOP_BAIRROS),
+    C.KPI_MUNICIPALITY: top_sql(UNCUT_SQL[C.KPI_MUNICIPALITY], C.TOP_MUNICIPALITIES),
+    C.KPI_BAIRRO: top_sql(UNCUT_SQL[C.KPI_BAIRRO], C.TOP_BAIRROS),
     C.KPI_LOCATION: (f"select ano, tipo_local, tipo_crime, count(*) as total from clean"
                      f" where tipo_local is not null and upper(tipo_local) <> {_q(C.NOT_INFORMED)}"
                      f" group by all"),
-    C.KPI_BRAND: _top(f"select ano, marca, tipo_crime, count(*) as total from clean"
-                      f" where marca is not null and marca <> {_q(C.BRAND_OTHER)} group by all",
-                      C.TOP_BRANDS),
+    C.KPI_BRAND: top_sql(UNCUT_SQL[C.KPI_BRAND], C.TOP_BRANDS),
     C.KPI_HOUR: (
         "select p.ano, p.tipo_crime, h.hora, cast(coalesce(c.total, 0) as bigint) as total"
         " from (select distinct ano, tipo_crime from clean) p"

@@ -1,30 +1,40 @@
-"""End-to-end pipeline: ingest -> clean -> KPIs -> publish.
-
-Checkpoints are Parquet tables under one root in the shared work folder:
-``raw`` (partitioned by ANO), ``clean`` (by ano), ``kpis`` (each table by
-ano), ``published`` (the validated copy readers use). A run can restart
-from any step (reading the previous checkpoint), and a refresh of selected
-years rewrites only those partitions (dynamic partition overwrite) in one
-job for all the years together.
+"""End-to-end pipeline: ingest -> clean -> KPIs -> checks -> publish.
+
+Every step writes new folders (see ``sinks/versions.py``); publishing is one commit
+of a manifest, after all eight tables were written and checked. So a run publishes
+all eight tables or none, a failure at any step leaves the published state as it was,
+and ``rollback`` returns to an earlier one.
+
+The uncut counts (``contagens``: one GROUPING SETS aggregate of clean, partitioned
+by year) are stored beside the tables that are cut from them. A refresh of some years
+replaces exactly those years' clean folders and counts, drops the years that raw no
+longer has, and finishes all eight tables from the merged counts: the same function
+as in a full run, so a refresh equals one.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from .. import constants as C
-from ..operators.clean import clean as clean_step, is_consummated, valid_date
-from ..operators.kpis import compute_kpis, with_yoy
-from ..functions import clean_text
-from ..schema import KPI_SCHEMAS, KPI_TABLES, RAW_COLUMNS, check_raw_schema
-from ..sinks.tables import LoadResult, publish_kpis, read_kpi, replace_years, write_kpis, write_partitioned
+from ..operators.clean import clean as clean_step
+from ..operators.kpis import counts_schema, grouped_counts, kpis_from_grouped
+from ..operators.quality import clean_quality, reconcile
+from ..schema import CLEAN_SCHEMA, KPI_TABLES, RAW_COLUMNS, check_raw_schema
+from ..sinks.tables import (LoadResult, check_version, failed, read_kpi, read_kpi_folder, write_kpis, write_partitioned)
+from ..sinks.versions import Manifest, commit, current, new_folder, partition_values, read_if_present, rollback
 
-STEPS = ["ingest", "clean", "kpis", "load"]
+__all__ = ["Layout", "Report", "ingest", "discover_years", "run_clean", "run_kpis", "run_pipeline", "refresh_years",
+           "read_raw", "read_clean", "read_counts", "read_kpi", "rollback", "years_stored"]
+
+STEPS = ["ingest", "clean", "kpis"]
+COUNTS = "contagens"
+NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 
 # Raw as stored: data columns as strings, the ANO partition read back as int
 # (blank years land in the default partition and read back as null).
@@ -37,195 +47,227 @@ RAW_STORED_SCHEMA = StructType(
 class Layout:
     root: str
 
-    @property
-    def raw(self) -> str:
-        return f"{self.root}/raw"
-
-    @property
-    def clean(self) -> str:
-        return f"{self.root}/clean"
-
-    @property
-    def kpis(self) -> str:
-        return f"{self.root}/kpis"
-
-    @property
-    def published(self) -> str:
-        return f"{self.root}/published"
-
-    @property
-    def staging(self) -> str:
-        return f"{self.root}/staging"
-
 
 @dataclass
 class Report:
     metrics: dict[str, float] = field(default_factory=dict)
     loads: list[LoadResult] = field(default_factory=list)
     failed_years: list[int] = field(default_factory=list)
+    published: int | None = None
 
     @property
     def ok(self) -> bool:
-        return not self.failed_years and all(r.status == "OK" for r in self.loads)
+        return not self.failed_years and not failed(self.loads)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file://", "").replace("file:", ""))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+def _require(path: str | None, step: str) -> str:
+    if path is None:
+        raise FileNotFoundError(f"nothing stored yet: run the '{step}' step first")
+    return path
 
 
-def _require(spark: SparkSession, path: str, step: str) -> None:
-    if not _exists(spark, path):
-        raise FileNotFoundError(f"{path} not found: run the '{step}' step first")
+def _by_year(values: set[str]) -> set[int | None]:
+    return {None if v == NO_YEAR else int(v) for v in values}
 
 
 def read_raw(spark: SparkSession, layout: Layout) -> DataFrame:
-    _require(spark, layout.raw, "ingest")
-    return spark.read.schema(RAW_STORED_SCHEMA).parquet(layout.raw)
+    return spark.read.schema(RAW_STORED_SCHEMA).parquet(_require(current(spark, layout.root).raw, "ingest"))
+
+
+def _read_clean(spark: SparkSession, manifest: Manifest, years: set[int | None] | None = None) -> DataFrame:
+    """Clean rows of the given years (None: all): each stored folder contributes the years
+    for which the manifest names it, so replaced and removed years are not read."""
+    wanted: dict[str, list[int | None]] = {}
+    for year, folder in manifest.clean.items():
+        if years is None or year in years:
+            wanted.setdefault(folder, []).append(year)
+    if not wanted:
+        return spark.createDataFrame([], CLEAN_SCHEMA)
+    frames = []
+    for folder, ys in wanted.items():
+        keep = F.col("ano").isin([y for y in ys if y is not None])
+        if None in ys:
+            keep = keep | F.col("ano").isNull()
+        frames.append(spark.read.schema(CLEAN_SCHEMA).parquet(folder).filter(keep).select(*CLEAN_SCHEMA.fieldNames()))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_clean(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> DataFrame:
-    _require(spark, layout.clean, "clean")
-    from ..schema import CLEAN_SCHEMA  # noqa: PLC0415
-    df = spark.read.schema(CLEAN_SCHEMA).parquet(layout.clean)
-    if years is not None:
-        df = df.filter(F.col("ano").isin(years))  # partition pruning
-    return df
+    manifest = current(spark, layout.root)
+    if not manifest.clean:
+        _require(None, "clean")
+    return _read_clean(spark, manifest, None if years is None else set(years))
 
 
-def ingest(raw: DataFrame, layout: Layout) -> int:
-    """Full replacement of the raw checkpoint, partitioned by ANO."""
-    check_raw_schema(raw.select(*[c for c in raw.columns if c in RAW_COLUMNS]))
-    return write_partitioned(raw, layout.raw, "ANO", dynamic=False)
+def read_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The uncut counts of the published state (input of the rankings)."""
+    folder = _require(current(spark, layout.root).kpis, "kpis")
+    return spark.read.schema(counts_schema()).parquet(f"{folder}/{COUNTS}")
+
+
+def _stored_years(spark: SparkSession, raw_folder: str) -> set[int | None]:
+    """Year partitions of a raw folder, by listing."""
+    raw = spark.read.schema(RAW_STORED_SCHEMA).parquet(raw_folder)
+    return _by_year(partition_values(raw, "ANO"))
+
+
+def years_stored(spark: SparkSession, layout: Layout) -> list[int]:
+    """Integer years of the raw table, by listing its partitions (no job)."""
+    folder = _require(current(spark, layout.root).raw, "ingest")
+    return sorted(y for y in _stored_years(spark, folder) if y is not None)
 
 
 def discover_years(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Integer year partitions of the raw checkpoint (partition column only)."""
-    return read_raw(spark, layout).select(F.col("ANO").alias("ano")).filter(F.col("ano").isNotNull()).distinct()
+    return spark.createDataFrame([(y,) for y in years_stored(spark, layout)], "ano int")
 
 
-def run_clean(spark: SparkSession, layout: Layout, years: list[int] | None = None,
-              date_mode: str = "compat") -> dict[str, float]:
-    """Clean the raw checkpoint (all or some years) into ``clean``.
+def _write_raw(spark: SparkSession, layout: Layout, raw: DataFrame, state: Manifest) -> tuple[Manifest, int]:
+    check_raw_schema(raw.select(*[c for c in raw.columns if c in RAW_COLUMNS]))
+    folder = new_folder(layout.root, "raw")
+    n = write_partitioned(raw, folder, "ANO")
+    return state.with_(raw=folder), n
 
-    Row counts before and after the date filter and after cleaning are
-    observed inside the write job itself."""
-    raw = read_raw(spark, layout)
+
+def ingest(raw: DataFrame, layout: Layout) -> int:
+    """Full replacement of the raw table, partitioned by ANO; clean and the published
+    tables stay as they are until the next run."""
+    spark = raw.sparkSession
+    state, n = _write_raw(spark, layout, raw, current(spark, layout.root))
+    commit(spark, layout.root, state)
+    return n
+
+
+def _write_clean(spark: SparkSession, layout: Layout, state: Manifest, years: list[int] | None,
+                 date_mode: str) -> tuple[Manifest, dict[str, float]]:
+    """Clean all or some years into a new folder. The manifest then names that folder for
+    the years it holds, and forgets every requested year without rows and every year that raw
+    no longer has."""
+    raw = spark.read.schema(RAW_STORED_SCHEMA).parquet(_require(state.raw, "ingest"))
+    in_raw = _stored_years(spark, state.raw)
     if years is not None:
         raw = raw.filter(F.col("ANO").isin(years))
-    obs = Observation()
-    counted = raw.observe(obs, F.count(F.lit(1)).alias("raw"),
-                          F.count_if(valid_date(date_mode)).alias("valid"),
-                          F.count_if(valid_date(date_mode) & is_consummated(clean_text("FLAG_STATUS")))
-                          .alias("clean"))
-    write_partitioned(clean_step(counted, date_mode=date_mode), layout.clean, "ano", dynamic=years is not None)
-    m = obs.get
-    raw_n = int(m.get("raw", 0))
-    return {"linhas_brutas": raw_n, "linhas_validas": int(m.get("valid", 0)),
-            "linhas_limpas": int(m.get("clean", 0)),
-            "pct_retido": round(m.get("clean", 0) / raw_n * 100, 1) if raw_n else 0.0}
-
-
-def _annual_with_neighbours(spark: SparkSession, layout: Layout, fresh_annual: DataFrame,
-                            years: list[int]) -> DataFrame:
-    """Annual rows for the refreshed years and the next present year of each
-    type, with YoY recomputed over stored totals of the other years."""
-    stored = read_kpi(spark, layout.kpis, C.KPI_ANNUAL)
-    totals = fresh_annual.select("ano", "tipo_crime", "total")
-    if stored is not None:
-        totals = totals.unionByName(stored.filter(~F.col("ano").isin(years) | F.col("ano").isNull())
-                                    .select("ano", "tipo_crime", "total"))
-    full = with_yoy(totals)
-    nxt = (totals.filter(F.col("ano").isin(years)).select("tipo_crime", F.col("ano").alias("y"))
-           .join(totals.select("tipo_crime", "ano"), "tipo_crime")
-           .filter(F.col("ano") > F.col("y")).groupBy("tipo_crime", "y").agg(F.min("ano").alias("ano"))
-           .select("ano").distinct())
-    touched = totals.filter(F.col("ano").isin(years)).select("ano").distinct().unionByName(nxt).distinct()
-    # Tiny (years x types); checkpointed so the write does not read the path it replaces.
-    return full.join(F.broadcast(touched), "ano").select(*[f.name for f in KPI_SCHEMAS[C.KPI_ANNUAL].fields]) \
-        .checkpoint(eager=True)
-
-
-def run_kpis(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> tuple[list[LoadResult], list[int] | None]:
-    """All eight KPI tables from one scan of clean (or of the given years).
-
-    Returns the write results and the years rewritten (None = all)."""
-    kpis = compute_kpis(read_clean(spark, layout, years))
-    if years is None:
-        return write_kpis(kpis, layout.kpis), None
-    kpis[C.KPI_ANNUAL] = _annual_with_neighbours(spark, layout, kpis[C.KPI_ANNUAL], years)
-    touched = sorted(set(years) | {r[0] for r in kpis[C.KPI_ANNUAL].select("ano").distinct().collect()
-                                   if r[0] is not None})
-    # Annual rows of the next years were recomputed (their YoY); every other
-    # table changes only in the refreshed years.
-    return replace_years(kpis, layout.kpis, years, {C.KPI_ANNUAL: touched}), touched
-
-
-def run_load(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> list[LoadResult]:
-    """Validate keys and publish from the KPI folder (replace all, or replace
-    the given years); missing tables are reported and skipped."""
-    _require(spark, layout.kpis, "kpis")
-    results, present = [], {}
-    for name in KPI_TABLES:
-        if _exists(spark, f"{layout.kpis}/{name}"):
-            present[name] = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{layout.kpis}/{name}")
-        else:
-            results.append(LoadResult(name, 0, "AVISO ausente"))
-    if present:
-        results += publish_kpis(present, layout.published, years=years)
+    # The written rows are observed below the writer; rows before the filters come from a
+    # cheap aggregate of their own, so that the filters still reach the scan of this job.
+    metrics = {k: float(v) for k, v in clean_quality(raw, date_mode=date_mode).first().asDict().items()}
+    folder, obs = new_folder(layout.root, "clean"), Observation()
+    cleaned = clean_step(raw, date_mode=date_mode).observe(obs, F.count(F.lit(1)).alias("rows"))
+    cleaned.write.partitionBy("ano").parquet(folder)
+    n = int(obs.get.get("rows", 0))
+    written = read_if_present(spark, folder, CLEAN_SCHEMA)
+    held = _by_year(partition_values(written, "ano")) if n else set()
+    kept = {} if years is None else {y: p for y, p in state.clean.items() if y not in years and (y is None or y in in_raw)}
+    state = state.with_(clean={**kept, **{y: folder for y in held}})
+    rows = n if years is None else _read_clean(spark, state).count()
+    return state.with_(clean_rows=rows), metrics
+
+
+def run_clean(spark: SparkSession, layout: Layout, years: list[int] | None = None,
+              date_mode: str = "compat") -> dict[str, float]:
+    """Clean raw (all or some years) and commit the clean folders. Publishing is a step of
+    its own, so readers still see the previous KPI tables."""
+    state, metrics = _write_clean(spark, layout, current(spark, layout.root), years, date_mode)
+    commit(spark, layout.root, state)
+    return metrics
+
+
+def _write_version(spark: SparkSession, layout: Layout, state: Manifest,
+                   fresh: set[int | None] | None) -> tuple[str, list[LoadResult]]:
+    """Write counts and the eight tables into a new version folder and check them.
+    ``fresh``: years counted anew (None: all); the others' counts come from the current version."""
+    folder = new_folder(layout.root, "kpis")
+    columns = counts_schema().fieldNames()
+    counts = grouped_counts(_read_clean(spark, state, fresh)).select(*columns)
+    if fresh is not None:
+        old = spark.read.schema(counts_schema()).parquet(f"{_require(state.kpis, 'kpis')}/{COUNTS}").select(*columns)
+        kept = [y for y in state.clean if y not in fresh]
+        keep = F.col("ano").isin([y for y in kept if y is not None])
+        counts = counts.unionByName(old.filter(keep | F.col("ano").isNull() if None in kept else keep))
+    write_partitioned(counts, f"{folder}/{COUNTS}", "ano")
+    stored = spark.read.schema(counts_schema()).parquet(f"{folder}/{COUNTS}")
+    written = write_kpis(kpis_from_grouped(stored), folder)
+    if failed(written):
+        return folder, written
+    checked = check_version(spark, folder)
+    if failed(checked):
+        return folder, checked
+    tables = {name: read_kpi_folder(spark, folder, name) for name in KPI_TABLES}
+    # the health check runs on the counts, never on clean again
+    for row in reconcile(state.clean_rows, stored, tables).filter("not ok").collect():
+        return folder, [*written, LoadResult(row["verificacao"], 0, f"ERRO esperado {row['esperado']}, obtido {row['obtido']}")]
+    return folder, written
+
+
+def run_kpis(spark: SparkSession, layout: Layout, dry_run: bool = False) -> list[LoadResult]:
+    """All eight tables from the stored clean rows; published if every check passes (and
+    this is no dry run)."""
+    state = current(spark, layout.root)
+    if not state.clean:
+        _require(None, "clean")
+    folder, results = _write_version(spark, layout, state, None)
+    if not failed(results) and not dry_run:
+        commit(spark, layout.root, state.with_(kpis=folder))
     return results
 
 
 def run_pipeline(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
-                 from_step: str = "ingest", date_mode: str = "compat") -> Report:
-    """Full refresh, optionally restarting from a later step."""
+                 from_step: str = "ingest", date_mode: str = "compat", dry_run: bool = False) -> Report:
+    """Full refresh, optionally restarting from a later step. The new state is committed once,
+    at the end, if everything passed; a dry run writes and checks but commits nothing."""
     if from_step not in STEPS:
         raise ValueError(f"from_step must be one of {STEPS}")
     steps = STEPS[STEPS.index(from_step):]
-    report = Report()
+    report, state = Report(), current(spark, layout.root)
     if "ingest" in steps:
         if raw is None:
             raise ValueError("the ingest step needs a raw DataFrame")
-        report.metrics["linhas_ingeridas"] = ingest(raw, layout)
+        state, n = _write_raw(spark, layout, raw, state)
+        report.metrics["linhas_ingeridas"] = n
     if "clean" in steps:
-        report.metrics.update(run_clean(spark, layout, date_mode=date_mode))
-    if "kpis" in steps:
-        report.loads, _ = run_kpis(spark, layout)
-    if "load" in steps:
-        report.loads = run_load(spark, layout)
+        state, metrics = _write_clean(spark, layout, state, None, date_mode)
+        report.metrics.update(metrics)
+    elif not state.clean:
+        _require(None, "clean")
+    folder, report.loads = _write_version(spark, layout, state, None)
+    if report.ok and not dry_run:
+        report.published = commit(spark, layout.root, state.with_(kpis=folder))
     return report
 
 
 def refresh_years(spark: SparkSession, layout: Layout, years: list[int] | None = None,
-                  date_mode: str = "compat") -> Report:
-    """Clean -> KPIs -> publish for the requested years that exist (all when
-    None), in one job per step for all of them together. If the combined
-    run fails, each year is retried alone and failures are collected while
-    the others continue."""
-    available = sorted(r["ano"] for r in discover_years(spark, layout).collect())
-    chosen = available if years is None else [y for y in years if y in set(available)]
+                  date_mode: str = "compat", dry_run: bool = False) -> Report:
+    """Clean -> KPIs -> checks -> publish for the requested years (None: every year of raw),
+    in one job per step for all of them together. Requested years without rows and years that raw no
+    longer has disappear. If the combined run fails, each year is retried alone, and failures
+    are collected while the others are published."""
+    state = current(spark, layout.root)
+    in_raw = _stored_years(spark, _require(state.raw, "ingest"))
+    gone = {y for y in state.clean if y is not None and y not in in_raw}
+    asked = {y for y in in_raw if y is not None} if years is None else set(years)
+    chosen = sorted(y for y in asked | gone if y in in_raw or y in state.clean)
     report = Report()
     if not chosen:
         return report
+    if state.kpis is None:  # nothing published yet: there are no counts to merge with
+        return run_pipeline(spark, layout, from_step="clean", date_mode=date_mode, dry_run=dry_run)
     try:
-        _refresh(spark, layout, chosen, date_mode, report)
+        _refresh(spark, layout, chosen, date_mode, report, dry_run)
     except Exception:  # noqa: BLE001 - fall back to one year at a time
         for y in chosen:
             try:
-                _refresh(spark, layout, [y], date_mode, report)
-            except Exception:  # noqa: BLE001
+                _refresh(spark, layout, [y], date_mode, report, dry_run)
+            except Exception as e:  # noqa: BLE001
                 report.failed_years.append(y)
+                report.loads = [LoadResult(f"ano {y}", 0, f"ERRO {type(e).__name__}: {e}")]
     return report
 
 
-def _refresh(spark: SparkSession, layout: Layout, years: list[int], date_mode: str, report: Report) -> None:
-    report.metrics.update(run_clean(spark, layout, years, date_mode))
-    run_kpis(spark, layout, years)
-    # The KPI folder now holds every year correctly (vanished years removed);
-    # the published copy is replaced whole from it after validation.
-    report.loads = run_load(spark, layout)
+def _refresh(spark: SparkSession, layout: Layout, years: list[int], date_mode: str, report: Report, dry_run: bool) -> None:
+    state, metrics = _write_clean(spark, layout, current(spark, layout.root), years, date_mode)
+    folder, results = _write_version(spark, layout, state, set(years))
+    bad = failed(results)
+    if bad:
+        raise RuntimeError("; ".join(f"{r.tabela}: {r.status}" for r in bad))
+    report.metrics.update(metrics)
+    report.loads = results
+    if not dry_run:
+        report.published = commit(spark, layout.root, state.with_(kpis=folder))

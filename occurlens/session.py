@@ -57,13 +57,16 @@ def ensure_defaults(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
-    Taken from the session's checkpoint folder (``spark.checkpoint.dir``).
-    Only when none is configured (local tests) a fresh one is created.
+    Taken from the session's checkpoint folder (``spark.checkpoint.dir``). A fresh
+    machine-local one is made only in local mode (tests, benches); on a cluster,
+    where executors could not see it, an unset folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="occurlens-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")

@@ -1,32 +1,41 @@
-"""Parquet sinks with dynamic partition overwrite and observed row counts.
+"""KPI tables on Parquet: writing, key and range checks, ordered reading, and an
+optional database target.
 
-Row counts come from ``DataFrame.observe`` during the write itself, not a
-second ``count()`` job over the output.
+Row counts come from ``DataFrame.observe`` during the write itself, not a second
+``count()`` job over the output.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from .. import constants as C
 from ..schema import KPI_KEYS, KPI_SCHEMAS, KPI_TABLES
-
-
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | str | None = None,
-                      mode: str = "overwrite", dynamic: bool = True) -> int:
-    """Write Parquet; with ``dynamic`` an overwrite replaces only the
-    partitions present in ``df``. Returns the number of rows written."""
+from .versions import current, read_if_present
+
+#: Reading order of each table: (column, descending).
+KPI_ORDER = {
+    C.KPI_ANNUAL: [("tipo_crime", False), ("ano", False)],
+    C.KPI_MONTHLY: [("ano", False), ("mes", False), ("tipo_crime", False)],
+    C.KPI_MUNICIPALITY: [("ano", False), ("total", True), ("municipio", False), ("tipo_crime", False)],
+    C.KPI_BAIRRO: [("ano", False), ("total", True), ("bairro", False), ("tipo_crime", False)],
+    C.KPI_LOCATION: [("ano", False), ("total", True), ("tipo_local", False), ("tipo_crime", False)],
+    C.KPI_BRAND: [("ano", False), ("total", True), ("marca", False), ("tipo_crime", False)],
+    C.KPI_HOUR: [("ano", False), ("hora", False), ("tipo_crime", False)],
+    C.KPI_PERIOD: [("ano", False), ("total", True), ("periodo", False), ("tipo_crime", False)],
+}
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | str | None = None) -> int:
+    """Write Parquet to a folder of its own; returns the number of rows written."""
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
-        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        writer = writer.partitionBy(*cols)
-    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
     return int(obs.get.get("rows", 0))
 
@@ -46,7 +55,9 @@ def for_each_table(kpis: dict[str, DataFrame], fn) -> list[LoadResult]:
 
     The tables are small and independent, so their jobs are submitted from
     several driver threads at once instead of one after another. A failing
-    table is recorded and the others continue; results keep table order."""
+    table is recorded with its whole error and the others continue; results
+    keep table order. Callers decide what a failure means (see pipeline.py:
+    nothing is published)."""
     from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
 
     def safe(item):
@@ -54,83 +65,84 @@ def for_each_table(kpis: dict[str, DataFrame], fn) -> list[LoadResult]:
         try:
             return fn(name, df)
         except Exception as e:  # noqa: BLE001 - reported, others continue
-            return LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}"[:300])
+            return LoadResult(name, 0, f"ERRO {type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=min(TABLE_THREADS, max(1, len(kpis)))) as pool:
         return list(pool.map(safe, kpis.items()))
 
 
-def write_kpis(kpis: dict[str, DataFrame], root: str, years: list[int] | None = None) -> list[LoadResult]:
-    """Write each KPI table to ``root/<table>`` partitioned by ``ano``.
+def any_key_null(name: str) -> Column:
+    out = F.lit(False)
+    for k in KPI_KEYS[name]:
+        out = out | F.col(k).isNull()
+    return out
+
 
-    Without ``years`` every partition is replaced (full refresh); with
-    ``years`` only those partitions are (replace-by-year)."""
+def write_kpis(kpis: dict[str, DataFrame], folder: str) -> list[LoadResult]:
+    """Write the eight tables into one new version folder, partitioned by ``ano``.
+
+    Rows with a null key (a null year) cannot be stored under the natural key; they go
+    to ``<folder>/sem_chave/<table>`` and are counted in the status of the report."""
     def write(name: str, df: DataFrame) -> LoadResult:
-        if years is not None:
-            df = df.filter(F.col("ano").isin(years))
-        return LoadResult(name, write_partitioned(df, f"{root}/{name}", "ano", dynamic=years is not None), "OK")
+        df = nan_to_null(df)
+        n = write_partitioned(df.filter(~any_key_null(name)), f"{folder}/{name}", "ano")
+        keyless = write_partitioned(df.filter(any_key_null(name)), f"{folder}/sem_chave/{name}")
+        return LoadResult(name, n, "OK" if not keyless else f"OK ({keyless} sem chave)")
     return for_each_table(kpis, write)
 
 
-def replace_years(kpis: dict[str, DataFrame], root: str, years: list[int],
-                  years_by_table: dict[str, list[int]] | None = None) -> list[LoadResult]:
-    """Replace-by-year for KPI tables: rows of ``years`` come from ``kpis``,
-    rows of other years from the stored table; each table is rewritten
-    whole. A year with no new rows therefore disappears, as a delete-then-
-    insert would leave it. KPI tables are groups, not rows, so the rewrite
-    is small; the merged frame is checkpointed so the write never reads the
-    path it replaces. ``years_by_table`` overrides the years per table."""
-    def merge(name: str, df: DataFrame) -> LoadResult:
-        ys = (years_by_table or {}).get(name, years)
-        cols = [f.name for f in KPI_SCHEMAS[name].fields]
-        merged = df.filter(F.col("ano").isin(ys)).select(*cols)
-        stored = _stored(df.sparkSession, root, name)
-        if stored is not None:
-            merged = merged.unionByName(stored.filter(~F.col("ano").isin(ys) | F.col("ano").isNull()))
-        merged = merged.checkpoint(eager=True)
-        return LoadResult(name, write_partitioned(merged, f"{root}/{name}", "ano", dynamic=False), "OK")
-    return for_each_table(kpis, merge)
-
-
-def _stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The stored table by listing only (no job); None when missing."""
-    try:
-        df = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{root}/{name}")
-    except Exception:  # noqa: BLE001 - missing folder
-        return None
-    return df.select(*[f.name for f in KPI_SCHEMAS[name].fields])
+def check_version(spark: SparkSession, folder: str) -> list[LoadResult]:
+    """Key and range check of every table of a version folder. A missing table, a
+    duplicate or null key, or a change outside the sink's range is an error."""
+    def check(name: str, _: DataFrame) -> LoadResult:
+        df = read_if_present(spark, f"{folder}/{name}", KPI_SCHEMAS[name])
+        if df is None:
+            return LoadResult(name, 0, "ERRO tabela ausente")
+        chk = check_keys(df, name).first()
+        if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
+            return LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas, {chk['chaves_nulas']} nulas")
+        if "variacao_yoy_pct" in df.columns:
+            bad = df.filter(out_of_range(F.col("variacao_yoy_pct"))).count()
+            if bad:
+                return LoadResult(name, 0, f"ERRO faixa: {bad} variacoes fora de +-{max_yoy()}")
+        return LoadResult(name, chk["linhas"], "OK")
+    return for_each_table(dict.fromkeys(KPI_TABLES), check)
+
+
+def read_kpi_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    columns = [f.name for f in KPI_SCHEMAS[name].fields]
+    return spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{folder}/{name}").select(*columns)
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """A KPI table in its reading order."""
+    return df.orderBy(*[F.desc(c) if down else F.asc_nulls_first(c) for c, down in KPI_ORDER[name]])
 
 
 def read_kpi(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame | None:
-    """A stored KPI table, or None when it is missing or empty. ``ordered``
-    sorts by year on the read side (the files promise no order)."""
-    try:
-        df = spark.read.schema(KPI_SCHEMAS[name]).parquet(f"{root}/{name}")
-    except Exception:  # noqa: BLE001 - missing folder
-        return None
-    if df.isEmpty():
+    """A published KPI table of the current state under ``root``, or None before the
+    first publish. ``ordered`` sorts on the read side (the files promise no order)."""
+    folder = current(spark, root).kpis
+    if folder is None:
         return None
-    df = df.select(*[f.name for f in KPI_SCHEMAS[name].fields])
-    return df.orderBy("ano") if ordered else df
+    df = read_kpi_folder(spark, folder, name)
+    return in_order(df, name) if ordered else df
 
 
 def read_kpis(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    out = {}
-    for name in KPI_TABLES:
-        df = read_kpi(spark, root, name)
-        if df is not None:
-            out[name] = df
-    return out
+    """All published tables of one state (the pointer is read once)."""
+    folder = current(spark, root).kpis
+    return {} if folder is None else {name: read_kpi_folder(spark, folder, name) for name in KPI_TABLES}
 
 
 def load_report(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
-    """(tabela, linhas, status) per table; ``failed(report)`` tells if any failed."""
+    """(tabela, linhas, status) per table; ``failed(results)`` tells which failed."""
     rows = [(r.tabela, int(r.linhas), r.status) for r in results]
     return spark.createDataFrame(rows, "tabela string, linhas long, status string")
 
 
 def failed(results: list[LoadResult]) -> list[LoadResult]:
-    return [r for r in results if r.status != "OK"]
+    return [r for r in results if not r.status.startswith("OK")]
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -144,71 +156,52 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def to_sink_types(df: DataFrame, name: str) -> DataFrame:
-    """Database column types: YoY as DECIMAL(6,2) (values outside +-9999.99
-    become null instead of failing the load), totals as int."""
+def max_yoy() -> float:
+    p, s = C.YOY_PRECISION
+    return float(f"{'9' * (p - s)}.{'9' * s}")
+
+
+def out_of_range(yoy: Column) -> Column:
+    """Whether a change (rounded to the sink's scale) does not fit the sink's decimal."""
+    return F.abs(F.round(yoy, C.YOY_PRECISION[1])) > max_yoy()
+
+
+def to_sink_types(df: DataFrame) -> DataFrame:
+    """Database column types: YoY as DECIMAL(6,2), NaN as null, totals as they are (long).
+    A change that does not fit fails the job; it never becomes null."""
     p, s = C.YOY_PRECISION
     out = nan_to_null(df)
     if "variacao_yoy_pct" in out.columns:
-        out = out.withColumn("variacao_yoy_pct", F.col("variacao_yoy_pct").try_cast(f"decimal({p},{s})"))
-    if "total" in out.columns:
-        out = out.withColumn("total", F.col("total").try_cast("int"))
+        yoy = F.col("variacao_yoy_pct")
+        message = F.concat(F.lit("variacao_yoy_pct out of range: "), yoy.cast("string"))
+        out = out.withColumn("variacao_yoy_pct", F.when(
+            out_of_range(yoy), F.raise_error(message).cast(f"decimal({p},{s})")).otherwise(yoy.cast(f"decimal({p},{s})")))
     return out
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, years: list[int] | None = None,
                properties: dict[str, str] | None = None) -> int:
-    """Optional database target: replace-all (truncate + insert) or
-    replace-by-year (delete the years, then append), batches of 500 rows.
-
-    The delete of selected years needs a statement the JDBC writer does not
-    issue; callers give a ``preActions``-capable driver or stage + swap.
-    Not exercised by the tests (no database here)."""
+    """Optional database target: replace-all (truncate + insert) in batches of 500 rows.
+
+    Replacing only some years needs a DELETE, which the JDBC writer does not issue, so
+    ``years`` is refused rather than appended as duplicates; publish the Parquet tables
+    (which do replace by year) and load them whole. Not run by the tests: no database is
+    reachable here."""
+    if years is not None:
+        raise ValueError("replace-by-year is not available over JDBC; load the whole table")
+    obs = Observation()
+    out = to_sink_types(df).observe(obs, F.count(F.lit(1)).alias("rows"))
     props = {"batchsize": str(C.SINK_BATCH_SIZE), **(properties or {})}
-    n = df.count()
-    writer = df.write.format("jdbc").option("url", url).option("dbtable", table).options(**props)
-    if years is None:
-        writer.mode("overwrite").option("truncate", "true").save()
-    else:
-        writer.mode("append").save()
-    return n
+    out.write.format("jdbc").option("url", url).option("dbtable", table).options(**props) \
+        .option("truncate", "true").mode("overwrite").save()
+    return int(obs.get.get("rows", 0))
 
 
 def check_keys(df: DataFrame, name: str) -> DataFrame:
     """Duplicate keys and null keys of one KPI table as one row."""
-    keys = KPI_KEYS[name]
-    any_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull().cast("int")
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(any_null).alias("nulo"))
+    per_key = df.groupBy(*KPI_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).withColumn("nulo", any_key_null(name))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("linhas"),
         F.count(F.when(F.col("n") > 1, 1)).cast("long").alias("chaves_duplicadas"),
-        F.coalesce(F.sum(F.when(F.col("nulo") == 1, F.col("n"))), F.lit(0)).cast("long").alias("chaves_nulas"),
+        F.coalesce(F.sum(F.when(F.col("nulo"), F.col("n"))), F.lit(0)).cast("long").alias("chaves_nulas"),
     ).select(F.lit(name).alias("tabela"), "*")
-
-
-def publish_kpis(kpis: dict[str, DataFrame], target: str, staging: str | None = None,
-                 years: list[int] | None = None) -> list[LoadResult]:
-    """Validate keys, then publish (no partial replacement when a table has
-    duplicate or null keys; an empty table is reported and skipped).
-
-    ``staging``: persist the tables there first (for lazy inputs); tables
-    read from the KPI folder are already persisted and go straight through
-    one check job and one write each."""
-    if staging is not None:
-        spark = next(iter(kpis.values())).sparkSession
-        write_kpis(kpis, staging, years)
-        kpis = {n: spark.read.schema(KPI_SCHEMAS[n]).parquet(f"{staging}/{n}") for n in kpis}
-
-    def publish(name: str, df: DataFrame) -> LoadResult:
-        if years is not None:
-            df = df.filter(F.col("ano").isin(years))
-        chk = check_keys(df, name).first()
-        if chk["linhas"] == 0:
-            return LoadResult(name, 0, "AVISO vazio")
-        if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
-            return LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas,"
-                                       f" {chk['chaves_nulas']} nulas")
-        n = write_partitioned(df.select(*[f.name for f in KPI_SCHEMAS[name].fields]),
-                              f"{target}/{name}", "ano", dynamic=years is not None)
-        return LoadResult(name, n, "OK")
-    return for_each_table(kpis, publish)

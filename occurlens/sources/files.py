@@ -1,32 +1,35 @@
 """Multi-file occurrence source (one file per year, every column a string).
 
-* files are found by a name glob (``CelularesSubtraidos_*`` by default;
-  Office lock files ``~$...`` never match it) and sorted;
-* files are grouped by header, and each group is read in **one scan** with
-  an explicit all-string schema built from that header - never inferred,
-  and never one fixed schema across files, because a CSV schema binds by
-  position and would silently shift columns of a file lacking one;
-* groups are unioned by name, the required columns are selected in a fixed
-  order, and absent columns or empty cells become blanks;
-* lineage is the file name, or the ``ARQUIVO_ORIGEM=...`` directory value
-  when the files are laid out in such partition directories;
-* a file whose year column is blank throughout gets year and month from
-  its occurrence date (``derive_year_month``).
+* files are those under the root whose names match a glob (``CelularesSubtraidos_*`` by
+  default; Office lock files ``~$...`` never match it);
+* CSV headers are taken in one distributed pass (the first line of each file, whatever the
+  number of files) and stored as a small table; only the distinct headers reach the driver;
+* all lines are then read in one scan and parsed by their own file's header, never by one
+  schema for all (a CSV schema binds by position and would silently shift the columns of a
+  file lacking one), never inferred;
+* the required columns come out in a fixed order; absent columns and empty cells are blank;
+* lineage is the file name, or the ``ARQUIVO_ORIGEM=...`` directory value when the files are
+  laid out in such partition directories;
+* a file whose year column is blank throughout gets year and month from its occurrence date
+  (``derive_year_month``).
+
+Values hold no line breaks (a record is a line); a line equal to its file's header is a header.
 """
 
 from __future__ import annotations
 
-import os
+import csv
 from collections import defaultdict
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as C
 from ..functions import parse_date
 from ..schema import check_raw_schema
+from ..session import scratch_path
+from ..sinks.versions import is_missing
 
 # CSV options that keep every character of a value (Spark trims leading and
 # trailing blanks on write by default; the padding is data here).
@@ -37,76 +40,88 @@ CSV_OPTIONS = {
     "inferSchema": "false",
     "mode": "PERMISSIVE",
 }
+MAX_HEADERS = 10_000  # distinct headers that may reach the driver; more is an error
 
 
-@dataclass(frozen=True)
-class SourceFile:
-    path: str
-    columns: tuple[str, ...]
+def _lines(spark: SparkSession, root: str | list[str], file_glob: str, options: dict[str, str]) -> DataFrame:
+    """(file, first_block, line) of all files: one text scan."""
+    reader = spark.read.option("pathGlobFilter", file_glob)
+    try:
+        text = reader.text([root] if isinstance(root, str) else list(root))
+    except AnalysisException as e:
+        if is_missing(e):
+            raise FileNotFoundError(f"no {file_glob} files under {root}") from e
+        raise
+    line = F.col("value")
+    if "encoding" in options:
+        line = F.decode(line.cast("binary"), options["encoding"])
+    file = F.col("_metadata.file_path")
+    return (text.select(file.alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first_block"), line.alias("line"))
+            .filter(~F.regexp_extract("file", "([^/]+)$", 1).startswith("~$") & (F.col("line") != "")))
 
-    @property
-    def name(self) -> str:
-        return os.path.basename(self.path.rstrip("/"))
 
-    @property
-    def origin(self) -> str:
-        """Lineage value: the partition directory value if any, else the name."""
-        parent = os.path.basename(os.path.dirname(self.path.rstrip("/")))
-        prefix = f"{C.LINEAGE_COLUMN}="
-        return parent[len(prefix):] if parent.startswith(prefix) else self.name
+def file_headers(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """Written table (file, header): the first line of each file, in one pass."""
+    lines = _lines(spark, root, file_glob, options or {}).filter("first_block")
+    first = lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    path = scratch_path(spark, "headers")
+    first.write.parquet(path)
+    return spark.read.schema("file string, header string").parquet(path)
 
 
-def list_files(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
-               fmt: str = "csv") -> list[str]:
-    """Sorted data files under ``root`` whose names match ``file_glob``.
+def header_columns(header: str, options: dict[str, str]) -> list[str]:
+    sep, quote = options.get("sep", options.get("delimiter", ",")), options.get("quote", '"')
+    return next(csv.reader([header.lstrip("\ufeff")], delimiter=sep, quotechar=quote or None))
 
-    Uses the reader's own file index (listing only, no data read)."""
-    roots = [root] if isinstance(root, str) else list(root)
-    reader = spark.read.format("text" if fmt == "csv" else fmt).option("pathGlobFilter", file_glob)
-    try:
-        files = reader.load(roots).inputFiles()
-    except Exception as e:  # noqa: BLE001 - an empty or missing folder
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
-        raise
-    return sorted(f for f in files if not os.path.basename(f).startswith("~$"))
 
+def _distinct_headers(headers: DataFrame) -> list[str]:
+    found = [r["header"] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(found) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} distinct headers: these files are no occurrence files")
+    return sorted(found)
 
-def _header(spark: SparkSession, path: str, fmt: str, options: dict[str, str]) -> tuple[str, ...]:
-    if fmt == "csv":
-        opts = {**CSV_OPTIONS, **options, "header": "false"}
-        first = spark.read.options(**opts).csv(path).limit(1).collect()
-        return tuple(v if v is not None else "" for v in first[0]) if first else ()
-    return tuple(spark.read.format(fmt).load(path).columns)
 
+def _parsed(header: str, columns: list[str], options: dict[str, str]) -> Column:
+    """The required columns of a line, by its file's header."""
+    names = header_columns(header, options)
+    ddl = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    parse = {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k not in ("header", "inferSchema", "encoding")}
+    row = F.from_csv("line", ddl, parse)
+    return F.struct(*[(row[f"c{names.index(c)}"] if c in names else F.lit(None).cast("string")).alias(c) for c in columns])
 
-PROBE_THREADS = 16
 
+def _read_csv(spark: SparkSession, root: str | list[str], file_glob: str, columns: list[str],
+              options: dict[str, str]) -> DataFrame:
+    headers = file_headers(spark, root, file_glob, options)
+    distinct = _distinct_headers(headers)
+    if not distinct:
+        raise FileNotFoundError(f"no {file_glob} files under {root}")
+    lines = _lines(spark, root, file_glob, options).drop("first_block")
+    rows = lines.join(headers, "file").filter("line <> header")  # size-checked by the optimizer
+    by_header = F.coalesce(*[F.when(F.col("header") == h, _parsed(h, columns, options)) for h in distinct])
+    return rows.select("file", by_header.alias("r")).select("file", *[F.col(f"r.`{c}`").alias(c) for c in columns])
 
-def probe_files(spark: SparkSession, files: list[str], fmt: str = "csv",
-                options: dict[str, str] | None = None) -> list[SourceFile]:
-    """Header of each file: a tiny job per file that reads its first line
-    (CSV) or its footer (Parquet); the data is not read. The jobs run
-    concurrently (Spark schedules jobs from several driver threads)."""
-    from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
 
-    with ThreadPoolExecutor(max_workers=min(PROBE_THREADS, max(1, len(files)))) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f, fmt, options or {}), files))
-    return [SourceFile(f, h) for f, h in zip(files, headers)]
+def _read_columnar(spark: SparkSession, root: str | list[str], file_glob: str, fmt: str, columns: list[str],
+                   options: dict[str, str]) -> DataFrame:
+    """Self-describing files: one scan over the merged schema; columns a file lacks are null."""
+    reader = spark.read.format(fmt).options(**{"mergeSchema": "true", **options}).option("pathGlobFilter", file_glob)
+    try:
+        df = reader.load([root] if isinstance(root, str) else list(root))
+    except AnalysisException as e:
+        if is_missing(e) or (e.getCondition() or "").startswith("UNABLE_TO_INFER_SCHEMA"):
+            raise FileNotFoundError(f"no {file_glob} files under {root}") from e
+        raise
+    return df.select(F.col("_metadata.file_path").alias("file"), *[
+        (F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(c) for c in columns])
 
 
-def _read_group(spark: SparkSession, group: list[SourceFile], fmt: str,
-                options: dict[str, str]) -> DataFrame:
-    columns = group[0].columns
-    paths = [g.path for g in group]
+def _read(spark: SparkSession, root: str | list[str], file_glob: str, fmt: str, columns: list[str],
+          options: dict[str, str]) -> DataFrame:
     if fmt == "csv":
-        schema = StructType([StructField(c, StringType(), True) for c in columns])
-        df = spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(paths)
-    else:
-        df = spark.read.format(fmt).options(**options).load(paths)
-        df = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return df.withColumn("_file", F.col("_metadata.file_path"))
-
+        return _read_csv(spark, root, file_glob, columns, options)
+    return _read_columnar(spark, root, file_glob, fmt, columns, options)
 
 
 def read_occurrence_files(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
@@ -115,44 +130,31 @@ def read_occurrence_files(spark: SparkSession, root: str | list[str], file_glob:
                           derive_year: bool = True) -> DataFrame:
     """The raw table (required columns + lineage, all strings) from files."""
     columns = columns or C.REQUIRED_COLUMNS
-    options = options or {}
-    files = list_files(spark, root, file_glob, fmt)
-    if not files:
-        raise FileNotFoundError(f"no {file_glob} files under {root}")
-    probed = probe_files(spark, files, fmt, options)
-    groups: dict[tuple[str, ...], list[SourceFile]] = defaultdict(list)
-    for p in probed:
-        groups[p.columns].append(p)
-    frames = [_read_group(spark, g, fmt, options) for g in groups.values()]
-    df = frames[0]
-    for other in frames[1:]:
-        df = df.unionByName(other, allowMissingColumns=True)
-    selected = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    out = df.select(*selected, origin_of(F.col("_file")).alias(C.LINEAGE_COLUMN))
-    out = out.na.fill("", subset=columns)
+    df = _read(spark, root, file_glob, fmt, columns, options or {})
+    out = df.select(*columns, origin_of(F.col("file")).alias(C.LINEAGE_COLUMN)).na.fill("", subset=columns)
     out = derive_year_month(out) if derive_year else out
     check_raw_schema(out, columns + [C.LINEAGE_COLUMN])
     return out
 
 
 def origin_of(file_path):
-    """Lineage from a file path: the ``ARQUIVO_ORIGEM=`` folder value when
-    present, else the file name."""
+    """Lineage from an (encoded) file path: the ``ARQUIVO_ORIGEM=`` folder value when
+    present, else the file name. Blanks and accents are decoded, a plus sign stays."""
     pattern = f"/{C.LINEAGE_COLUMN}=([^/]+)/[^/]+$"
     folder = F.regexp_extract(file_path, pattern, 1)
     name = F.regexp_extract(file_path, r"([^/]+)$", 1)
-    return F.url_decode(F.when(folder != "", folder).otherwise(name))
+    return F.url_decode(F.replace(F.when(folder != "", folder).otherwise(name), F.lit("+"), F.lit("%2B")))
 
 
 def derive_year_month(raw: DataFrame) -> DataFrame:
     """Where **every** row of a file has a blank ``ANO``, set ``ANO``/``MES``
     to the year/month of its occurrence date (blank when unparsable).
 
-    The per-file flag is an aggregate (one row per file, a bounded and
-    small side) broadcast back, so a file holding a third of all rows is
-    still split across tasks."""
+    The per-file flag is an aggregate (one row per file) joined back without a
+    hint: the optimizer broadcasts it while it is small, and shuffles with skew
+    splitting beyond, so a file holding a third of all rows is still split."""
     flags = raw.groupBy(C.LINEAGE_COLUMN).agg(F.bool_and(F.col("ANO") == "").alias("_blank_year"))
-    joined = raw.join(F.broadcast(flags), on=C.LINEAGE_COLUMN, how="left")
+    joined = raw.join(flags, on=C.LINEAGE_COLUMN, how="left")
     date = parse_date("DATA_OCORRENCIA_BO")
     blank = F.coalesce(F.col("_blank_year"), F.lit(False))
     out = joined.withColumns({
@@ -163,15 +165,18 @@ def derive_year_month(raw: DataFrame) -> DataFrame:
 
 
 def schema_drift(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
-                 fmt: str = "csv", columns: list[str] | None = None,
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """Files (by lineage value) whose header lacks required columns."""
-    columns = columns or C.REQUIRED_COLUMNS
-    probed = probe_files(spark, list_files(spark, root, file_glob, fmt), fmt, options)
-    rows = sorted({(p.origin, ",".join(c for c in columns if c not in p.columns))
-                   for p in probed if any(c not in p.columns for c in columns)})
-    schema = "arquivo string, colunas_ausentes string"
-    return spark.createDataFrame(rows, schema)
+                 columns: list[str] | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """CSV files (by lineage value) whose header lacks required columns: a projection of the
+    header table, one distinct row per file and missing list."""
+    columns, options = columns or C.REQUIRED_COLUMNS, options or {}
+    headers = file_headers(spark, root, file_glob, options)
+    missing = F.lit(None).cast("string")
+    for h in _distinct_headers(headers):
+        names = header_columns(h, options)
+        lacking = ",".join(c for c in columns if c not in names)
+        missing = F.when(F.col("header") == h, F.lit(lacking)).otherwise(missing)
+    return (headers.select(origin_of(F.col("file")).alias("arquivo"), missing.alias("colunas_ausentes"))
+            .filter("colunas_ausentes <> ''").distinct())
 
 
 def export_source_files(raw: DataFrame, root: str, drop: dict[str, list[str]] | None = None,

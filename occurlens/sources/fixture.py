@@ -18,10 +18,12 @@ from ..session import table_path
 # The projection that defines the fixture (one SQL expression
 # per raw column, in raw column order).
 RAW_EXPRESSIONS = [
-    "cast(year(l_shipdate) as string) as ANO_BO",
+    "case when l_partkey % 61 = 0 then '12d' when l_partkey % 67 = 0 then '12f' when l_partkey % 71 = 0 then '1e3'"
+    " when l_partkey % 73 = 0 then concat(cast(year(l_shipdate) as string), '.0')"
+    " else cast(year(l_shipdate) as string) end as ANO_BO",
     "cast(l_orderkey as string) as NUM_BO",
     "case when c_nationkey = 24 then 'NULL' when c_nationkey % 3 = 0 then 'S.PAULO      '"
-    " else concat(n_name, '   ') end as NOME_MUNICIPIO_CIRC",
+    " else concat(n_name, ' ', cast(c_custkey % 4 as string), '   ') end as NOME_MUNICIPIO_CIRC",
     "case when l_partkey % 97 = 0 then '' when l_partkey % 89 = 0 then 'NULL'"
     " when l_orderkey % 3 = 0 then concat(y,'-',m,'-',d,' 00:00:00')"
     " when l_orderkey % 3 = 1 then concat(y,'-',m,'-',d) else concat(d,'/',m,'/',y) end"
@@ -41,17 +43,18 @@ RAW_EXPRESSIONS = [
     " when p_size % 5 = 0 then concat('JD ', p_name) when p_size % 5 = 1 then concat('VL ', p_name)"
     " when p_size % 5 = 2 then concat('Consolação ', p_type)"
     " when p_size % 5 = 3 then concat('CONSOLACAO ', p_type) else p_name end as BAIRRO",
-    "case when l_partkey % 41 = 0 then '' when l_partkey % 43 = 0 then '0' else '-23.55' end"
+    "case when l_partkey % 41 = 0 then '' when l_partkey % 43 = 0 then '0' else concat('-23.5', cast(l_partkey % 7 as string)) end"
     " as LATITUDE",
-    "case when l_partkey % 41 = 0 then '' when l_partkey % 43 = 0 then '0' else '-46.63' end"
+    "case when l_partkey % 41 = 0 then '' when l_partkey % 43 = 0 then '0' else concat('-46.6', cast(l_partkey % 3 as string)) end"
     " as LONGITUDE",
-    "case p_brand when 'Brand#1' then 'SAMSUNG GALAXY J5' when 'Brand#2' then 'iPhone 12'"
+    "case when l_orderkey % 997 = 0 then 'ASUS Zenfone' when l_orderkey % 991 = 0 then 'Realme 5' else"
+    " case p_brand when 'Brand#1' then 'SAMSUNG GALAXY J5' when 'Brand#2' then 'iPhone 12'"
     " when 'Brand#3' then 'i-phone' when 'Brand#4' then 'Moto G' when 'Brand#5' then 'MOTO'"
     " when 'Brand#6' then 'xiaomi' when 'Brand#7' then 'LG K10' when 'Brand#8' then 'LGK10'"
     " when 'Brand#9' then 'APPLE (capa samsung)' when 'Brand#10' then 'NULL'"
-    " when 'Brand#11' then 'nokia ' when 'Brand#12' then 'TCL' else p_brand end as MARCA_OBJETO",
+    " when 'Brand#11' then 'nokia ' when 'Brand#12' then 'TCL' else p_brand end end as MARCA_OBJETO",
     "case when l_partkey % 101 = 0 then '' else cast(month(l_shipdate) as string) end as MES",
-    "cast(year(l_shipdate) as string) as ANO",
+    "case when l_orderkey % 211 = 0 then '' else cast(year(l_shipdate) as string) end as ANO",
     "concat('f_', cast(year(l_shipdate) as string)) as ARQUIVO_ORIGEM",
 ]
 
@@ -99,18 +102,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    splits than cores (a single unsplittable file would otherwise run the
-    whole join-and-clean stage in one task). Round-robin, not by key, so a
-    key holding a third of the rows cannot make one task hot. At scale the
-    scan has thousands of splits and nothing is added."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     """The 16-string raw table, one row per line item.
 
@@ -119,8 +110,8 @@ def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) ->
     join key. ``nation`` has a fixed 25 rows, so it is broadcast outright.
     Only the referenced columns are read (pruned ReadSchema).
     """
-    lineitem = spread(spark, read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"))
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

@@ -1,76 +1,198 @@
-"""Pipeline: restart from a step, refresh of selected years equals a full
-run, failures reported, sinks."""
+"""Pipeline: one commit for all eight tables, failures leave the published state, exact
+year replacement, restart, rollback, dry run, health check, sinks."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from occurlens import constants as C
+from occurlens.operators import views as V
 from occurlens.plans import pipeline as PL
 from occurlens.schema import KPI_TABLES
 from occurlens.session import scratch_path
 from occurlens.sinks import tables as SK
+from occurlens.sinks import versions as VS
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
 def published(spark, layout):
-    return {n: sorted(tuple(r) for r in SK.read_kpi(spark, layout.published, n).collect()) for n in KPI_TABLES}
+    return {n: rows_of(df) for n, df in SK.read_kpis(spark, layout.root).items()}
+
+
+@pytest.fixture(scope="module")
+def few(raw_small):
+    """Three years of the fixture and its rows without a year."""
+    return raw_small.filter(F.col("ANO").isin("1996", "1997", "1998", "")).checkpoint(eager=True)
+
+
+@pytest.fixture(scope="module")
+def base(spark, few):
+    out = PL.Layout(scratch_path(spark, "base"))
+    assert PL.run_pipeline(spark, out, few).ok
+    return VS.current(spark, out.root)
+
+
+@pytest.fixture()
+def layout(spark, base):
+    """A layout of its own whose state is the full run's (folders are never written again)."""
+    out = PL.Layout(scratch_path(spark, "pipe"))
+    VS.commit(spark, out.root, base)
+    return out
+
+
+def full_of(spark, raw):
+    out = PL.Layout(scratch_path(spark, "full"))
+    assert PL.run_pipeline(spark, out, raw).ok
+    return published(spark, out)
 
 
-def test_refresh_equals_full_run_after_change(spark, raw_small):
-    # Full run on the original data, then one year changes at the source.
-    # Half of 1998 goes, and with it every capital row, so 1998 vanishes
-    # from the neighbourhood table altogether.
+def test_refresh_equals_full_run_after_change(spark, few, layout):
+    # Half of 1998 goes, and with it every capital row; 1997 disappears from raw.
     y1998 = F.col("ANO") == "1998"
-    changed = raw_small.filter(~(y1998 & (F.col("NUM_BO").cast("long") % 2 == 0))
-                               & ~(y1998 & F.col("NOME_MUNICIPIO_CIRC").startswith("S.PAULO")))
-    inc = PL.Layout(scratch_path(spark, "inc"))
-    PL.run_pipeline(spark, inc, raw_small)
-    PL.ingest(changed, inc)
-    report = PL.refresh_years(spark, inc, [1998, 3000])
-    assert report.ok
-    full = PL.Layout(scratch_path(spark, "full"))
-    assert PL.run_pipeline(spark, full, changed).ok
-    assert published(spark, inc) == published(spark, full)
-    bairro_1998 = SK.read_kpi(spark, inc.published, C.KPI_BAIRRO).filter(F.col("ano") == 1998).count()
-    assert bairro_1998 == 0
-
-
-def test_restart_from_kpis(spark, raw_small):
-    layout = PL.Layout(scratch_path(spark, "restart"))
-    first = PL.run_pipeline(spark, layout, raw_small)
-    again = PL.run_pipeline(spark, layout, from_step="kpis")
-    assert [(r.tabela, r.linhas) for r in first.loads] == [(r.tabela, r.linhas) for r in again.loads]
-    assert first.metrics["linhas_limpas"] == SK.read_kpi(spark, layout.published, C.KPI_ANNUAL) \
-        .agg(F.sum("total")).first()[0]
-
-
-def test_missing_checkpoint_fails_fast(spark):
-    layout = PL.Layout(scratch_path(spark, "empty"))
-    try:
-        PL.run_pipeline(spark, layout, from_step="clean")
-    except FileNotFoundError as e:
-        assert "ingest" in str(e)
-    else:
-        raise AssertionError("expected FileNotFoundError")
-
-
-def test_discover_years_ignores_blank(spark, raw_small):
-    from occurlens.sources.fixture import raw_blank_year
-    layout = PL.Layout(scratch_path(spark, "years"))
-    PL.ingest(raw_blank_year(raw_small), layout)
-    years = sorted(r["ano"] for r in PL.discover_years(spark, layout).collect())
-    assert years == list(range(1995, 2001))
-
-
-def test_publish_rejects_duplicate_keys(spark):
-    df = spark.createDataFrame([(2020, "Furto", 1, None), (2020, "Furto", 2, None)],
-                               "ano int, tipo_crime string, total long, variacao_yoy_pct double")
-    root = scratch_path(spark, "pub")
-    res = SK.publish_kpis({C.KPI_ANNUAL: df}, f"{root}/target", staging=f"{root}/staging")
-    assert res[0].status.startswith("ERRO chaves")
-
-
-def test_sink_types_and_nan(spark):
-    df = spark.createDataFrame([(2020, "Furto", 3, float("nan")), (2021, "Furto", 4, 12345.678)],
-                               "ano int, tipo_crime string, total long, variacao_yoy_pct double")
-    out = SK.to_sink_types(df, C.KPI_ANNUAL).collect()
-    assert out[0]["variacao_yoy_pct"] is None and out[1]["variacao_yoy_pct"] is None
-    assert dict(SK.to_sink_types(df, C.KPI_ANNUAL).dtypes)["variacao_yoy_pct"] == "decimal(6,2)"
+    changed = few.filter(~(y1998 & (F.col("NUM_BO").cast("long") % 2 == 0))
+                         & ~(y1998 & F.col("NOME_MUNICIPIO_CIRC").startswith("S.PAULO")) & (F.col("ANO") != "1997"))
+    PL.ingest(changed, layout)
+    before = published(spark, layout)
+    report = PL.refresh_years(spark, layout, [1998, 3000])
+    assert report.ok and report.published
+    got = published(spark, layout)
+    assert got == full_of(spark, changed) and got != before
+    assert not any(r[0] == 1997 for r in got[C.KPI_ANNUAL])
+    assert not any(r[0] == 1998 for r in got[C.KPI_BAIRRO])
+
+
+def test_year_left_without_clean_rows_is_removed(spark, few, layout):
+    changed = few.withColumn("FLAG_STATUS", F.when(F.col("ANO") == "1998", "TENTADO").otherwise(F.col("FLAG_STATUS")))
+    PL.ingest(changed, layout)
+    assert PL.refresh_years(spark, layout, [1998]).ok
+    assert published(spark, layout) == full_of(spark, changed)
+    assert PL.read_clean(spark, layout, [1998]).count() == 0
+
+
+def test_failing_write_publishes_nothing(spark, few, layout, monkeypatch):
+    before, real = published(spark, layout), SK.write_partitioned
+
+    def broken(df, path, partition_by=None):
+        if path.endswith(C.KPI_HOUR):
+            raise OSError("disk " + "x" * 600)
+        return real(df, path, partition_by)
+
+    monkeypatch.setattr(SK, "write_partitioned", broken)
+    report = PL.run_pipeline(spark, layout, few.filter(F.col("ANO") == "1996"))
+    assert not report.ok and report.published is None
+    (bad,) = SK.failed(report.loads)
+    assert bad.tabela == C.KPI_HOUR and bad.status.endswith("x" * 600)
+    PL.ingest(few.filter(F.col("ANO") == "1996"), layout)
+    refreshed = PL.refresh_years(spark, layout, [1996])
+    assert refreshed.failed_years and not refreshed.ok
+    monkeypatch.undo()
+    assert published(spark, layout) == before
+
+
+def test_failing_read_is_raised_not_taken_for_missing(spark, layout, monkeypatch):
+    def broken(*_):
+        raise AnalysisException("storage is away")
+
+    monkeypatch.setattr(VS, "is_missing", lambda e: False)
+    with pytest.raises(AnalysisException):
+        VS.current(spark, layout.root + "-nowhere")
+    monkeypatch.undo()
+    assert VS.current(spark, layout.root + "-nowhere") == VS.Manifest()
+
+
+def test_null_key_rows_go_aside_and_are_counted(spark, few, layout):
+    folder = VS.current(spark, layout.root).kpis
+    aside = spark.read.parquet(f"{folder}/sem_chave/{C.KPI_ANNUAL}")
+    assert aside.count() > 0 and aside.filter("ano is not null").count() == 0
+    assert all(r[0] is not None for rows in published(spark, layout).values() for r in rows)
+    loads = PL.run_pipeline(spark, layout, few, dry_run=True).loads
+    assert any("sem chave" in r.status for r in loads) and not SK.failed(loads)
+
+
+def test_dry_run_commits_nothing(spark, few, layout):
+    before, log = published(spark, layout), VS.history(spark, layout.root)
+    report = PL.run_pipeline(spark, layout, few.filter(F.col("ANO") == "1996"), dry_run=True)
+    assert report.ok and report.published is None
+    assert VS.history(spark, layout.root) == log and published(spark, layout) == before
+
+
+def test_rollback_returns_to_the_state_before(spark, few, layout):
+    before = published(spark, layout)
+    assert PL.run_pipeline(spark, layout, few.filter(F.col("ANO") == "1996")).ok
+    assert published(spark, layout) != before
+    PL.rollback(spark, layout.root)
+    assert published(spark, layout) == before
+    with pytest.raises(ValueError):
+        PL.rollback(spark, layout.root, 99)
+
+
+def test_tampered_table_blocks_publishing(spark, few, layout, monkeypatch):
+    before, real = published(spark, layout), PL.write_kpis
+
+    def tampered(kpis, folder):
+        kpis[C.KPI_MONTHLY] = kpis[C.KPI_MONTHLY].withColumn("total", F.col("total") + 1)
+        return real(kpis, folder)
+
+    monkeypatch.setattr(PL, "write_kpis", tampered)
+    report = PL.run_pipeline(spark, layout, few.filter(F.col("ANO") != "1997"))
+    assert not report.ok and report.loads[-1].tabela == f"{C.KPI_MONTHLY}_dentro_das_contagens"
+    assert published(spark, layout) == before
+
+
+def test_restart_from_kpis_and_missing_steps(spark, few, layout):
+    first = published(spark, layout)
+    assert PL.run_pipeline(spark, layout, from_step="kpis").ok
+    assert published(spark, layout) == first
+    empty = PL.Layout(scratch_path(spark, "empty"))
+    with pytest.raises(FileNotFoundError, match="ingest"):
+        PL.run_pipeline(spark, empty, from_step="clean")
+    with pytest.raises(FileNotFoundError, match="clean"):
+        PL.run_kpis(spark, empty)
+
+
+def test_years_by_listing_ignore_blank(spark, layout):
+    assert PL.years_stored(spark, layout) == [1996, 1997, 1998]
+
+
+def test_rankings_use_uncut_counts(spark, layout):
+    board = V.dashboard(SK.read_kpis(spark, layout.root), PL.read_counts(spark, layout))
+    clean = PL.read_clean(spark, layout).filter(F.col("municipio").isNotNull())
+    best = clean.groupBy("municipio").count().orderBy(F.desc("count"), "municipio").first()
+    top = board["municipality_ranking"].orderBy("posicao").first()
+    assert (top["municipio"], top["total"]) == (best["municipio"], best["count"])
+
+
+def test_ordered_outputs(spark, layout):
+    kpi = SK.read_kpi(spark, layout.root, C.KPI_MUNICIPALITY, ordered=True).collect()
+    assert [(r.ano, -r.total, r.municipio) for r in kpi] == sorted((r.ano, -r.total, r.municipio) for r in kpi)
+    annual = SK.read_kpi(spark, layout.root, C.KPI_ANNUAL, ordered=True)
+    keys = [(r.tipo_crime, r.ano) for r in annual.collect()]
+    assert keys == sorted(keys)
+    years = [r.ano for r in V.years(annual).collect()]
+    assert years == sorted(years, reverse=True)
+
+
+def test_publish_rejects_duplicate_keys_and_out_of_range_changes(spark):
+    schema = "ano int, tipo_crime string, total long, variacao_yoy_pct double"
+    for rows, message in (([(2020, "Furto", 1, None), (2020, "Furto", 2, None)], "ERRO chaves"),
+                          ([(2021, "Furto", 4, 12345.678)], "ERRO faixa")):
+        folder = scratch_path(spark, "pub")
+        spark.createDataFrame(rows, schema).write.partitionBy("ano").parquet(f"{folder}/{C.KPI_ANNUAL}")
+        got = {r.tabela: r.status for r in SK.check_version(spark, folder)}
+        assert got[C.KPI_ANNUAL].startswith(message) and got[C.KPI_HOUR] == "ERRO tabela ausente"
+    assert set(got) == set(KPI_TABLES)
+
+
+def test_sink_types(spark):
+    schema = "ano int, tipo_crime string, total long, variacao_yoy_pct double"
+    good = SK.to_sink_types(spark.createDataFrame([(2020, "Furto", 3_000_000_000, float("nan")), (2021, "Furto", 4, 9999.99)], schema))
+    assert dict(good.dtypes)["variacao_yoy_pct"] == "decimal(6,2)"
+    rows = good.orderBy("ano").collect()
+    assert rows[0]["total"] == 3_000_000_000 and rows[0]["variacao_yoy_pct"] is None and float(rows[1]["variacao_yoy_pct"]) == 9999.99
+    with pytest.raises(Exception, match="out of range"):
+        SK.to_sink_types(spark.createDataFrame([(2021, "Furto", 4, 12345.6)], schema)).collect()
+    with pytest.raises(ValueError, match="replace-by-year"):
+        SK.write_jdbc(good, "jdbc:none", "t", years=[2020])

@@ -90,3 +90,12 @@ def test_date_filter_compares_strings(spark):
     assert sorted(kept) == ["20/01/2024", "2024-01-15", "NULL"]
     parsed = [r[0] for r in CL.filter_valid_dates(df, "parsed").collect()]
     assert sorted(parsed) == ["19/01/2024", "20/01/2024", "2024-01-15"]
+
+
+def test_tolerant_int_is_no_float_cast(spark):
+    from occurlens.functions import tolerant_int
+
+    texts = ["12", " 12 ", "-7.6", "2024.0", "7.", ".5", "12d", "12f", "1e3", "NaN", "Infinity", "", "x", "+3", "9999999999", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", tolerant_int("t").alias("v")).orderBy("i").collect()]
+    assert got == [12, 12, -7, 2024, 7, 0, None, None, None, None, None, None, None, 3, None, None]

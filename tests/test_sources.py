@@ -75,3 +75,35 @@ def test_raw_schema_check(spark):
     bad = spark.createDataFrame([(1, "x")], "ANO_BO int, NUM_BO string")
     with pytest.raises(ValueError, match="raw schema mismatch"):
         check_raw_schema(bad)
+
+
+def test_many_small_files_with_odd_names_in_few_jobs(spark):
+    root = local(scratch_path(spark, "many"))
+    header = C.REQUIRED_COLUMNS
+    for i in range(300):
+        cols = header if i % 3 else [c for c in header if c != "CIDADE"]
+        row = {c: "" for c in header} | {"ANO": "2020", "NUM_BO": str(i), "BAIRRO": '"a, b"'}
+        write(f"{root}/CelularesSubtraidos_são paulo+{i} %41.csv", cols, [[row[c] for c in cols]])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many", "many")
+    got = SF.read_occurrence_files(spark, root, derive_year=False).collect()
+    jobs = len(tracker.getJobIdsForGroup("many"))
+    drift = SF.schema_drift(spark, root).collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == 300 and jobs <= 12
+    assert {r["ARQUIVO_ORIGEM"] for r in got} == {f"CelularesSubtraidos_são paulo+{i} %41.csv" for i in range(300)}
+    assert {r["BAIRRO"] for r in got} == {"a, b"}
+    assert len(drift) == 100 and {r["colunas_ausentes"] for r in drift} == {"CIDADE"}
+
+
+def test_missing_folder_and_parquet_files(spark):
+    import pytest
+
+    with pytest.raises(FileNotFoundError):
+        SF.read_occurrence_files(spark, scratch_path(spark, "nothing"))
+    root = scratch_path(spark, "pq")
+    for year, drop in ((2019, []), (2020, ["CIDADE"])):
+        row = {c: "x" for c in C.REQUIRED_COLUMNS if c not in drop}
+        spark.createDataFrame([row]).coalesce(1).write.parquet(f"{root}/y{year}")
+    df = SF.read_occurrence_files(spark, [f"{root}/y2019", f"{root}/y2020"], "part-*", fmt="parquet", derive_year=False)
+    assert sorted(r["CIDADE"] for r in df.collect()) == ["", "x"]
