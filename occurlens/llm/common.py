@@ -10,6 +10,9 @@ fixed number of bytes per block of text, whatever the text's length.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +35,28 @@ BASE_INV = pow(BASE, -1, 1 << 64)
 MASK = (1 << 64) - 1
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors once per application (``addPyFile``: the driver
+    serves the archive), so that tasks can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(sc, "_occurlens_shipped", False) or not os.path.isdir(package):
+        return
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="occurlens-")), "occurlens-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._occurlens_shipped = True
+
+
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches sent to Python by rows and bytes, so that a
-    run of very long texts cannot fill a worker's memory."""
+    """Called before any Python stage: ships the package, and bounds the Arrow batches sent to
+    Python by rows and bytes, so that a run of very long texts cannot fill a worker's memory."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
