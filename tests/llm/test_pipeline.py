@@ -1,0 +1,62 @@
+"""Corpus pipeline: each stage's decisions on a planted fixture, and the registered query
+against the stages run one by one."""
+
+import base64
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__
+import corpus_pipeline
+from occurlens.llm.queries import BPE_RANKS
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Clean, short, copied, nearly copied, contaminated and personal documents."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join(f"w{rng.randrange(10 ** 7)}" for _ in range(n))
+    item = prose(30)
+    original = prose(200)
+    near = original.split()
+    near[50] = "changed"
+    texts = {1: prose(120), 2: "too short", 3: original, 4: original, 5: " ".join(near),
+             6: prose(60) + " " + item[:150] + " " + prose(60), 7: prose(80) + " mail a.b@c.example.com now", 8: None, 9: ""}
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts.items()]
+    root = tmp_path_factory.mktemp("sf")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    return str(root), texts
+
+
+def test_stages_on_planted_documents(spark, planted):
+    root, texts = planted
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    left = []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, root)
+        if name != "tokens":
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        docs = corpus_pipeline.written(out, name)
+        left.append(sorted(r.doc_id for r in docs.select("doc_id").collect()))
+    assert left == [[1, 3, 4, 5, 6, 7], [1, 3, 6, 7], [1, 3, 7], [1, 3, 7], [1, 3, 7]]
+    with open(BPE_RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f)}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {1: texts[1], 3: texts[3], 7: texts[7].replace("a.b@c.example.com", "[EMAIL]")}
+    got = {r.doc_id: r for r in docs.collect()}
+    for i, text in want.items():
+        assert got[i].ids == enc.encode_ordinary(text) and got[i].n_tokens == len(got[i].ids)
+    run = {r.doc_id: r.ids for r in __spark_entry__.queries()["pipeline"](spark, root).collect()}
+    assert run == {i: r.ids for i, r in got.items()}
+
+
+def test_empty_documents(spark, planted, tmp_path):
+    root, _ = planted
+    spark.read.parquet(f"{root}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{root}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
