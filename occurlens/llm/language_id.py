@@ -155,8 +155,9 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str],
         t = temperature(scores, np.array([e[3] for e in held]))
         yield pa.RecordBatch.from_pydict({"weights": [w.astype(np.float32).tobytes()], "temperature": [t]})
 
-    # the sample is bounded by languages x per_language rows; its order is fixed by a hash
-    got = sample.select("text", "lang", "draw").coalesce(1).mapInArrow(learn, "weights binary, temperature double").collect()
+    # The sample is drawn where the texts are read; only its rows, at most about languages x
+    # per_language of them, meet in one task, in an order fixed by a hash.
+    got = sample.select("text", "lang", "draw").repartition(1).mapInArrow(learn, "weights binary, temperature double").collect()
     if not got:
         return None
     weights = np.frombuffer(got[0]["weights"], np.float32).reshape(BUCKETS, len(languages))
