@@ -215,8 +215,9 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
     texts = _maybe_members(sketched, members).select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
     side = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # Only members of groups are replicated, and only over the chunks of a large group.
+    # Members grow with the corpus, so this join is a sort-merge join at every size.
     blocks = (members.join(parts, "grp").withColumn("side", side)
-              .join(texts, F.col("row_id") == F.col("node"))
+              .join(texts.hint("merge"), F.col("row_id") == F.col("node"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .select("grp", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"),
                       "node", "side", "text"))
