@@ -7,27 +7,28 @@ rounds grows with the logarithm of the node count."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import written
 
 
-def _print(edges: DataFrame):
-    """Count and order-free checksum of an edge table."""
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edge table, written, with its count and order-free checksum (taken by the write)."""
+    seen = Observation()
+    table = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "edges")
+    return table, (seen.get["n"], seen.get["x"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (two long columns u, v); root
     is the smallest node of the component. Self links name single nodes."""
-    edges = written(edges.select("u", "v"), "links")
-    alone = edges.filter("u = v").select(F.col("u").alias("node"))
-    cur = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                  .distinct(), "edges")
-    seen = _print(cur)
-    while seen[0]:
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    given, _ = _stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    alone = given.filter("u = v").select(F.col("u").alias("node"))
+    cur, seen = given.filter("u <> v"), None
+    while True:
+        both = cur.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        both = both.select("e.u", "e.v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(low, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
@@ -36,9 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct("u", F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())
-        cur = written(small, "edges")
-        now = _print(cur)
-        if now == seen:
+        cur, now = _stored(small)
+        if now == seen or not now[0]:
             break
         seen = now
     labels = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))

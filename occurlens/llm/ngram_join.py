@@ -206,7 +206,7 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
                    .agg(F.min("row_id").alias("rep"), F.min_by("bands", "row_id").alias("bands")), "classes")
     buckets = reps.select(F.explode("bands").alias("bucket"), "rep")
     shared = buckets.groupBy("bucket").agg(F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u < top").drop("top")
-    groups = components(buckets.join(shared, "bucket").select("u", F.col("rep").alias("v")).filter("u <> v").distinct())
+    groups = components(buckets.join(shared, "bucket").select("u", F.col("rep").alias("v")).filter("u <> v"))
 
     members = written(groups.join(reps.select("rep", "n_grams"), F.col("node") == F.col("rep"))
                       .select("node", F.col("root").alias("grp"), "n_grams"), "members")
@@ -229,9 +229,9 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "n2")
     found = counts.join(roots, F.col("node") == F.col("n2")).select("node", "links", "root")
-    return written(reps.select("set_key", "n_grams", "rep").join(found, F.col("rep") == F.col("node"), "left")
-                   .select("set_key", "n_grams", "rep", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-                           F.coalesce("root", "rep").alias("root")), "linked")
+    return (reps.select("set_key", "n_grams", "rep").join(found, F.col("rep") == F.col("node"), "left")
+            .select("set_key", "n_grams", "rep", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+                    F.coalesce("root", "rep").alias("root")))
 
 
 def _classed(docs: DataFrame, n: int, threshold: float, recall: float, max_hashes: int, text_col: str,
