@@ -75,6 +75,26 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn("row_id", F.monotonically_increasing_id())
 
 
+FILTER_WORDS = 18  # log2 of the 64-bit words of a row filter
+
+
+def split_by(rows: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose ``on`` columns certainly do not occur in ``keys``, and the
+    others (all that occur, few that do not). A join with ``keys`` then needs the second part only,
+    so wide rows that have no partner are not shuffled. The one-hash filter has a fixed size:
+    at most 2 ** FILTER_WORDS words are broadcast, whatever the input; once it is full, the
+    second part is all rows and the join is as exact as before."""
+    h = F.xxhash64(*on)
+    place = F.shiftright(h, 6).bitwiseAND((1 << FILTER_WORDS) - 1).cast("int")
+    bit = h.bitwiseAND(63).cast("int")
+    words = keys.groupBy(place.alias("__at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("__bits"))
+    marked = (rows.withColumn("__place", place).join(F.broadcast(words), F.col("__place") == F.col("__at"), "left")
+              .withColumn("__maybe", F.coalesce(F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(1) == 1, F.lit(False))))
+    out = [F.col(f"`{c}`") for c in rows.columns]
+    return marked.filter(~F.col("__maybe")).select(*out), marked.filter("__maybe").select(*out)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser (xor-shift and multiply)."""
     h = h ^ (h >> np.uint64(33))

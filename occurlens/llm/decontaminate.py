@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (ALNUM, MASK, Texts, Words, bound_batches, list_array, mix, signed, text_of, text_slices, with_row_id,
-                     written)
+from .common import (ALNUM, MASK, Texts, Words, bound_batches, list_array, mix, signed, split_by, text_of, text_slices,
+                     with_row_id, written)
 
 WINDOW = 10
 K = 5
@@ -157,24 +157,21 @@ def _candidates(words: Words, n: int, table: np.ndarray, window: int, k: int, le
     return list_array(structs, np.bincount(words.doc[first], minlength=n))
 
 
-def scan(docs: DataFrame, items: DataFrame, window: int, k: int, bloom_bits: int, text_col: str,
-         keep_rows: bool) -> DataFrame:
-    """(row_id, doc, n_words, cands) per document, written as a table."""
+def scan(docs: DataFrame, items: DataFrame, window: int, k: int, bloom_bits: int, text_col: str) -> DataFrame:
+    """(row_id, doc, n_words, cands) per document, written as a table; ``doc``: its other columns."""
     spark = docs.sparkSession
     bound_batches(spark)
     lengths = sorted(r["size"] for r in items.filter((F.col("size") > 0) & (F.col("size") < window))
                      .select("size").distinct().collect())  # at most window - 1
     table = spark.sparkContext.broadcast(bloom(items.filter("kind = 'f'"), bloom_bits))
     rows = with_row_id(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
-    keep = rows.schema["doc"].dataType.names if keep_rows else [c for c in docs.columns if c != text_col]
+    keep = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, f"doc.{text_col}"):
             texts = Texts(text_of(part, f"doc.{text_col}"))
             words = Words(texts, ALNUM)
-            doc = part.column("doc")
-            if not keep_rows:
-                doc = pa.StructArray.from_arrays([text_of(part, f"doc.{c}") for c in keep], keep)
+            doc = pa.StructArray.from_arrays([text_of(part, f"doc.{c}") for c in keep], keep)
             yield pa.RecordBatch.from_arrays(
                 [doc, part.column("row_id"), pa.array(words.counts.astype(np.int64)),
                  _candidates(words, texts.n, table.value, window, k, lengths)], names=["doc", "row_id", "n_words", "cands"])
@@ -205,12 +202,10 @@ def hits(scanned: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, bloom_bits: int = BLOOM_BITS,
-                  text_col: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
-                  keep_rows: bool = False) -> DataFrame:
-    """Scanned rows with n_words, n_hit, item_ids and contaminated."""
+                  text_col: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """Scanned rows (doc.<id>) with n_words, n_hit, item_ids and contaminated."""
     items = item_tables(benchmark, window, k, item_text, item_id)
-    source = docs if keep_rows else docs.select(id_col, text_col)
-    scanned = scan(source, items, window, k, bloom_bits, text_col, keep_rows)
+    scanned = scan(docs.select(id_col, text_col), items, window, k, bloom_bits, text_col)
     return (scanned.drop("cands").join(hits(scanned, items), "row_id", "left")
             .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
             .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
@@ -224,10 +219,18 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The input rows without a hit."""
-    out = contamination(docs, benchmark, keep_rows=True, **options).filter("not contaminated")
-    return out.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The input rows without a hit. Contamination depends on the text alone, so the scan is keyed
+    by two hashes of the text; the texts are read a second time, and only those that may be
+    contaminated are shuffled."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    key = F.concat_ws(":", F.hex(F.xxhash64(text)), F.hex(F.xxhash64(F.lit("second"), text)))
+    found = contamination(docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text")), benchmark, id_col="key", **options)
+    gone = written(found.filter("contaminated").select(F.col("doc.key").alias("key")).distinct(), "contaminated")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"))
+    apart, maybe = split_by(rows, gone, ["key"])
+    kept = apart.unionByName(maybe.join(gone.hint("merge"), "key", "left_anti"))
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 # DuckDB: windows compared as word lists.

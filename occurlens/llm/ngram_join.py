@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed, text_of,
+from .common import (LOWER, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed, split_by, text_of,
                      text_slices, with_row_id, written)
 from .components import components
 
@@ -40,7 +40,6 @@ RECALL = 0.9999
 MAX_HASHES = 128
 CHUNK_TEXTS = 256       # texts and n-grams that one side of a verification block may hold
 CHUNK_GRAMS = 400_000
-FILTER_WORDS = 18
 CELLS = 1 << 24         # incidence cells multiplied at a time
 
 
@@ -183,22 +182,6 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iter
         yield out
 
 
-def _maybe_members(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """The rows whose row_id may be a member's (all that are, few others), so that the
-    texts of the rest are not shuffled. A one-hash filter of fixed size: at most
-    2 ** FILTER_WORDS words of 64 bits are broadcast, whatever the input."""
-    def place(c):
-        return F.shiftright(F.xxhash64(c), 6).bitwiseAND((1 << FILTER_WORDS) - 1).cast("int")
-
-    def bit(c):
-        return F.xxhash64(c).bitwiseAND(63).cast("int")
-
-    words = members.groupBy(place("node").alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit("node"))).alias("bits"))
-    return (rows.join(F.broadcast(words), place("row_id") == F.col("at"))
-            .filter(F.call_function("shiftright", F.col("bits"), bit("row_id")).bitwiseAND(1) == 1))
-
-
 def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """(set_key, n_grams, rep, links, root): per copy class its representative row,
     its number of links and the smallest representative of its component."""
@@ -212,7 +195,8 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
                       .select("node", F.col("root").alias("grp"), "n_grams"), "members")
     parts = members.groupBy("grp").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / CHUNK_TEXTS, F.sum("n_grams") / CHUNK_GRAMS)).cast("int").alias("parts"))
-    texts = _maybe_members(sketched, members).select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
+    texts = sketched.select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
+    _, texts = split_by(texts, members.withColumnRenamed("node", "row_id"), ["row_id"])  # the rest is not shuffled
     side = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # Only members of groups are replicated, and only over the chunks of a large group.
     # Members grow with the corpus, so this join is a sort-merge join at every size.
@@ -264,6 +248,7 @@ def keep_one(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall:
     keeper = written(rows.filter("root is not null").groupBy(F.col("root").alias("r"))
                      .agg(F.min(order)["row_id"].alias("keep")), "keepers")
     # Only the rows that go are looked up against the texts.
-    gone = rows.join(keeper, F.col("root") == F.col("r")).filter("keep <> row_id").select(F.col("row_id").alias("node"))
-    kept = sketched.join(written(gone, "gone"), F.col("row_id") == F.col("node"), "left_anti")
+    gone = written(rows.join(keeper, F.col("root") == F.col("r")).filter("keep <> row_id").select("row_id"), "gone")
+    apart, maybe = split_by(sketched.select("row_id", "doc"), gone, ["row_id"])
+    kept = apart.unionByName(maybe.join(gone.hint("merge"), "row_id", "left_anti"))
     return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (LOWER, PLAIN, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed,
-                     span_hashes, text_slices, with_row_id, written)
+                     span_hashes, split_by, text_slices, with_row_id, written)
 
 MAX_DOCS = 20        # distinct texts of one host that may share a line
 MAX_REMOVED = 0.75   # share of a document's words that line removal may take
@@ -102,15 +102,18 @@ def measure_slice(batch: pa.RecordBatch, carried: list[str]) -> pa.RecordBatch:
                                                       "n_repeat_words", "text_key", "lines"])
 
 
-def measure(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source",
-            keep_rows: bool = False) -> DataFrame:
-    """Statistics and line hashes per row, written as a table. ``keep_rows``
-    carries the input row along as the struct ``doc``."""
+def _content_key(text_col: str, id_col: str, host_col: str) -> Column:
+    """What a verdict depends on (text, id, host) as one string of two hashes: rows that agree
+    in it get the same verdict."""
+    cols = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0null")) for c in (text_col, id_col, host_col)]
+    return F.concat_ws(":", F.hex(F.xxhash64(*cols)), F.hex(F.xxhash64(F.lit("second"), *cols)))
+
+
+def measure(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
+    """Statistics and line hashes per row (no text), written as a table."""
     bound_batches(docs.sparkSession)
-    cols = [F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text")]
-    if keep_rows:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rows = with_row_id(docs.select(*cols))
+    rows = with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"),
+                                   _content_key(text_col, id_col, host_col).alias("content")))
     carried = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,15 +159,24 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_removed: float = MAX
 
 def clean(docs: DataFrame, max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED) -> DataFrame:
     """The documents kept, boilerplate lines taken out of ``text`` (and
-    ``n_chars`` following it, where the table has that column)."""
-    kept = judge(measure(docs, keep_rows=True), max_docs, max_removed).filter("kept")
+    ``n_chars`` following it, where the table has that column). The texts are read a second
+    time; only those of rejected or changed documents are shuffled, to meet their verdicts."""
+    judged = judge(measure(docs), max_docs, max_removed)
+    touched = written(judged.filter("not kept or removed_lines is not null").groupBy("content").agg(
+        F.bool_and("kept").alias("kept"), F.first("removed_lines").alias("removed_lines")), "verdicts")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       _content_key("text", "doc_id", "source").alias("content"))
+    whole, maybe = split_by(rows, touched, ["content"])
+    met = maybe.join(touched.hint("merge"), "content", "left").filter("kept is null or kept")
     left = F.array_join(F.transform(
         F.filter(F.transform(F.split("doc.text", "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
                  lambda s: ~F.array_contains("removed_lines", s["i"])), lambda s: s["x"]), "\n")
-    text = F.when(F.col("removed_lines").isNull(), F.col("doc.text")).otherwise(left)
-    new = {"text": text, "n_chars": F.when(F.col("removed_lines").isNull(), F.col("doc.n_chars"))
-           .otherwise(F.length(left)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": text}
-    return kept.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    same = F.col("removed_lines").isNull()
+    new = {"text": F.when(same, F.col("doc.text")).otherwise(left)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(same, F.col("doc.n_chars")).otherwise(F.length(left).cast(docs.schema["n_chars"].dataType))
+    return (whole.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+            .unionByName(met.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])))
 
 
 # DuckDB: the same rules over whole tables; exact lines in place of hashes.
