@@ -13,13 +13,15 @@ an unseen n-gram's probability is that weight times the one at h', so the weight
 failures taken and of the arc found add up to the interpolated log-probability.
 
 Scale: the model has no size bound, so it is never gathered. The documents are cut into
-blocks of bounded text (written once as token streams over block-local word numbers,
-with the block's distinct n-grams packed by shard). Each shard sums the counts of its
-n-grams over all training blocks and answers every block that asked, in the block's own
-order, with the totals only; each block then builds the sub-automaton of the n-grams it
-meets and scores its texts, left to right, all texts of the block side by side. Counts
-cover every document; n-grams of a block are summed before they are shuffled, so a
-frequent n-gram is at most one number a block.
+blocks of bounded text, whose distinct n-grams are packed by shard. Each shard sums the
+counts of its n-grams over all training blocks and answers every block that asked, in the
+block's own order, with the totals only (written as a table). A second pass over the texts
+turns each block into n-gram numbers, joins it with its answers, builds the sub-automaton of
+the n-grams it meets and scores its texts, left to right, all texts of the block side by side.
+Counts cover every document; n-grams of a block are summed before they are shuffled, so a
+frequent n-gram is at most one number a block. Both passes must see the same rows in the
+same order, as a stored table gives them; checksums of every block's n-grams are compared,
+and a difference is an error, never a wrong score.
 
 Defined cases: null and empty texts have the end token alone; a null doc_id counts as
 training text (its checksum is null); repeated rows count as often as they occur; with no
@@ -40,7 +42,7 @@ from .common import LOWER, SLICE_BYTES, Texts, Words, bound_batches, mix, text_s
 
 ORDER = 2
 CONCENTRATION = 5.0
-BLOCK_BYTES = 4 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
+BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 
@@ -132,50 +134,67 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]
         yield held
 
 
-def gather(docs: DataFrame, training, order: int, shards: int, text_col: str, id_col: str) -> DataFrame:
-    """Written table of blocks: per block one 'stream' row (texts as local token numbers) and,
-    per order and shard, one 'keys' row (the distinct n-grams and their training counts)."""
+def _check(keys: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(keys, initial=np.uint64(0)).view(np.int64))
+
+
+def _counted(block: Block, parts: list[pa.RecordBatch], order: int, count: bool) -> Iterator[tuple]:
+    """Per order k: (k, sorted distinct k-gram keys, k-gram number at each token, training counts)."""
+    train = np.concatenate([p.column("training").to_numpy(zero_copy_only=False) for p in parts])
+    counted = np.repeat(train, block.sizes)
+    for k in range(1, order + 1):
+        keys, number = np.unique(block.keys(k), return_inverse=True)
+        counts = np.bincount(number[counted], minlength=len(keys)).astype(np.uint32) if count else None
+        if k < order:  # the context of start marks, counted once a training text
+            mark = block.start_key(k)
+            at = int(np.searchsorted(keys, mark))
+            keys, number = np.insert(keys, at, mark), number + (number >= at)
+            counts = np.insert(counts, at, np.uint32(train.sum())) if count else None
+        yield k, keys, number, counts
+
+
+def _source(docs: DataFrame, training, text_col: str, id_col: str) -> DataFrame:
     bound_batches(docs.sparkSession)
     rows = with_row_id(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
-    rows = rows.withColumn("training", F.coalesce(training(F.col("doc_id")), F.lit(True)))
+    return rows.withColumn("training", F.coalesce(training(F.col("doc_id")), F.lit(True)))
+
 
+def gram_counts(rows: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, k, shard, a, b): per block, order and shard the distinct n-grams and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[str, list] = {}
+        for parts in _blocks(batches):
+            name = parts[0].column("row_id")[0].as_py()  # row numbers are unique, so this names the block
+            out = []
+            for k, keys, _, counts in _counted(Block(parts, order), parts, order, True):
+                cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
+                out += [{"block": name, "k": k, "shard": s, "a": pack_keys(keys[a:b]), "b": _pack_numbers(counts[a:b])}
+                        for s, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+            yield pa.RecordBatch.from_pylist(out, pa.schema([
+                ("block", pa.int64()), ("k", pa.int32()), ("shard", pa.int32()), ("a", pa.binary()), ("b", pa.binary())]))
 
-        def put(**row):
-            for name in ("kind", "block", "k", "shard", "a", "b", "c", "ids"):
-                out.setdefault(name, []).append(row.get(name))
+    return rows.mapInArrow(run, "block long, k int, shard int, a binary, b binary")
 
+
+def streams(rows: DataFrame, order: int) -> DataFrame:
+    """(block, sizes, numbers, checks, ids): per block its texts as k-gram numbers, with a checksum of
+    the keys of every order, which the answers must match."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _blocks(batches):
             block = Block(parts, order)
-            name = parts[0].column("row_id")[0].as_py()  # row numbers are unique, so this names the block
-            train = np.concatenate([p.column("training").to_numpy(zero_copy_only=False) for p in parts])
-            counted = np.repeat(train, block.sizes)
-            streams = []
-            for k in range(1, order + 1):
-                keys, number = np.unique(block.keys(k), return_inverse=True)
-                count = np.bincount(number[counted], minlength=len(keys)).astype(np.uint32)
-                if k < order:  # the context of start marks, counted once a training text
-                    mark = block.start_key(k)
-                    at = int(np.searchsorted(keys, mark))
-                    keys, count = np.insert(keys, at, mark), np.insert(count, at, np.uint32(train.sum()))
-                    number = number + (number >= at)
-                streams.append(_pack_numbers(number.astype(np.uint32)))
-                of = _shard(keys, shards)
-                cuts = np.searchsorted(of, np.arange(shards + 1))
-                for s in range(shards):
-                    a, b = cuts[s], cuts[s + 1]
-                    put(kind="keys", block=name, k=k, shard=s, a=pack_keys(keys[a:b]), b=_pack_numbers(count[a:b]))
+            numbers, checks = [], []
+            for _, keys, number, _ in _counted(block, parts, order, False):
+                numbers.append(_pack_numbers(number.astype(np.uint32)))
+                checks.append(_check(keys))
             ids = pa.concat_arrays([p.column("doc_id") for p in parts])
-            put(kind="stream", block=name, b=_pack_numbers(block.sizes), c=streams, ids=ids.to_pylist())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("kind", pa.string()), ("block", pa.int64()), ("k", pa.int32()), ("shard", pa.int32()), ("a", pa.binary()),
-                ("b", pa.binary()), ("c", pa.list_(pa.binary())), ("ids", pa.list_(ids.type))]))
-            out.clear()
+            yield pa.RecordBatch.from_pylist(
+                [{"block": parts[0].column("row_id")[0].as_py(), "sizes": _pack_numbers(block.sizes), "numbers": numbers,
+                  "checks": checks, "ids": ids.to_pylist()}],
+                pa.schema([("block", pa.int64()), ("sizes", pa.binary()), ("numbers", pa.list_(pa.binary())),
+                           ("checks", pa.list_(pa.int64())), ("ids", pa.list_(ids.type))]))
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return written(rows.mapInArrow(run, "kind string, block long, k int, shard int, a binary, b binary, c array<binary>,"
-                                        f" ids array<{kind}>"), "blocks")
+    return rows.mapInArrow(run, f"block long, sizes binary, numbers array<binary>, checks array<long>, ids array<{kind}>")
 
 
 def _sum_shard(rows: list[dict]) -> list[dict]:
@@ -189,20 +208,18 @@ def _sum_shard(rows: list[dict]) -> list[dict]:
     for r, k in zip(rows, keys):
         mine = totals[number[at:at + len(k)]]
         at += len(k)
-        out.append({"block": r["block"], "k": r["k"], "shard": r["shard"], "totals": _pack_numbers(mine)})
+        out.append({"block": r["block"], "k": r["k"], "shard": r["shard"], "totals": _pack_numbers(mine), "check": _check(k)})
     out[0] |= {"tokens": int(real.sum()), "types": int((real > 0).sum())}
     return out
 
 
-def totals(blocks: DataFrame) -> DataFrame:
-    """Written table (block, k, shard, totals, tokens, types): what each shard answers each
+def totals(keys: DataFrame) -> DataFrame:
+    """Written table (block, k, shard, totals, check, tokens, types): what each shard answers each
     block; its first row also has the shard's token and type sums."""
-    keys = blocks.filter("kind = 'keys'").select("block", "k", "shard", "a", "b")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         schema = pa.schema([("block", pa.int64()), ("k", pa.int32()), ("shard", pa.int32()), ("totals", pa.binary()),
-                            ("tokens", pa.int64()), ("types", pa.int64())])
+                            ("check", pa.int64()), ("tokens", pa.int64()), ("types", pa.int64())])
         for batch in batches:
             for row in batch.to_pylist():
                 if held and (row["k"], row["shard"]) != (held[0]["k"], held[0]["shard"]):
@@ -213,7 +230,7 @@ def totals(blocks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(_sum_shard(held), schema)
 
     return written(keys.repartition("k", "shard").sortWithinPartitions("k", "shard").mapInArrow(
-        run, "block long, k int, shard int, totals binary, tokens long, types long"), "totals")
+        run, "block long, k int, shard int, totals binary, check long, tokens long, types long"), "totals")
 
 
 class Automaton:
@@ -271,12 +288,17 @@ class Automaton:
 def _score_block(rows: list[dict], order: int, n: int, v: int, mu: float, kind: pa.DataType) -> pa.RecordBatch:
     """Scores of one block from its stream row and the answers to it."""
     stream, answers = rows[0], rows[1:]
-    sizes = _unpack_numbers(stream["b"], "i8")
-    numbers = [_unpack_numbers(b, "u4").astype(np.int64) for b in stream["c"]]
+    sizes = _unpack_numbers(stream["sizes"], "i8")
+    numbers = [_unpack_numbers(b, "u4").astype(np.int64) for b in stream["numbers"]]
     counts = []
     for k in range(1, order + 1):
         mine = sorted((r for r in answers if r["k"] == k), key=lambda r: r["shard"])
-        counts.append(np.concatenate([_unpack_numbers(r["a"], "u8") for r in mine]).astype(np.float64))
+        check = 0
+        for r in mine:
+            check ^= r["check"]
+        if check != stream["checks"][k - 1]:
+            raise ValueError("the documents changed between the two passes: store them as a table first")
+        counts.append(np.concatenate([_unpack_numbers(r["totals"], "u8") for r in mine]).astype(np.float64))
     starts = np.cumsum(sizes) - sizes
     contexts = [np.zeros(0, np.int64)]
     for k in range(2, order + 1):
@@ -300,13 +322,15 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
         raise ValueError("order must be at least 1")
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = gather(docs, training, order, shards, text_col, id_col)
-    answers = totals(blocks)
+    rows = _source(docs, training, text_col, id_col)
+    answers = totals(gram_counts(rows, order, shards))
     n, v = answers.filter("k = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    streams = blocks.filter("kind = 'stream'").select("block", F.lit(0).alias("k"), F.lit(-1).alias("shard"), "a", "b", "c", "ids")
-    kind = blocks.schema["ids"].dataType
-    replies = answers.select("block", "k", "shard", F.col("totals").alias("a"), F.lit(None).cast("binary").alias("b"),
-                             F.lit(None).cast("array<binary>").alias("c"), F.lit(None).cast(kind).alias("ids"))
+    stream = streams(rows, order)
+    own, reply = ["sizes", "numbers", "checks", "ids"], ["totals", "check"]
+    both = (stream.select("block", F.lit(0).alias("k"), F.lit(-1).alias("shard"), *own,
+                          *[F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in reply])
+            .unionByName(answers.select("block", "k", "shard", *reply,
+                                        *[F.lit(None).cast(stream.schema[c].dataType).alias(c) for c in own])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -320,6 +344,7 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
         if held:
             yield _score_block(held, order, n, v, mu, ids)
 
-    scored = (streams.unionByName(replies).repartition("block").sortWithinPartitions("block", "k", "shard")
-              .mapInArrow(run, f"doc_id {kind.elementType.simpleString()}, n_tokens long, n_known long, base_score double, score double"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    scored = both.repartition("block").sortWithinPartitions("block", "k", "shard").mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
