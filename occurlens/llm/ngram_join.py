@@ -116,9 +116,9 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int, text_col: str, id_col
     return written(out.withColumn("doc_id", F.col(f"doc.`{id_col}`")), "sketch")
 
 
-def _links(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndarray:
-    """Boolean matrix of linked texts. ``side``: chunk of each text; if there are two,
-    only pairs across count."""
+def _links(sets: list[np.ndarray], side: np.ndarray, across: bool, threshold: float) -> np.ndarray:
+    """Boolean matrix of linked texts. ``side``: chunk of each text; if ``across``, only
+    pairs of different chunks count."""
     sizes = np.array([len(s) for s in sets])
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -136,7 +136,7 @@ def _links(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.nda
         block[owner[a:b], column[a:b] - lo] = 1
         common += block @ block.T
     linked = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-6
-    if side.min() != side.max():
+    if across:
         linked &= side[:, None] != side[None, :]
     np.fill_diagonal(linked, False)
     return linked
@@ -154,16 +154,19 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 
 
 def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block (grp, a, b) -> (node, links, root) per row."""
+    """Rows sorted by block (grp, a, b) -> (node, links, root) per row. A block of two
+    chunks (a <> b) is for the pairs across, also when one chunk has no member: the
+    pairs inside a chunk are those of block (a, a)."""
     held: list[tuple[int, int, np.ndarray]] = []
     current = None
 
     def close() -> pa.RecordBatch | None:
-        if len(held) < 2:
+        across = current is not None and current[1] != current[2]
+        if len(held) < 2 or across and len({x[1] for x in held}) < 2:
             return None
         held.sort(key=lambda x: x[0])
         node = np.array([x[0] for x in held])
-        linked = _links([x[2] for x in held], np.array([x[1] for x in held]), threshold)
+        linked = _links([x[2] for x in held], np.array([x[1] for x in held]), across, threshold)
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(linked.sum(axis=1).astype(np.int64)),
                                            pa.array(node[_roots(linked)])], names=["node", "links", "root"])
 

@@ -80,6 +80,17 @@ def test_large_group_in_chunks_and_edges(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(min(v) for v in classes.values())
 
 
+def test_small_groups_of_long_texts_with_empty_chunks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK_GRAMS", 150)  # one to seven chunks a group, so many have no member
+    rng = random.Random(6)
+    rows = []
+    for g in range(24):
+        base = [f"g{g}w{i}" for i in range(200)]
+        rows += [(10 * g + i, edited(rng, base, 1 + i % 3)) for i in range(2 + g % 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.jaccard_join(docs).collect()} == brute(rows)
+
+
 def test_null_ids_repeats_and_empty(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f")], "doc_id long, text string")
     assert [(r.class_id, r.n_links) for r in ngram_join.jaccard_join(docs).collect()] == [(5, 0)] * 3
