@@ -53,7 +53,7 @@ PATTERNS = {
     "dial": r"(?<![0-9+])\(?[0-9]{2,4}+\)?[\x20.-][0-9]{3,4}+[\x20.-][0-9]{3,4}+(?![0-9])",
     "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}+[0-9])[A-Za-z0-9+/_=-]{16,}+",
 }
-IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 SECRET_NAME = r"(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|credential|(?:api|access|private|auth)[_ -]?key)[\"']?\x20?[:=]\x20?[\"']?$"
 CONTEXT = r"(?i)(?:mail|phone|tel|call|fax|contact|card|account|ip|host|server|address)[^A-Za-z]{0,4}$"

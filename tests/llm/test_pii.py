@@ -55,6 +55,17 @@ def test_base_spans_on_noise(spark):
     check(rows, pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+def test_addresses_with_zero_parts(spark):
+    values = ["10.0.0.1", "0.0.0.0", "00.1.2.000", "127.0.0.1", "8.8.8.0", "192.168.0.5", "000.000.00.0255",
+              "0256.0.0.1", "10.0.0.300", "1.0.0.00256", "0" * 4000 + ".0.0." + "0" * 4000 + "7", "0" * 4000 + "256.0.0.0"]
+    rows = [(i, f"from {v} on") for i, v in enumerate(values)]
+    got = pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check(rows, got)
+    assert sum(r.n_ip for r in got) == 8
+    redacted = pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert redacted[0].text == "from [IP] on"
+
+
 def test_model_adds_secrets_and_redacts(spark):
     rng = random.Random(9)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(200)]
