@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, SLICE_BYTES, Texts, Words, bound_batches, mix, text_slices, with_row_id, written
 
-ORDER = 2
+ORDER = 3
 CONCENTRATION = 5.0
 BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
 END = np.uint64(0x5851F42D4C957F2D)

@@ -61,6 +61,13 @@ def test_query_whole_table(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # context helps on unseen texts
 
 
+def test_query_tells_longer_contexts_apart(spark, tmp_path):
+    rows = [(i, "a b c" if i % 2 else "x b d") for i in range(40)] + [(100, "a b c"), (101, "a b d")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op10_lm"](spark, str(tmp_path)).collect()
+    check(got, brute(rows, lambda d: zlib.crc32(str(d).encode()) % 5 != 1, 3, lm.CONCENTRATION))
+
+
 @pytest.mark.parametrize("order", [1, 3])
 def test_orders_blocks_and_edges(spark, monkeypatch, order):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 50)
