@@ -6,8 +6,9 @@ opaque tokens. Four *base* kinds are fixed patterns with checks (email, ip, card
 phone); what passes is always kept. Every candidate becomes a cell of small binned
 format and context features. Cells are counted over all documents (a grouped sum
 whose row count is bounded by the product of the bins), boosted trees of depth 2 are
-fitted to them with weak labels (the base checks, and an assignment to a secret-like
-name for opaque tokens; neither is a feature), margins are calibrated by isotonic
+fitted to them with weak labels (the base checks; an assignment to a secret-like name
+for opaque tokens; a contact word before phone numbers without + and addresses spelt
+with at and dot, which no base check keeps; none of these is a feature), margins are calibrated by isotonic
 regression on held-out cells, and candidates whose calibrated probability reaches
 ``MIN_PRECISION`` are added.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import with_row_id, written
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-ADDED_KINDS = ["address", "host", "number", "dial", "secret"]
+ADDED_KINDS = ["address", "host", "number", "dial", "secret", "dial", "address"]  # by code; the last two without + and @
 ROUNDS, RATE, LAMBDA = 30, 0.4, 1.0
 MIN_PRECISION = 0.9
 MIN_HELD_OUT = 5         # held-out candidates that must back a threshold
@@ -56,10 +57,13 @@ PATTERNS = {
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 SECRET_NAME = r"(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|credential|(?:api|access|private|auth)[_ -]?key)[\"']?\x20?[:=]\x20?[\"']?$"
+PHONE_WORD = r"(?i)(?<!\p{L})(?:(?:tele)?phone|tel|call|dial|fax|mobile|cell)(?:\x20(?:me|us|no|number|at|on))?[^\p{L}0-9]{0,4}$"
+MAIL_WORD = r"(?i)(?<!\p{L})(?:(?:e-?)?mail|contact|write)(?:\x20(?:me|us|address|at|to))?[^\p{L}0-9]{0,4}$"
+IN_PHONE = r"\+[0-9][\x20().0-9-]*$"  # what stands before is the start of a number with +
 CONTEXT = r"(?i)(?:mail|phone|tel|call|fax|contact|card|account|ip|host|server|address)[^A-Za-z]{0,4}$"
 
 #: feature -> number of bins; the cells are bounded by their product
-FEATURES = {"kind": 5, "len_bin": 6, "digit_bin": 5, "mixed": 3, "seps": 3, "context": 2, "left": 3, "right": 3}
+FEATURES = {"kind": 7, "len_bin": 6, "digit_bin": 5, "mixed": 3, "seps": 3, "marks": 2, "context": 2, "left": 3, "right": 3}
 MAX_CELLS = math.prod(FEATURES.values()) * 4  # x label x fold
 
 
@@ -106,8 +110,9 @@ def _bin(x: Column, bounds: list[int]) -> Column:
     return out
 
 
-def _candidates(kind: str, code: int, proposes, label) -> Column:
-    """Array of candidate structs: span, features and weak label."""
+def _candidates(kind: str, code: int, proposes, label, context: bool = True) -> Column:
+    """Array of candidate structs: span, features and weak label (null: not to learn from).
+    ``context``: whether the words before are a feature (not where they are the label)."""
     def make(x: Column, i: Column) -> Column:
         before, after = F.element_at(F.col(f"p_{kind}"), i + 1), F.element_at(F.col(f"p_{kind}"), i + 2)
         left = F.right(before, F.lit(32))
@@ -120,7 +125,8 @@ def _candidates(kind: str, code: int, proposes, label) -> Column:
             F.floor(digits * 4 / size).cast("int").alias("digit_bin"),
             F.when(letters == 0, 0).when(digits == 0, 1).otherwise(2).alias("mixed"),
             _bin(size - digits - letters, [1, 3]).alias("seps"),
-            left.rlike(CONTEXT).cast("int").alias("context"),
+            x.rlike(r"[(\[]").cast("int").alias("marks"),
+            (left.rlike(CONTEXT).cast("int") if context else F.lit(0)).alias("context"),
             _edge(F.right(left, F.lit(1))).alias("left"), _edge(F.left(after, F.lit(1))).alias("right"),
             label(x, left).cast("int").alias("label"), proposes(x).alias("ok"))
     return F.filter(F.transform(f"f_{kind}", make), lambda c: c["ok"])
@@ -146,13 +152,14 @@ def propose(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _spans("email", always).alias("email"), _spans("ip", ip_ok).alias("ip"),
         _spans("card", card_ok).alias("card"), _spans("phone", phone_ok).alias("phone"),
         F.concat(
-            _candidates("address", 0, always, lambda x, left: x.contains("@")),
+            _candidates("address", 0, lambda x: x.contains("@"), lambda x, left: F.lit(True)),
             _candidates("ip", 1, always, lambda x, left: ip_ok(x)),
             _candidates("host", 1, always, lambda x, left: F.length(x) >= 15),
             _candidates("card", 2, lambda x: F.length(_digits(x)) >= 7, lambda x, left: card_ok(x)),
             _candidates("phone", 3, always, lambda x, left: phone_ok(x)),
-            _candidates("dial", 3, always, lambda x, left: F.lit(False)),
-            _candidates("secret", 4, always, lambda x, left: left.rlike(SECRET_NAME) & x.rlike("[A-Za-z]"))).alias("cands"))
+            _candidates("secret", 4, always, lambda x, left: left.rlike(SECRET_NAME) & x.rlike("[A-Za-z]")),
+            _candidates("dial", 5, always, lambda x, left: F.when(~left.rlike(IN_PHONE), left.rlike(PHONE_WORD)), context=False),
+            _candidates("address", 6, lambda x: ~x.contains("@"), lambda x, left: left.rlike(MAIL_WORD), context=False)).alias("cands"))
     return written(df, "pii")
 
 
@@ -230,7 +237,7 @@ def fit(proposed: DataFrame, min_precision: float = MIN_PRECISION) -> tuple[list
     """Trees and the margin each kind must reach (infinite where the held-out cells
     support none). Reads all candidates; at most ``MAX_CELLS`` counts reach the driver."""
     c = F.col("c")
-    cells = (proposed.select("fold", F.explode("cands").alias("c"))
+    cells = (proposed.select("fold", F.explode("cands").alias("c")).filter(c["label"].isNotNull())
              .groupBy(*[c[name].alias(name) for name in FEATURES], (F.col("fold") == 0).alias("held"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum(c["label"]).alias("pos")).collect())
     train = [r.asDict() for r in cells if not r["held"]]

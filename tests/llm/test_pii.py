@@ -82,6 +82,23 @@ def test_model_adds_secrets_and_redacts(spark):
     assert out[902].text == "nothing here" and out[902].n_chars == 12 and out[903].text is None
 
 
+def test_model_adds_domestic_phones_and_spelt_addresses(spark):
+    rng = random.Random(3)
+    number = lambda: f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+    name = lambda: "".join(rng.choice("bdklmnrst") + rng.choice("aeiou") for _ in range(2))
+    rows = [(i, f"please call {number()} today", 1) for i in range(150)]
+    rows += [(200 + i, f"mail: {name()} (at) {name()} (dot) org today", 1) for i in range(150)]
+    rows += [(400 + i, f"we met {name()} at {name()}. Then 233.{rng.randrange(100, 999)}.171 left", 1) for i in range(150)]
+    rows += [(600 + i, f"reach +1 {number()} or {name()}@{name()}.org", 1) for i in range(60)]
+    rows += [(900, "desk (555) 123-4567 here", 1), (901, "desk jo (at) site (dot) org here", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(4)
+    out = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert out[900] == "desk [DIAL] here" and out[901] == "desk [ADDRESS] here"
+    assert all(out[i] == "please call [DIAL] today" and out[200 + i] == "mail: [ADDRESS] today" for i in range(150))
+    assert all(out[i] == text for i, text, _ in rows if 400 <= i < 550)
+    assert all(out[600 + i] == "reach [PHONE] or [EMAIL]" for i in range(60))
+
+
 def test_long_prefix_sums(spark):
     text = "ab 1.2.3.4 " * 1000
     row = pii.digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
