@@ -11,7 +11,7 @@ All stages but the last return the columns of ``documents``:
 4. pii: spans are replaced by their kind, n_chars follows the text;
 5. tokens: doc_id, n_tokens and the token ids.
 
-No SQL oracle: stages 2, 4 and 5 have no SQL form (see tests/llm/test_pipeline.py).
+No SQL oracle: stages 2, 4 and 5 have no SQL form (see tests/llm/test_corpus_pipeline.py).
 """
 
 from __future__ import annotations
