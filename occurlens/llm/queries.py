@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, chat, decontaminate, language_id, lm, ngram_join, pii, quality_classifier, quality_rules, sharding
+from . import bpe, chat, decontaminate, language_id, line_dedup, lm, ngram_join, pii, quality_classifier, quality_rules, sharding
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(1), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_quality_classifier": op2_quality_classifier,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_lm": op10_lm,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -95,4 +100,5 @@ ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
+    "op13_line_dedup": line_dedup.ORACLE_SQL,
 }
