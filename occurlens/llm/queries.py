@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, chat, decontaminate, language_id, line_dedup, lm, ngram_join, pii, quality_classifier, quality_rules, sharding
+from . import (bpe, chat, decontaminate, language_id, lexical_search, line_dedup, lm, ngram_join, pii, prefix_trie,
+               quality_classifier, quality_rules, sharding)
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +78,14 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(1), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.table(_table(spark, sf_dir, "conversations"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -92,6 +101,8 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_lm": op10_lm,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -100,5 +111,7 @@ ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_lexical_search": lexical_search.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_line_dedup": line_dedup.ORACLE_SQL,
 }
