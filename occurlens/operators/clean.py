@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -117,13 +117,18 @@ def _final_columns() -> list[Column]:
 
 
 def clean(raw: DataFrame, years: int | Iterable[int] | None = None,
-          date_mode: str = "compat", require_municipality: bool = False) -> DataFrame:
+          date_mode: str = "compat", require_municipality: bool = False, valid_rows: Observation | None = None) -> DataFrame:
     """Raw -> clean: year filter, date filter, consummated filter, one projection.
 
+    ``valid_rows`` observes the rows that pass the date filter (``rows``); it stands above that
+    filter, which still reaches the scan.
+
     ``require_municipality`` also drops rows without a municipality (the
     specification's cleaning rule; by default only the municipality KPI
     drops them)."""
     df = filter_valid_dates(filter_years(raw, years), date_mode)
+    if valid_rows is not None:
+        df = df.observe(valid_rows, F.count(F.lit(1)).alias("rows"))
     staged = df.select(*_staged_columns()).filter(is_consummated(F.col("FLAG_STATUS")))
     if require_municipality:
         staged = staged.filter(F.col("NOME_MUNICIPIO_CIRC").isNotNull())

@@ -49,14 +49,14 @@ def top_n(base: DataFrame, n: int) -> DataFrame:
     return base.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= n).drop("rank")
 
 
-def dense_hours(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+def dense_hours(pairs: DataFrame, counts: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Every (ano, tipo_crime) of ``pairs`` times hours 0..23, with the
     matching count or 0. Hours come from a generator, not a cross join;
     the join is between two aggregates (groups, not rows). A null year never
     matches, so its hours stay 0, as in the table being reproduced."""
     grid = pairs.select(*BY, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora"))
     return (grid.join(counts, on=[*BY, "hora"], how="left")
-            .select(*BY, "hora", F.coalesce(F.col("total"), F.lit(0)).cast("long").alias("total")))
+            .select(*BY, "hora", F.coalesce(F.col("total"), F.lit(0)).cast("long").alias("total"), *(carry or [])))
 
 
 # ---------------------------------------------------------------------------
@@ -219,18 +219,31 @@ def grouped_counts(clean: DataFrame, capital: str = C.CAPITAL) -> DataFrame:
 
 def counts_schema() -> StructType:
     """Columns of the stored uncut counts (the output of ``grouped_counts``)."""
-    dims = [d.column for d in _dims(C.CAPITAL)]
-    return StructType([CLEAN_SCHEMA[c] for c in [*dims, "tipo_crime"]]
+    return StructType([CLEAN_SCHEMA[c] for c in [*DIMENSIONS.values(), "tipo_crime"]]
                       + [StructField("total", LongType()), StructField("gid", LongType()), CLEAN_SCHEMA["ano"]])
 
 
-def uncut(grouped: DataFrame, table: str, capital: str = C.CAPITAL) -> DataFrame:
-    """Every counted row of one dimension's table, before its top-N cut: the input of
-    rankings and lists that add up over years and types."""
-    dims = _dims(capital)
-    cols = [*BY, *[d.column for d in dims]]
-    (column,) = [d.column for d in dims if d.table == table]
-    return grouped.filter((F.col("gid") == _gid(cols, [*BY, column])) & F.col(column).isNotNull()).select(*BY, column, "total")
+#: Dimension of each table, in the order of the grouping sets' columns (see ``_dims``).
+DIMENSIONS = {C.KPI_MONTHLY: "mes", C.KPI_MUNICIPALITY: "municipio", C.KPI_BAIRRO: "bairro", C.KPI_LOCATION: "tipo_local",
+              C.KPI_BRAND: "marca", C.KPI_HOUR: "hora", C.KPI_PERIOD: "periodo"}
+
+
+def rows_of(table: str) -> str:
+    """SQL predicate: the rows of ``grouped_counts`` that are those of one table."""
+    cols, column = [*BY, *DIMENSIONS.values()], DIMENSIONS.get(table)
+    own = f"gid = {_gid(cols, [*BY, column])}"
+    return f"{own} and {column} is not null" if column else own
+
+
+def dimension_of(table: str) -> list[str]:
+    """Key columns of a table: year, crime type and its dimension, if it has one."""
+    return [*BY, *([DIMENSIONS[table]] if table in DIMENSIONS else [])]
+
+
+def uncut(grouped: DataFrame, table: str, carry: list[str] | None = None) -> DataFrame:
+    """Every counted row of one table, before its top-N cut: the input of rankings and
+    lists that add up over years and types."""
+    return grouped.filter(rows_of(table)).select(*dimension_of(table), "total", *(carry or []))
 
 
 def _gid(cols: list[str], members: list[str]) -> int:
@@ -238,27 +251,20 @@ def _gid(cols: list[str], members: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in members)
 
 
-def kpis_from_grouped(grouped: DataFrame, capital: str = C.CAPITAL) -> dict[str, DataFrame]:
-    """Split the grouping-sets aggregate into the eight finished tables."""
-    dims = _dims(capital)
-    cols = [*BY, *[d.column for d in dims]]
-    annual = grouped.filter(F.col("gid") == _gid(cols, BY)).select(*BY, "total")
-    part = {}
-    for d in dims:
-        sel = grouped.filter((F.col("gid") == _gid(cols, [*BY, d.column])) & F.col(d.column).isNotNull())
-        part[d.table] = sel.select(*BY, d.column, "total")
-    hour_counts = part[C.KPI_HOUR]
+def kpis_from_grouped(grouped: DataFrame, carry: list[str] | None = None) -> dict[str, DataFrame]:
+    """Split the grouping-sets aggregate into the eight finished tables. ``carry``: further
+    columns of the counts that each table's rows keep (null in the hours without a count)."""
+    part = {name: uncut(grouped, name, carry) for name in KPI_COLUMNS}
+    annual = part[C.KPI_ANNUAL]
     out = {
+        **part,
         C.KPI_ANNUAL: with_yoy(annual),
-        C.KPI_MONTHLY: part[C.KPI_MONTHLY],
         C.KPI_MUNICIPALITY: top_n(part[C.KPI_MUNICIPALITY], C.TOP_MUNICIPALITIES),
         C.KPI_BAIRRO: top_n(part[C.KPI_BAIRRO], C.TOP_BAIRROS),
-        C.KPI_LOCATION: part[C.KPI_LOCATION],
         C.KPI_BRAND: top_n(part[C.KPI_BRAND], C.TOP_BRANDS),
-        C.KPI_HOUR: dense_hours(annual.select(*BY), hour_counts),
-        C.KPI_PERIOD: part[C.KPI_PERIOD],
+        C.KPI_HOUR: dense_hours(annual.select(*BY), part[C.KPI_HOUR], carry),
     }
-    return {name: df.select(*KPI_COLUMNS[name]) for name, df in out.items()}
+    return {name: df.select(*KPI_COLUMNS[name], *(carry or [])) for name, df in out.items()}
 
 
 def compute_kpis(clean: DataFrame, capital: str = C.CAPITAL, materialize: bool = True) -> dict[str, DataFrame]:
@@ -270,7 +276,7 @@ def compute_kpis(clean: DataFrame, capital: str = C.CAPITAL, materialize: bool =
     grouped = grouped_counts(clean, capital)
     if materialize:
         grouped = grouped.checkpoint(eager=True)
-    return kpis_from_grouped(grouped, capital)
+    return kpis_from_grouped(grouped)
 
 
 def kpi(clean: DataFrame, name: str) -> DataFrame:

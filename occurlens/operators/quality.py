@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import clean_text, period
 from ..schema import KPI_KEYS
-from .kpis import BY, uncut
 from .clean import filter_years, is_consummated, valid_date
 
 
@@ -60,32 +59,6 @@ def _sums(name: str, expected: DataFrame, obtained: DataFrame) -> DataFrame:
         F.lit(name).alias("verificacao"), "esperado", "obtido", (F.col("esperado") == F.col("obtido")).alias("ok"))
 
 
-def reconcile(clean_rows: int, counts: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
-    """Health check of a version before it is published, from the stored counts (clean is
-    not read again): rows (verificacao, esperado, obtido, ok).
-
-    * the counted rows add up to the clean rows that were written;
-    * each cut table holds exactly the counts it was cut from (no changed or invented row);
-    * the annual and hour tables add up to the counts of the rows with a year."""
-    total = counts.groupBy("gid").agg(F.sum("total").alias("t")).agg(F.max("t").alias("v"))
-    rows = [total.select(F.lit("contagens_somam_linhas_limpas").alias("verificacao"),
-                         F.lit(clean_rows).cast("long").alias("esperado"), F.coalesce("v", F.lit(0)).cast("long").alias("obtido"))]
-    years = counts.filter(F.col("ano").isNotNull())
-    rows.append(_sums("anual_igual_contagens", years.groupBy("gid").agg(F.sum("total").alias("t")).agg(F.max("t").alias("v")),
-                      kpis[C.KPI_ANNUAL].select(F.col("total").alias("v"))))
-    for name, column in ((C.KPI_MONTHLY, "mes"), (C.KPI_MUNICIPALITY, "municipio"), (C.KPI_BAIRRO, "bairro"),
-                         (C.KPI_LOCATION, "tipo_local"), (C.KPI_BRAND, "marca"), (C.KPI_PERIOD, "periodo")):
-        keys = [*BY, column]
-        strange = kpis[name].select(*keys, "total").exceptAll(uncut(counts, name).select(*keys, "total"))
-        rows.append(strange.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(f"{name}_dentro_das_contagens").alias("verificacao"), F.lit(0).cast("long").alias("esperado"),
-            F.col("n").cast("long").alias("obtido")))
-    rows.append(_sums("horas_iguais_contagens", uncut(counts, C.KPI_HOUR).filter("ano is not null").select(F.col("total").alias("v")),
-                      kpis[C.KPI_HOUR].select(F.col("total").alias("v"))))
-    rows = [r.select("verificacao", "esperado", "obtido") for r in rows]
-    return reduce(DataFrame.unionByName, rows).withColumn("ok", F.col("esperado") == F.col("obtido"))
-
-
 def kpi_reconcile(clean: DataFrame, kpis: dict[str, DataFrame]) -> DataFrame:
     """Cross-table checks as rows (verificacao, esperado, obtido, ok):
 

@@ -1,15 +1,18 @@
-"""KPI tables on Parquet: writing, key and range checks, ordered reading, and an
-optional database target.
+"""KPI tables on Parquet: writing, checks, ordered reading, and an optional database target.
 
-Row counts come from ``DataFrame.observe`` during the write itself, not a second
-``count()`` job over the output.
+Row counts, sums and order-free checksums come from ``DataFrame.observe`` during the write
+itself (``Measures``), not from jobs of their own. Every stored count carries a checksum of its key
+and total, made when it was counted; each table's write recomputes it from the values it writes,
+so a changed or invented row is seen there, and sums and checksums of whole tables are compared on
+the driver. One job then reads the written tables once, for their keys, range and checksums.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -30,24 +33,42 @@ KPI_ORDER = {
 }
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | str | None = None) -> int:
-    """Write Parquet to a folder of its own; returns the number of rows written."""
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | str | None = None, balanced: bool = False) -> int:
+    """Write Parquet to a folder of its own; returns the number of rows written. ``balanced``:
+    rows are first dealt by the partition column into partitions of the advised size (AQE merges
+    small years and splits large ones), so the number of files follows the bytes, not tasks x
+    years; worth a shuffle where many tasks hold many years."""
+    by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     obs = Observation()
+    if balanced:
+        df = df.hint("rebalance", *by)
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if by:
+        writer = writer.partitionBy(*by)
     writer.parquet(path)
     return int(obs.get.get("rows", 0))
 
 
+def observed(df: DataFrame, measures: dict[str, str]) -> tuple[DataFrame, Observation]:
+    """``df`` with SQL aggregates that the next write of it takes on the way."""
+    obs = Observation()
+    return df.observe(obs, *[F.expr(f"{c} as `{n}`") for n, c in measures.items()]), obs
+
+
+def measured(obs: Observation) -> dict[str, int]:
+    return {k: int(v or 0) for k, v in obs.get.items()}
+
+
 @dataclass
 class LoadResult:
     tabela: str
     linhas: int
     status: str
+    medidas: dict[str, int] = field(default_factory=dict)  # what the write observed
 
 
 TABLE_THREADS = 8
+CHECK_COLUMN = "conferencia"  # of a stored count: checksum of its key and total
 
 
 def for_each_table(kpis: dict[str, DataFrame], fn) -> list[LoadResult]:
@@ -71,42 +92,79 @@ def for_each_table(kpis: dict[str, DataFrame], fn) -> list[LoadResult]:
         return list(pool.map(safe, kpis.items()))
 
 
-def any_key_null(name: str) -> Column:
-    out = F.lit(False)
-    for k in KPI_KEYS[name]:
-        out = out | F.col(k).isNull()
-    return out
+def any_key_null(name: str) -> str:
+    return "(" + " or ".join(f"{k} is null" for k in KPI_KEYS[name]) + ")"
+
+
+def row_checksum(name: str) -> str:
+    """Checksum of a table row's key and total (nulls do not change it), as SQL."""
+    by = ("ano", "tipo_crime")
+    keys = [*(k for k in by if k in KPI_KEYS[name]), *(k for k in KPI_KEYS[name] if k not in by)]
+    return f"xxhash64('{name}', {', '.join(keys)}, total)"
+
+
+def _changed(name: str) -> str:
+    """A row that is not the count it was made from. Hours without a count are rows of 0."""
+    same = f"{CHECK_COLUMN} <=> {row_checksum(name)}"
+    return f"not ({same} or ({CHECK_COLUMN} is null and total = 0))" if name == C.KPI_HOUR else f"not ({same})"
 
 
 def write_kpis(kpis: dict[str, DataFrame], folder: str) -> list[LoadResult]:
     """Write the eight tables into one new version folder, partitioned by ``ano``.
 
-    Rows with a null key (a null year) cannot be stored under the natural key; they go
-    to ``<folder>/sem_chave/<table>`` and are counted in the status of the report."""
+    Rows with a null key (a null year) cannot be stored under the natural key; where the write
+    observed any, they go to ``<folder>/sem_chave/<table>`` and are counted in the status of the
+    report. Tables that carry the column ``CHECK_COLUMN`` are compared with it, row by row, by the
+    write; it is not stored."""
     def write(name: str, df: DataFrame) -> LoadResult:
-        df = nan_to_null(df)
-        n = write_partitioned(df.filter(~any_key_null(name)), f"{folder}/{name}", "ano")
-        keyless = write_partitioned(df.filter(any_key_null(name)), f"{folder}/sem_chave/{name}")
-        return LoadResult(name, n, "OK" if not keyless else f"OK ({keyless} sem chave)")
+        df, keyless, h = nan_to_null(df), any_key_null(name), row_checksum(name)
+        measures = {"linhas": f"count_if(not {keyless})", "sem_chave": f"count_if{keyless}", "soma": "coalesce(sum(total), 0)",
+                    "controle": f"coalesce(bit_xor(if({keyless}, null, {h})), 0)", "controle_todas": f"coalesce(bit_xor({h}), 0)"}
+        if CHECK_COLUMN in df.columns:
+            measures["alteradas"] = f"count_if({_changed(name)})"
+        seen, obs = observed(df, measures)
+        n = write_partitioned(seen.filter(f"not {keyless}").drop(CHECK_COLUMN), f"{folder}/{name}", "ano")
+        m = measured(obs)
+        if m["sem_chave"]:
+            write_partitioned(df.filter(keyless).drop(CHECK_COLUMN), f"{folder}/sem_chave/{name}")
+        return LoadResult(name, n, f"OK ({m['sem_chave']} sem chave)" if m["sem_chave"] else "OK", m)
     return for_each_table(kpis, write)
 
 
-def check_version(spark: SparkSession, folder: str) -> list[LoadResult]:
-    """Key and range check of every table of a version folder. A missing table, a
-    duplicate or null key, or a change outside the sink's range is an error."""
-    def check(name: str, _: DataFrame) -> LoadResult:
-        df = read_if_present(spark, f"{folder}/{name}", KPI_SCHEMAS[name])
-        if df is None:
+def check_version(spark: SparkSession, folder: str, written: list[LoadResult] | None = None) -> list[LoadResult]:
+    """One job over the tables of a version folder. A missing table, a duplicate or null key, a
+    change outside the sink's range, or (given ``written``) rows that are not those the
+    write observed, are errors."""
+    tables = {name: read_if_present(spark, f"{folder}/{name}", KPI_SCHEMAS[name]) for name in KPI_TABLES}
+    parts = []
+    for name, df in tables.items():
+        if df is not None:
+            yoy = out_of_range("variacao_yoy_pct") if "variacao_yoy_pct" in df.columns else "false"
+            keys = ", ".join(f"cast({k} as string)" for k in KPI_KEYS[name])
+            parts.append(df.selectExpr(f"'{name}' as tabela", f"array({keys}) as chave", f"{any_key_null(name)} as nula",
+                                       f"coalesce({yoy}, false) as fora", f"{row_checksum(name)} as h"))
+    found = {}
+    if parts:
+        per_key = reduce(DataFrame.unionByName, parts).groupBy("tabela", "chave").agg(
+            F.expr("count(1) as n"), F.expr("count_if(nula) as nulas"), F.expr("count_if(fora) as fora"), F.expr("bit_xor(h) as h"))
+        found = {r["tabela"]: r for r in per_key.groupBy("tabela").agg(
+            F.expr("sum(n) as linhas"), F.expr("count_if(n > 1) as duplicadas"), F.expr("sum(nulas) as nulas"),
+            F.expr("sum(fora) as fora"), F.expr("bit_xor(h) as controle")).collect()}
+    by_write = {r.tabela: r.medidas for r in written or []}
+
+    def verdict(name: str) -> LoadResult:
+        if tables[name] is None:
             return LoadResult(name, 0, "ERRO tabela ausente")
-        chk = check_keys(df, name).first()
-        if chk["chaves_duplicadas"] or chk["chaves_nulas"]:
-            return LoadResult(name, 0, f"ERRO chaves: {chk['chaves_duplicadas']} duplicadas, {chk['chaves_nulas']} nulas")
-        if "variacao_yoy_pct" in df.columns:
-            bad = df.filter(out_of_range(F.col("variacao_yoy_pct"))).count()
-            if bad:
-                return LoadResult(name, 0, f"ERRO faixa: {bad} variacoes fora de +-{max_yoy()}")
-        return LoadResult(name, chk["linhas"], "OK")
-    return for_each_table(dict.fromkeys(KPI_TABLES), check)
+        r = found[name].asDict() if name in found else dict.fromkeys(("linhas", "duplicadas", "nulas", "fora", "controle"), 0)
+        if r["duplicadas"] or r["nulas"]:
+            return LoadResult(name, 0, f"ERRO chaves: {r['duplicadas']} duplicadas, {r['nulas']} nulas")
+        if r["fora"]:
+            return LoadResult(name, 0, f"ERRO faixa: {r['fora']} variacoes fora de +-{max_yoy()}")
+        m = by_write.get(name)
+        if m and (m["linhas"], m["controle"]) != (r["linhas"], r["controle"]):
+            return LoadResult(name, 0, f"ERRO gravacao: {r['linhas']} linhas lidas, {m['linhas']} gravadas, ou outro conteudo")
+        return LoadResult(name, r["linhas"], "OK")
+    return [verdict(name) for name in KPI_TABLES]
 
 
 def read_kpi_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -161,9 +219,9 @@ def max_yoy() -> float:
     return float(f"{'9' * (p - s)}.{'9' * s}")
 
 
-def out_of_range(yoy: Column) -> Column:
-    """Whether a change (rounded to the sink's scale) does not fit the sink's decimal."""
-    return F.abs(F.round(yoy, C.YOY_PRECISION[1])) > max_yoy()
+def out_of_range(column: str) -> str:
+    """Whether a change (rounded to the sink's scale) does not fit the sink's decimal, as SQL."""
+    return f"abs(round({column}, {C.YOY_PRECISION[1]})) > {max_yoy()}D"
 
 
 def to_sink_types(df: DataFrame) -> DataFrame:
@@ -175,7 +233,7 @@ def to_sink_types(df: DataFrame) -> DataFrame:
         yoy = F.col("variacao_yoy_pct")
         message = F.concat(F.lit("variacao_yoy_pct out of range: "), yoy.cast("string"))
         out = out.withColumn("variacao_yoy_pct", F.when(
-            out_of_range(yoy), F.raise_error(message).cast(f"decimal({p},{s})")).otherwise(yoy.cast(f"decimal({p},{s})")))
+            F.expr(out_of_range("variacao_yoy_pct")), F.raise_error(message).cast(f"decimal({p},{s})")).otherwise(yoy.cast(f"decimal({p},{s})")))
     return out
 
 
@@ -199,7 +257,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, years: list[int] | None = No
 
 def check_keys(df: DataFrame, name: str) -> DataFrame:
     """Duplicate keys and null keys of one KPI table as one row."""
-    per_key = df.groupBy(*KPI_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).withColumn("nulo", any_key_null(name))
+    per_key = df.groupBy(*KPI_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).withColumn("nulo", F.expr(any_key_null(name)))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("linhas"),
         F.count(F.when(F.col("n") > 1, 1)).cast("long").alias("chaves_duplicadas"),

@@ -1,11 +1,16 @@
 """Versioned tables behind one pointer.
 
 Every run writes new folders; nothing that readers use is written in place. A
-*manifest* names the folders that make up a state (raw, the clean folder of every
-year, the KPI tables); manifests are rows of one small append-only log, and the
-highest committed row is the current state. A run that fails before its commit leaves
-the current state as it was; a rollback commits an earlier manifest again. Only a
-missing path counts as "nothing stored"; any other read error is raised.
+*manifest* names the folders that make up a state (the raw and clean folder of every year, the
+table of ingested files, the KPI tables). Manifest n is the file ``manifests/<n>.json``; the highest number
+is the current state. A commit puts the number after the one its run started from, and only if
+no file has it yet: of two runs that started from the same state one commits, the other gets
+``CommitConflict`` and publishes nothing. A run that fails before its commit leaves the
+current state as it was; a rollback commits an earlier manifest again. Only a missing path
+counts as "nothing stored"; any other read error is raised.
+
+The put is a rename that does not overwrite: atomic on HDFS and the like. An object store whose
+rename is a copy needs its own put-if-absent there.
 """
 
 from __future__ import annotations
@@ -14,30 +19,35 @@ import json
 import uuid
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-LOG_SCHEMA = "seq long, payload string"
+
+class CommitConflict(RuntimeError):
+    """Another run committed after this one had read its state."""
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """Folders of one state. ``clean`` maps a year (None: rows without one) to its folder."""
+    """Folders of one state. ``raw`` and ``clean`` map a year (None: rows without one) to its
+    folder; ``files`` is the table of ingested files; ``seq`` is the number it was read under."""
 
-    raw: str | None = None
+    raw: dict[int | None, str] = field(default_factory=dict)
     clean: dict[int | None, str] = field(default_factory=dict)
     kpis: str | None = None
     clean_rows: int = 0
+    files: str | None = None
+    seq: int = field(default=0, compare=False)
 
     def to_json(self) -> str:
-        return json.dumps({"raw": self.raw, "kpis": self.kpis, "clean_rows": self.clean_rows,
-                           "clean": [[y, p] for y, p in self.clean.items()]})
+        return json.dumps({"raw": [[y, p] for y, p in self.raw.items()], "kpis": self.kpis, "clean_rows": self.clean_rows,
+                           "clean": [[y, p] for y, p in self.clean.items()], "files": self.files})
 
     @staticmethod
-    def from_json(text: str) -> Manifest:
+    def from_json(text: str, seq: int = 0) -> Manifest:
         d = json.loads(text)
-        return Manifest(d["raw"], {y: p for y, p in d["clean"]}, d["kpis"], d["clean_rows"])
+        return Manifest(dict(map(tuple, d["raw"])), dict(map(tuple, d["clean"])), d["kpis"], d["clean_rows"], d["files"], seq)
 
     def with_(self, **changes) -> Manifest:
         return replace(self, **changes)
@@ -49,40 +59,92 @@ def is_missing(error: AnalysisException) -> bool:
 
 def read_if_present(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The Parquet table at ``path``, or None when the path does not exist."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if is_missing(e):
-            return None
-        raise
+    if not _exists(spark, path):
+        return None
+    return spark.read.schema(schema).parquet(path)
 
 
 def new_folder(root: str, kind: str) -> str:
     return f"{root}/{kind}/v-{uuid.uuid4().hex[:12]}"
 
 
-def history(spark: SparkSession, root: str) -> list[tuple[int, Manifest]]:
-    """Committed manifests, oldest first (one short row per run)."""
+# ---------------------------------------------------------------------------
+# The manifest folder: a few small files, read and put through Hadoop's file system API
+# ---------------------------------------------------------------------------
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_path(spark, path))
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    folder = f"{root}/manifests"
+    if not _exists(spark, folder):
+        return []
+    names = [f.getPath().getName() for f in _file_system(spark, folder).listStatus(_path(spark, folder))]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _name(root: str, seq: int) -> str:
+    return f"{root}/manifests/{seq:012d}.json"
+
+
+def _read(spark: SparkSession, root: str, seq: int) -> Manifest:
+    file = _name(root, seq)
+    stream = _file_system(spark, file).open(_path(spark, file))
+    try:
+        return Manifest.from_json(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"), seq)
+    finally:
+        stream.close()
+
+
+def _put_if_absent(spark: SparkSession, file: str, text: str) -> bool:
+    """Write a file whole under a hidden name, then rename it unless the name is taken."""
+    jvm = spark._jvm
+    hidden = f"{file.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    stream = _file_system(spark, file).create(_path(spark, hidden), False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, file).toUri(), spark._jsc.hadoopConfiguration())
     try:
-        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/manifests")
-    except AnalysisException as e:
-        if is_missing(e):
-            return []
-        raise
-    return [(r["seq"], Manifest.from_json(r["payload"])) for r in log.orderBy("seq").collect()]
+        context.rename(_path(spark, hidden), _path(spark, file), options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        _file_system(spark, file).delete(_path(spark, hidden), False)
+        return False
+
+
+def history(spark: SparkSession, root: str) -> list[tuple[int, Manifest]]:
+    """Committed manifests, oldest first (one short file per run)."""
+    return [(n, _read(spark, root, n)) for n in _numbers(spark, root)]
 
 
 def current(spark: SparkSession, root: str) -> Manifest:
-    log = history(spark, root)
-    return log[-1][1] if log else Manifest()
+    numbers = _numbers(spark, root)
+    return _read(spark, root, numbers[-1]) if numbers else Manifest()
 
 
 def commit(spark: SparkSession, root: str, manifest: Manifest) -> int:
-    """Make ``manifest`` the current state: one row, one file, one atomic commit."""
-    log = history(spark, root)
-    seq = log[-1][0] + 1 if log else 1
-    row = spark.range(1).select(F.lit(seq).cast("long").alias("seq"), F.lit(manifest.to_json()).alias("payload"))
-    row.coalesce(1).write.mode("append").json(f"{root}/manifests")
+    """Make ``manifest`` the current state, if the state it was derived from (``seq``) still
+    is; one file, one atomic put."""
+    numbers = _numbers(spark, root)
+    seq = manifest.seq + 1
+    if (numbers and numbers[-1] > manifest.seq) or not _put_if_absent(spark, _name(root, seq), manifest.to_json()):
+        raise CommitConflict(f"state {manifest.seq} of {root} is no longer the current one")
     return seq
 
 
@@ -91,7 +153,7 @@ def rollback(spark: SparkSession, root: str, steps: int = 1) -> Manifest:
     log = history(spark, root)
     if len(log) <= steps:
         raise ValueError(f"no state {steps} commits back ({len(log)} committed)")
-    old = log[-1 - steps][1]
+    old = log[-1 - steps][1].with_(seq=log[-1][0])
     commit(spark, root, old)
     return old
 

@@ -2,24 +2,33 @@
 
 * files are those under the root whose names match a glob (``CelularesSubtraidos_*`` by
   default; Office lock files ``~$...`` never match it);
-* CSV headers are taken in one distributed pass (the first line of each file, whatever the
-  number of files) and stored as a small table; only the distinct headers reach the driver;
-* all lines are then read in one scan and parsed by their own file's header, never by one
-  schema for all (a CSV schema binds by position and would silently shift the columns of a
-  file lacking one), never inferred;
+* one probing pass over the text gives a small table, a row per file: its header (first line),
+  its encoding (UTF-8 where every line is valid UTF-8, else ``FALLBACK_ENCODING``), and whether
+  a line leaves a quote open, as a record with a line break does; only the distinct headers
+  reach the driver;
+* lines are read in one scan, decoded by their file's encoding and parsed **once**, whatever
+  the number of headers, into an array of cells; the required columns are picked from it by the
+  positions of their file's header, never by one schema for all (a CSV schema binds by position
+  and would silently shift the columns of a file lacking one), never inferred;
+* files with open quotes are read record by record instead, one native multi-line scan per
+  distinct header and encoding, so a line break inside a cell stays in it;
 * the required columns come out in a fixed order; absent columns and empty cells are blank;
 * lineage is the file name, or the ``ARQUIVO_ORIGEM=...`` directory value when the files are
   laid out in such partition directories;
 * a file whose year column is blank throughout gets year and month from its occurrence date
-  (``derive_year_month``).
+  (``derive_year_month``); the parsed rows are written for that, so nothing is parsed twice.
 
-Values hold no line breaks (a record is a line); a line equal to its file's header is a header.
+A line equal to its file's header is a header. A header with a line break in it is an error.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,10 +50,14 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 MAX_HEADERS = 10_000  # distinct headers that may reach the driver; more is an error
+FALLBACK_ENCODING = "windows-1252"  # not among Spark's own charsets: ISO-8859-1, with its control range mapped
+C1 = "".join(chr(b) for b in range(0x80, 0xA0))
+C1_IN_FALLBACK = "".join(bytes([b]).decode(FALLBACK_ENCODING, "ignore") or chr(b) for b in range(0x80, 0xA0))
+PROBE_SCHEMA = "file string, header string, encoding string, by_record boolean"
 
 
-def _lines(spark: SparkSession, root: str | list[str], file_glob: str, options: dict[str, str]) -> DataFrame:
-    """(file, first_block, line) of all files: one text scan."""
+def _lines(spark: SparkSession, root: str | list[str], file_glob: str) -> DataFrame:
+    """(file, first_block, line) of all files, bytes as they are: one text scan."""
     reader = spark.read.option("pathGlobFilter", file_glob)
     try:
         text = reader.text([root] if isinstance(root, str) else list(root))
@@ -52,22 +65,50 @@ def _lines(spark: SparkSession, root: str | list[str], file_glob: str, options:
         if is_missing(e):
             raise FileNotFoundError(f"no {file_glob} files under {root}") from e
         raise
-    line = F.col("value")
-    if "encoding" in options:
-        line = F.decode(line.cast("binary"), options["encoding"])
     file = F.col("_metadata.file_path")
-    return (text.select(file.alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first_block"), line.alias("line"))
+    return (text.select(file.alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first_block"), F.col("value").alias("line"))
             .filter(~F.regexp_extract("file", "([^/]+)$", 1).startswith("~$") & (F.col("line") != "")))
 
 
-def file_headers(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """Written table (file, header): the first line of each file, in one pass."""
-    lines = _lines(spark, root, file_glob, options or {}).filter("first_block")
-    first = lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("line", "at").alias("header"))
-    path = scratch_path(spark, "headers")
-    first.write.parquet(path)
-    return spark.read.schema("file string, header string").parquet(path)
+def _from_latin1(text: Column, encoding: Column) -> Column:
+    """Bytes 80 to 9F are control characters in ISO-8859-1 and printable ones in windows-1252."""
+    return F.when(encoding == FALLBACK_ENCODING, F.translate(text, C1, C1_IN_FALLBACK)).otherwise(text)
+
+
+def _decoded(line: Column, encoding: Column, options: dict[str, str]) -> Column:
+    """The text of a line's bytes, by its file's encoding or the one given for all."""
+    if "encoding" in options:
+        return F.decode(line.cast("binary"), options["encoding"])
+    return F.when(encoding == "UTF-8", line).otherwise(_from_latin1(F.decode(line.cast("binary"), "ISO-8859-1"), encoding))
+
+
+def _quote(options: dict[str, str]) -> str:
+    return options.get("quote", '"')
+
+
+def _open_quote(line: Column, options: dict[str, str]) -> Column:
+    """An odd number of quotes that are not escaped: the record goes on in the next line."""
+    quote, escape = _quote(options), options.get("escape", "\\")
+    if not quote:
+        return F.lit(False)
+    bare = line if escape == quote else F.replace(line, F.lit(escape + quote), F.lit(""))
+    return (F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(quote), F.lit("")))) % (2 * len(quote)) != 0
+
+
+def probe_files(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
+                options: dict[str, str] | None = None) -> DataFrame:
+    """Written table (file, header, encoding, by_record): one row per file, one pass. An
+    ``encoding`` option holds for all files, a true ``multiLine`` option reads all by record."""
+    options = options or {}
+    lines = _lines(spark, root, file_glob).withColumn("at", F.when(F.col("first_block"), F.monotonically_increasing_id()))
+    by_record = (F.lit(True) if str(options.get("multiLine", "")).lower() == "true" else
+                 F.bool_or(_open_quote(F.col("line"), options)))
+    encoding = (F.lit(options["encoding"]) if "encoding" in options else
+                F.when(F.bool_and(F.is_valid_utf8("line")), "UTF-8").otherwise(FALLBACK_ENCODING))
+    per_file = lines.groupBy("file").agg(F.min_by("line", "at").alias("first_line"), encoding.alias("encoding"), by_record.alias("by_record"))
+    path = scratch_path(spark, "files")
+    per_file.select("file", _decoded(F.col("first_line"), F.col("encoding"), options).alias("header"), "encoding", "by_record").write.parquet(path)
+    return spark.read.schema(PROBE_SCHEMA).parquet(path)
 
 
 def header_columns(header: str, options: dict[str, str]) -> list[str]:
@@ -75,32 +116,68 @@ def header_columns(header: str, options: dict[str, str]) -> list[str]:
     return next(csv.reader([header.lstrip("\ufeff")], delimiter=sep, quotechar=quote or None))
 
 
-def _distinct_headers(headers: DataFrame) -> list[str]:
-    found = [r["header"] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+def _distinct_headers(probe: DataFrame, options: dict[str, str]) -> list[str]:
+    found = [r["header"] for r in probe.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
     if len(found) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} distinct headers: these files are no occurrence files")
+    quote = _quote(options)
+    for h in found:
+        if quote and h.count(quote) % 2:
+            raise ValueError(f"header with a line break: {h[:200]}")
     return sorted(found)
 
 
-def _parsed(header: str, columns: list[str], options: dict[str, str]) -> Column:
-    """The required columns of a line, by its file's header."""
-    names = header_columns(header, options)
-    ddl = ", ".join(f"`c{i}` string" for i in range(len(names)))
-    parse = {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k not in ("header", "inferSchema", "encoding")}
-    row = F.from_csv("line", ddl, parse)
-    return F.struct(*[(row[f"c{names.index(c)}"] if c in names else F.lit(None).cast("string")).alias(c) for c in columns])
+def _parse_options(options: dict[str, str]) -> dict[str, str]:
+    return {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k not in ("header", "inferSchema", "encoding", "multiLine")}
+
+
+def _by_line(lines: DataFrame, probe: DataFrame, headers: list[str], columns: list[str], options: dict[str, str]) -> DataFrame:
+    """Every line parsed once into cells; each file's required columns picked by position."""
+    spark = lines.sparkSession
+    names = {h: header_columns(h, options) for h in headers}
+    picks = spark.createDataFrame([(h, [n.index(c) if c in n else -1 for c in columns]) for h, n in names.items()],
+                                  "header string, pick array<int>")
+    width = max(len(n) for n in names.values())
+    ddl = ", ".join(f"`c{i}` string" for i in range(width))
+    files = probe.filter("not by_record").join(picks, "header")  # sizes are left to the optimizer
+    rows = lines.join(files, "file").select("file", "pick", "header", _decoded(F.col("line"), F.col("encoding"), options).alias("line"))
+    parsed = rows.filter("line <> header").select("file", "pick", F.from_csv("line", ddl, _parse_options(options)).alias("row"))
+    cells = parsed.select("file", "pick", F.array(*[F.col("row")[f"c{i}"] for i in range(width)]).alias("cells"))
+    return cells.select("file", *[F.get("cells", F.get("pick", i)).alias(c) for i, c in enumerate(columns)])
+
+
+def _path_of(file: str) -> str:
+    """A literal reader path from a file's URI: decoded, glob characters escaped."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(file))
+
+
+def _by_record(spark: SparkSession, probe: DataFrame, columns: list[str], options: dict[str, str]) -> list[DataFrame]:
+    """One native multi-line scan per distinct header and encoding of the files that need it."""
+    groups: dict[tuple[str, str], list[str]] = defaultdict(list)
+    for r in probe.filter("by_record").select("file", "header", "encoding").collect():  # the files a reader lists anyway
+        groups[r["header"], r["encoding"]].append(r["file"])
+    out = []
+    for (header, encoding), files in sorted(groups.items()):
+        names = header_columns(header, options)
+        ddl = ", ".join(f"`c{i}` string" for i in range(len(names)))
+        df = (spark.read.schema(ddl).options(**_parse_options(options)).option("header", "true").option("multiLine", "true")
+              .option("encoding", "ISO-8859-1" if encoding == FALLBACK_ENCODING else encoding).csv([_path_of(f) for f in sorted(files)]))
+        out.append(df.select(F.col("_metadata.file_path").alias("file"), *[
+            (_from_latin1(F.col(f"c{names.index(c)}"), F.lit(encoding)) if c in names else F.lit(None).cast("string")).alias(c)
+            for c in columns]))
+    return out
 
 
 def _read_csv(spark: SparkSession, root: str | list[str], file_glob: str, columns: list[str],
               options: dict[str, str]) -> DataFrame:
-    headers = file_headers(spark, root, file_glob, options)
-    distinct = _distinct_headers(headers)
-    if not distinct:
+    probe = probe_files(spark, root, file_glob, options)
+    headers = _distinct_headers(probe, options)
+    if not headers:
         raise FileNotFoundError(f"no {file_glob} files under {root}")
-    lines = _lines(spark, root, file_glob, options).drop("first_block")
-    rows = lines.join(headers, "file").filter("line <> header")  # size-checked by the optimizer
-    by_header = F.coalesce(*[F.when(F.col("header") == h, _parsed(h, columns, options)) for h in distinct])
-    return rows.select("file", by_header.alias("r")).select("file", *[F.col(f"r.`{c}`").alias(c) for c in columns])
+    parts = _by_record(spark, probe, columns, options)
+    if not probe.filter("not by_record").isEmpty():
+        parts.insert(0, _by_line(_lines(spark, root, file_glob).drop("first_block"), probe, headers, columns, options))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _read_columnar(spark: SparkSession, root: str | list[str], file_glob: str, fmt: str, columns: list[str],
@@ -127,12 +204,18 @@ def _read(spark: SparkSession, root: str | list[str], file_glob: str, fmt: str,
 def read_occurrence_files(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
                           fmt: str = "csv", columns: list[str] | None = None,
                           options: dict[str, str] | None = None,
-                          derive_year: bool = True) -> DataFrame:
-    """The raw table (required columns + lineage, all strings) from files."""
+                          derive_year: bool = True, is_file_list: bool = False) -> DataFrame:
+    """The raw table (required columns + lineage, all strings) from files. ``is_file_list``:
+    ``root`` lists files (as ``file_listing`` does), to be read whatever characters they have."""
     columns = columns or C.REQUIRED_COLUMNS
+    if is_file_list:
+        root = [_path_of(f) for f in root]
     df = _read(spark, root, file_glob, fmt, columns, options or {})
     out = df.select(*columns, origin_of(F.col("file")).alias(C.LINEAGE_COLUMN)).na.fill("", subset=columns)
-    out = derive_year_month(out) if derive_year else out
+    if derive_year:  # two passes, so the parsed rows are written first
+        path = scratch_path(spark, "parsed")
+        out.write.parquet(path)
+        out = derive_year_month(spark.read.schema(out.schema).parquet(path))
     check_raw_schema(out, columns + [C.LINEAGE_COLUMN])
     return out
 
@@ -164,21 +247,73 @@ def derive_year_month(raw: DataFrame) -> DataFrame:
     return out.select(*raw.columns)
 
 
+def file_listing(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB) -> DataFrame:
+    """(file, tamanho, modificado, origem) of the source files: a listing, no content is read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
+    try:
+        files = reader.load([root] if isinstance(root, str) else list(root))
+    except AnalysisException as e:
+        if is_missing(e):
+            raise FileNotFoundError(f"no {file_glob} files under {root}") from e
+        raise
+    file = F.col("_metadata.file_path")
+    return (files.select(file.alias("file"), F.col("length").alias("tamanho"), F.col("modificationTime").alias("modificado"),
+                         origin_of(file).alias("origem"))
+            .filter(~F.regexp_extract("file", "([^/]+)$", 1).startswith("~$")))
+
+
+def changed_origins(before: DataFrame, now: DataFrame) -> DataFrame:
+    """(origem) with a file that is new, gone, or of another size or time than before."""
+    both = (before.select("origem", "file", "tamanho", "modificado", F.lit(1).alias("side"))
+            .unionByName(now.select("origem", "file", "tamanho", "modificado", F.lit(2).alias("side"))))
+    per_file = both.groupBy("origem", "file", "tamanho", "modificado").agg(F.sum("side").alias("sides"))
+    return per_file.filter("sides <> 3").select("origem").distinct()
+
+
 def schema_drift(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
                  columns: list[str] | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """CSV files (by lineage value) whose header lacks required columns: a projection of the
-    header table, one distinct row per file and missing list."""
+    probed headers, one distinct row per file and missing list."""
     columns, options = columns or C.REQUIRED_COLUMNS, options or {}
-    headers = file_headers(spark, root, file_glob, options)
+    probe = probe_files(spark, root, file_glob, options)
     missing = F.lit(None).cast("string")
-    for h in _distinct_headers(headers):
+    for h in _distinct_headers(probe, options):
         names = header_columns(h, options)
         lacking = ",".join(c for c in columns if c not in names)
         missing = F.when(F.col("header") == h, F.lit(lacking)).otherwise(missing)
-    return (headers.select(origin_of(F.col("file")).alias("arquivo"), missing.alias("colunas_ausentes"))
+    return (probe.select(origin_of(F.col("file")).alias("arquivo"), missing.alias("colunas_ausentes"))
             .filter("colunas_ausentes <> ''").distinct())
 
 
+FOOTER_THREADS = 16
+
+
+def schema_drift_columnar(spark: SparkSession, root: str | list[str], file_glob: str = C.SOURCE_FILE_GLOB,
+                          fmt: str = "parquet", columns: list[str] | None = None) -> DataFrame:
+    """Self-describing files whose columns diverge: (arquivo, colunas_ausentes, colunas_de_outro_tipo),
+    the latter as ``name:type`` of required columns that are no strings. Each file's footer is read by
+    a small Spark job (several at a time), so any store that Spark reads will do and no rows are read."""
+    columns = columns or C.REQUIRED_COLUMNS
+    paths = [root] if isinstance(root, str) else list(root)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).option("recursiveFileLookup", "true")
+    try:
+        files = [r["path"] for r in listing.load(paths).select("path").collect()]
+    except AnalysisException as e:
+        if is_missing(e):
+            raise FileNotFoundError(f"no {file_glob} files under {root}") from e
+        raise
+
+    def footer(file: str) -> tuple[str, str, str]:
+        types = {f.name: f.dataType.simpleString() for f in spark.read.format(fmt).load(re.sub(r"([{}\[\]*?\\])", r"\\\1", file)).schema}
+        return (file, ",".join(c for c in columns if c not in types),
+                ",".join(f"{c}:{types[c]}" for c in columns if types.get(c, "string") != "string"))
+
+    with ThreadPoolExecutor(max_workers=FOOTER_THREADS) as pool:
+        found = [r for r in pool.map(footer, sorted(files)) if r[1] or r[2]]
+    drift = spark.createDataFrame(found, "file string, colunas_ausentes string, colunas_de_outro_tipo string")
+    return drift.select(origin_of(F.replace("file", F.lit("%"), F.lit("%25"))).alias("arquivo"), "colunas_ausentes", "colunas_de_outro_tipo").distinct()
+
+
 def export_source_files(raw: DataFrame, root: str, drop: dict[str, list[str]] | None = None,
                         fmt: str = "csv") -> str:
     """Write a raw table as source files, one ``ARQUIVO_ORIGEM=<origin>``

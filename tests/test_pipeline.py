@@ -2,7 +2,6 @@
 year replacement, restart, rollback, dry run, health check, sinks."""
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from occurlens import constants as C
@@ -92,15 +91,111 @@ def test_failing_write_publishes_nothing(spark, few, layout, monkeypatch):
     assert published(spark, layout) == before
 
 
-def test_failing_read_is_raised_not_taken_for_missing(spark, layout, monkeypatch):
-    def broken(*_):
-        raise AnalysisException("storage is away")
+def test_failing_read_is_raised_not_taken_for_missing(spark, layout):
+    assert VS.current(spark, layout.root + "-nowhere") == VS.Manifest()
+    fs, name = VS._file_system(spark, layout.root), VS._name(layout.root, VS.current(spark, layout.root).seq + 1)
+    stream = fs.create(VS._path(spark, name), False)
+    stream.write(bytearray(b"{half a manif"))
+    stream.close()
+    with pytest.raises(ValueError):
+        VS.current(spark, layout.root)
+    with pytest.raises(ValueError):
+        PL.read_raw(spark, layout)
+
+
+def test_of_two_runs_from_one_state_one_commits(spark, few, layout, monkeypatch):
+    before = VS.current(spark, layout.root)
+    other = before.with_(kpis="elsewhere")
+    assert VS.commit(spark, layout.root, other) == before.seq + 1
+    with pytest.raises(VS.CommitConflict):
+        VS.commit(spark, layout.root, before.with_(clean_rows=7))
+    assert VS.current(spark, layout.root) == other and VS.rollback(spark, layout.root) == before
+    # a full run that loses its race publishes nothing
+    real, won = PL._write_version, []
+
+    def race(spark_, layout_, *args):
+        out = real(spark_, layout_, *args)
+        if not won:
+            won.append(VS.commit(spark, layout.root, VS.current(spark, layout.root).with_(files="the other run")))
+        return out
+
+    monkeypatch.setattr(PL, "_write_version", race)
+    with pytest.raises(VS.CommitConflict):
+        PL.run_pipeline(spark, layout, few.filter(F.col("ANO") == "1996"))
+    assert VS.current(spark, layout.root) == before.with_(files="the other run")
+
+
+def test_refresh_runs_again_after_a_conflict(spark, few, layout, monkeypatch):
+    """Raw changes in 1997 and 1998; while 1998 is refreshed, another run refreshes 1997."""
+    gone = F.col("ANO").isin("1997", "1998") & (F.col("NUM_BO").cast("long") % 2 == 0)
+    changed = few.filter(~gone)
+    PL.ingest(changed, layout)
+    real, inner = PL._write_version, []
+
+    def race(spark_, layout_, *args):
+        out = real(spark_, layout_, *args)
+        if not inner:
+            inner.append(True)
+            assert PL.refresh_years(spark, layout, [1997]).ok
+        return out
 
-    monkeypatch.setattr(VS, "is_missing", lambda e: False)
-    with pytest.raises(AnalysisException):
-        VS.current(spark, layout.root + "-nowhere")
+    monkeypatch.setattr(PL, "_write_version", race)
+    assert PL.refresh_years(spark, layout, [1998]).ok
     monkeypatch.undo()
-    assert VS.current(spark, layout.root + "-nowhere") == VS.Manifest()
+    assert published(spark, layout) == full_of(spark, changed)
+
+
+def test_two_ingests_at_once_both_commit_and_the_later_stays(spark, few, layout, monkeypatch):
+    real, first = PL._write_raw, []
+
+    def race(*args):
+        out = real(*args)
+        if not first:
+            first.append(True)
+            PL.ingest(few.filter(F.col("ANO") == "1996"), layout)
+        return out
+
+    monkeypatch.setattr(PL, "_write_raw", race)
+    n = PL.ingest(few.filter(F.col("ANO") == "1997"), layout)
+    assert PL.years_stored(spark, layout) == [1997] and PL.read_raw(spark, layout).count() == n
+
+
+def test_corrupted_files_block_publishing(spark, few, layout, monkeypatch):
+    """A row lost after the write observed it, and a cut table with a row too few counts."""
+    before, real = published(spark, layout), PL.write_kpis
+
+    def lossy(kpis, folder):
+        out = real(kpis, folder)
+        path = f"{folder}/{C.KPI_BRAND}"
+        rows = spark.read.schema(SK.KPI_SCHEMAS[C.KPI_BRAND]).parquet(path).checkpoint(eager=True)
+        rows.limit(rows.count() - 1).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ano").parquet(path)
+        return out
+
+    monkeypatch.setattr(PL, "write_kpis", lossy)
+    report = PL.run_pipeline(spark, layout, few.filter(F.col("ANO") != "1997"))
+    assert not report.ok and report.loads[-1].tabela == C.KPI_BRAND and "gravacao" in report.loads[-1].status
+    assert published(spark, layout) == before
+
+
+def test_files_follow_bytes_not_tasks(spark, few):
+    """200 input splits and four years: a few files; a year of many bytes is split."""
+    out = PL.Layout(scratch_path(spark, "files"))
+    raw = few.repartition(200).checkpoint(eager=True)
+    PL.ingest(raw, out)
+    PL.run_clean(spark, out)
+    state = VS.current(spark, out.root)
+    for folders in (state.raw, state.clean):
+        (folder,) = set(folders.values())
+        assert len(spark.read.parquet(folder).inputFiles()) <= 2 * len(folders)
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        PL.ingest(raw, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = spark.read.parquet(VS.current(spark, out.root).raw[1997]).inputFiles()
+    assert len([f for f in files if "ANO=1997" in f]) > 1
+    assert PL.read_raw(spark, out).count() == few.count()
 
 
 def test_null_key_rows_go_aside_and_are_counted(spark, few, layout):
