@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile methods above 8,000 bytes: a generated stage with one runs
+    # interpreted, slower than the same operators without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

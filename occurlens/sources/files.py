@@ -67,7 +67,11 @@ def _lines(spark: SparkSession, root: str | list[str], file_glob: str) -> DataFr
         raise
     file = F.col("_metadata.file_path")
     return (text.select(file.alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first_block"), F.col("value").alias("line"))
-            .filter(~F.regexp_extract("file", "([^/]+)$", 1).startswith("~$") & (F.col("line") != "")))
+            .filter(~_lock_file(F.col("file")) & (F.col("line") != "")))
+
+
+def _lock_file(file: Column) -> Column:
+    return F.substring_index(file, "/", -1).startswith("~$")
 
 
 def _from_latin1(text: Column, encoding: Column) -> Column:
@@ -105,10 +109,17 @@ def probe_files(spark: SparkSession, root: str | list[str], file_glob: str = C.S
                  F.bool_or(_open_quote(F.col("line"), options)))
     encoding = (F.lit(options["encoding"]) if "encoding" in options else
                 F.when(F.bool_and(F.is_valid_utf8("line")), "UTF-8").otherwise(FALLBACK_ENCODING))
-    per_file = lines.groupBy("file").agg(F.min_by("line", "at").alias("first_line"), encoding.alias("encoding"), by_record.alias("by_record"))
-    path = scratch_path(spark, "files")
-    per_file.select("file", _decoded(F.col("first_line"), F.col("encoding"), options).alias("header"), "encoding", "by_record").write.parquet(path)
-    return spark.read.schema(PROBE_SCHEMA).parquet(path)
+    # Buffers of fixed size, so this is a hash aggregate; the header lines are fetched by their place.
+    per_file = lines.groupBy("file").agg(F.min("at").alias("at"), encoding.alias("encoding"), by_record.alias("by_record"))
+    found, path = scratch_path(spark, "files"), scratch_path(spark, "files")
+    per_file.write.parquet(found)
+    per_file = spark.read.schema("file string, at long, encoding string, by_record boolean").parquet(found)
+    first = lines.select("file", "at", "line").join(per_file, ["file", "at"])
+    first.select("file", _decoded(F.col("line"), F.col("encoding"), options).alias("header"), "encoding", "by_record").write.parquet(path)
+    probe = spark.read.schema(PROBE_SCHEMA).parquet(path)
+    if probe.count() != per_file.count():
+        raise RuntimeError("the source files changed while they were read")
+    return probe
 
 
 def header_columns(header: str, options: dict[str, str]) -> list[str]:
@@ -259,7 +270,7 @@ def file_listing(spark: SparkSession, root: str | list[str], file_glob: str = C.
     file = F.col("_metadata.file_path")
     return (files.select(file.alias("file"), F.col("length").alias("tamanho"), F.col("modificationTime").alias("modificado"),
                          origin_of(file).alias("origem"))
-            .filter(~F.regexp_extract("file", "([^/]+)$", 1).startswith("~$")))
+            .filter(~_lock_file(F.col("file"))))
 
 
 def changed_origins(before: DataFrame, now: DataFrame) -> DataFrame:

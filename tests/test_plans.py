@@ -84,3 +84,32 @@ def test_capital_filter_runs_before_the_derivation(spark, raw_small):
 
 def test_top_n_per_year_has_a_group_limit(clean_small):
     assert "WindowGroupLimit" in optimized(X.topn_per_year(clean_small))
+
+
+def test_single_split_scan_is_spread_over_the_cores(spark):
+    from occurlens.sources.fixture import read_table, spread
+
+    lineitem = read_table(spark, SF_SMALL, "lineitem")
+    many = lineitem.repartition(spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
+    if lineitem.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        text = plan(spread(lineitem))
+        assert "RoundRobinPartitioning" in text and "hashpartitioning" not in text
+
+
+def test_clean_stage_is_small_enough_to_compile(spark, raw_small):
+    """Over stored raw its generated methods stay below the JVM's 8,000 bytes; a larger stage (clean
+    fused with the fixture's expressions) runs without whole-stage code, by the session's limit."""
+    import re
+
+    path = scratch_path(spark, "stored")
+    raw_small.write.parquet(path)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = clean(spark.read.schema(raw_small.schema).parquet(path))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(executed)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
