@@ -20,6 +20,7 @@ hold or held are written; the manifest names a raw folder for every year.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -83,7 +84,7 @@ def _by_year(values: set[str]) -> set[int | None]:
     return {None if v == NO_YEAR else int(v) for v in values}
 
 
-def _read_years(spark: SparkSession, folders: dict[int | None, str], schema: StructType, column: str,
+def _read_years(spark: SparkSession, folders: dict[int | None, str], sizes: dict[str, int], schema: StructType, column: str,
                 years: set[int | None] | None = None) -> DataFrame:
     """Rows of the given years (None: all): each stored folder contributes the years for which
     the manifest names it, so replaced and removed years are not read."""
@@ -98,12 +99,13 @@ def _read_years(spark: SparkSession, folders: dict[int | None, str], schema: Str
         keep = F.col(column).isin([y for y in ys if y is not None])
         if None in ys:
             keep = keep | F.col(column).isNull()
-        frames.append(spark.read.schema(schema).parquet(folder).filter(keep).select(*schema.fieldNames()))
+        df = spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+        frames.append(df if len(ys) == sizes.get(folder) else df.filter(keep))
     return reduce(DataFrame.unionByName, frames)
 
 
 def _read_raw(spark: SparkSession, state: Manifest, years: set[int | None] | None = None) -> DataFrame:
-    return _read_years(spark, state.raw, RAW_STORED_SCHEMA, "ANO", years)
+    return _read_years(spark, state.raw, state.sizes, RAW_STORED_SCHEMA, "ANO", years)
 
 
 def read_raw(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -113,7 +115,7 @@ def read_raw(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def _read_clean(spark: SparkSession, state: Manifest, years: set[int | None] | None = None) -> DataFrame:
-    return _read_years(spark, state.clean, CLEAN_SCHEMA, "ano", years)
+    return _read_years(spark, state.clean, state.sizes, CLEAN_SCHEMA, "ano", years)
 
 
 def read_clean(spark: SparkSession, layout: Layout, years: list[int] | None = None) -> DataFrame:
@@ -145,10 +147,14 @@ def _write_years(spark: SparkSession, df: DataFrame, folder: str, schema: Struct
     return {y: folder for y in (_by_year(partition_values(stored, column)) if stored is not None else [])}, n
 
 
+def _sizes(held: dict[int | None, str]) -> dict[str, int]:
+    return dict(Counter(held.values()))
+
+
 def _write_raw(spark: SparkSession, layout: Layout, raw: DataFrame, state: Manifest) -> tuple[Manifest, int]:
     check_raw_schema(raw.select(*[c for c in raw.columns if c in RAW_COLUMNS]))
     held, n = _write_years(spark, raw, new_folder(layout.root, "raw"), RAW_STORED_SCHEMA, "ANO")
-    return state.with_(raw=held, files=None), n
+    return state.with_(raw=held, files=None, sizes={**state.sizes, **_sizes(held)}), n
 
 
 def _commit_raw(spark: SparkSession, layout: Layout, state: Manifest) -> int:
@@ -158,7 +164,8 @@ def _commit_raw(spark: SparkSession, layout: Layout, state: Manifest) -> int:
         try:
             return commit(spark, layout.root, state)
         except CommitConflict:
-            state = current(spark, layout.root).with_(raw=state.raw, files=state.files)
+            now = current(spark, layout.root)
+            state = now.with_(raw=state.raw, files=state.files, sizes={**now.sizes, **_sizes(state.raw)})
 
 
 def ingest(raw: DataFrame, layout: Layout) -> int:
@@ -216,7 +223,7 @@ def ingest_files(spark: SparkSession, layout: Layout, root: str | list[str], **s
         F.col("sem_ano"), F.concat("anos", F.array(F.lit(None).cast("int")))).otherwise(F.col("anos")).alias("anos"))
     listing.join(per_origin, F.col("origem") == F.col("o"), "left").select(*FILES_SCHEMA.fieldNames()).write.parquet(files)
     kept = {y: p for y, p in state.raw.items() if y not in touched} if before is not None else {}
-    commit(spark, layout.root, state.with_(raw={**kept, **held}, files=files))
+    commit(spark, layout.root, state.with_(raw={**kept, **held}, files=files, sizes={**state.sizes, **_sizes(held)}))
     return sorted(touched, key=lambda y: (y is None, y))
 
 
@@ -235,7 +242,7 @@ def _write_clean(spark: SparkSession, layout: Layout, state: Manifest, years: li
     metrics = {"linhas_brutas": float(n_raw), "linhas_validas": float(valid.get.get("rows", 0)), "linhas_limpas": float(n),
                "pct_retido": round(100.0 * n / n_raw, 1) if n_raw else 0.0}
     kept = {} if years is None else {y: p for y, p in state.clean.items() if y not in years and (y is None or y in state.raw)}
-    state = state.with_(clean={**kept, **held})
+    state = state.with_(clean={**kept, **held}, sizes={**state.sizes, **_sizes(held)})
     rows = n if years is None else _read_clean(spark, state).count()
     return state.with_(clean_rows=rows), metrics
 

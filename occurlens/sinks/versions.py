@@ -31,23 +31,28 @@ class CommitConflict(RuntimeError):
 @dataclass(frozen=True)
 class Manifest:
     """Folders of one state. ``raw`` and ``clean`` map a year (None: rows without one) to its
-    folder; ``files`` is the table of ingested files; ``seq`` is the number it was read under."""
+    folder; ``sizes`` has how many years each folder holds, so a folder none of whose years was
+    replaced is read without a year filter; ``files`` is the table of ingested files; ``seq`` is
+    the number it was read under."""
 
     raw: dict[int | None, str] = field(default_factory=dict)
     clean: dict[int | None, str] = field(default_factory=dict)
     kpis: str | None = None
     clean_rows: int = 0
     files: str | None = None
+    sizes: dict[str, int] = field(default_factory=dict)
     seq: int = field(default=0, compare=False)
 
     def to_json(self) -> str:
         return json.dumps({"raw": [[y, p] for y, p in self.raw.items()], "kpis": self.kpis, "clean_rows": self.clean_rows,
-                           "clean": [[y, p] for y, p in self.clean.items()], "files": self.files})
+                           "clean": [[y, p] for y, p in self.clean.items()], "files": self.files,
+                           "sizes": {p: self.sizes[p] for p in {*self.raw.values(), *self.clean.values()} if p in self.sizes}})
 
     @staticmethod
     def from_json(text: str, seq: int = 0) -> Manifest:
         d = json.loads(text)
-        return Manifest(dict(map(tuple, d["raw"])), dict(map(tuple, d["clean"])), d["kpis"], d["clean_rows"], d["files"], seq)
+        return Manifest(dict(map(tuple, d["raw"])), dict(map(tuple, d["clean"])), d["kpis"], d["clean_rows"], d["files"],
+                        d["sizes"], seq)
 
     def with_(self, **changes) -> Manifest:
         return replace(self, **changes)

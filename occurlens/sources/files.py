@@ -31,7 +31,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -112,14 +112,16 @@ def probe_files(spark: SparkSession, root: str | list[str], file_glob: str = C.S
     # Buffers of fixed size, so this is a hash aggregate; the header lines are fetched by their place.
     per_file = lines.groupBy("file").agg(F.min("at").alias("at"), encoding.alias("encoding"), by_record.alias("by_record"))
     found, path = scratch_path(spark, "files"), scratch_path(spark, "files")
-    per_file.write.parquet(found)
+    n_files, n_headers = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("n")
+    per_file.observe(n_files, count).write.parquet(found)
     per_file = spark.read.schema("file string, at long, encoding string, by_record boolean").parquet(found)
     first = lines.select("file", "at", "line").join(per_file, ["file", "at"])
-    first.select("file", _decoded(F.col("line"), F.col("encoding"), options).alias("header"), "encoding", "by_record").write.parquet(path)
-    probe = spark.read.schema(PROBE_SCHEMA).parquet(path)
-    if probe.count() != per_file.count():
+    probe = first.select("file", _decoded(F.col("line"), F.col("encoding"), options).alias("header"), "encoding", "by_record")
+    probe.observe(n_headers, count).write.parquet(path)
+    if n_headers.get.get("n", 0) != n_files.get.get("n", 0):
         raise RuntimeError("the source files changed while they were read")
-    return probe
+    return spark.read.schema(PROBE_SCHEMA).parquet(path)
 
 
 def header_columns(header: str, options: dict[str, str]) -> list[str]:
@@ -127,15 +129,18 @@ def header_columns(header: str, options: dict[str, str]) -> list[str]:
     return next(csv.reader([header.lstrip("\ufeff")], delimiter=sep, quotechar=quote or None))
 
 
-def _distinct_headers(probe: DataFrame, options: dict[str, str]) -> list[str]:
-    found = [r["header"] for r in probe.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+def _distinct_headers(probe: DataFrame, options: dict[str, str]) -> dict[str, set[bool]]:
+    """The distinct headers, each with the ways (by record or by line) that its files are read."""
+    found: dict[str, set[bool]] = defaultdict(set)
+    for r in probe.select("header", "by_record").distinct().limit(2 * MAX_HEADERS + 1).collect():
+        found[r["header"]].add(r["by_record"])
     if len(found) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} distinct headers: these files are no occurrence files")
     quote = _quote(options)
     for h in found:
         if quote and h.count(quote) % 2:
             raise ValueError(f"header with a line break: {h[:200]}")
-    return sorted(found)
+    return dict(sorted(found.items()))
 
 
 def _parse_options(options: dict[str, str]) -> dict[str, str]:
@@ -185,9 +190,11 @@ def _read_csv(spark: SparkSession, root: str | list[str], file_glob: str, column
     headers = _distinct_headers(probe, options)
     if not headers:
         raise FileNotFoundError(f"no {file_glob} files under {root}")
-    parts = _by_record(spark, probe, columns, options)
-    if not probe.filter("not by_record").isEmpty():
-        parts.insert(0, _by_line(_lines(spark, root, file_glob).drop("first_block"), probe, headers, columns, options))
+    parts, ways = [], set().union(*headers.values())
+    if False in ways:
+        parts.append(_by_line(_lines(spark, root, file_glob).drop("first_block"), probe, list(headers), columns, options))
+    if True in ways:
+        parts += _by_record(spark, probe, columns, options)
     return reduce(DataFrame.unionByName, parts)
 
 
