@@ -2,21 +2,21 @@
 
 One pass over the whole texts gives per document the rule statistics and the
 hash of every normalised line (ASCII-lowered words, single spaces) that has a
-word. A line whose number of distinct texts within one host is above
-``max_docs`` is boilerplate: it is removed from every document of the host but
-the first (smallest doc_id), and a document that loses more than
-``max_removed`` of its words is rejected as depleted, like one that fails the
-base rules. Exact copies count as one text, so copies alone make no
-boilerplate.
+word. A line of at least ``MIN_LINE_WORDS`` words is boilerplate where more than
+max(``min_docs``, ``max_share`` of the host's documents) distinct documents (doc_ids) of one host hold it:
+it is removed from every document of the host but the first (smallest doc_id), and a document that
+loses more than ``max_removed`` of its words is rejected as depleted, like one that fails the
+base rules. The share keeps the meaning of the limit as a host grows; copies of a document are
+documents, so of many copies the first alone keeps its lines.
 
 Scale: the pass is narrow; lines leave it as 64-bit hashes, counted with map-side
-aggregation on (host, line, text), so neither a hot host nor a hot line meets
+aggregation on (host, line, document), so neither a hot host nor a hot line meets
 in one task. The join of lines with the frequent ones is left to the
 optimizer (size-checked broadcast, or a shuffle with skew splitting).
 
 Defined cases: null text counts as empty (0 words, fails the base rule); null
 host is a host of its own; when every doc_id of a line is null its lines stay;
-repeated rows get the same verdict; an empty table gives an empty result.
+repeated rows are one document and get the same verdict; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import (LOWER, PLAIN, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed,
                      span_hashes, split_by, text_slices, with_row_id, written)
 
-MAX_DOCS = 20        # distinct texts of one host that may share a line
+MIN_DOCS = 20        # documents of one host that may always share a line
+MAX_SHARE = 0.01     # share of the host's documents that may share a line, where that is more
+MIN_LINE_WORDS = 3   # shorter lines are never boilerplate
 MAX_REMOVED = 0.75   # share of a document's words that line removal may take
 MIN_WORDS = 50
 REPEAT_WINDOW = 3
@@ -112,7 +114,7 @@ def _content_key(text_col: str, id_col: str, host_col: str) -> Column:
 def measure(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
     """Statistics and line hashes per row (no text), written as a table."""
     bound_batches(docs.sparkSession)
-    rows = with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"),
+    rows = with_row_id(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{host_col}`").alias("host"), F.col(f"`{text_col}`").alias("text"),
                                    _content_key(text_col, id_col, host_col).alias("content")))
     carried = [c for c in rows.columns if c != "text"]
 
@@ -124,57 +126,63 @@ def measure(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hos
     return written(rows.mapInArrow(run, f"{schema}, {STATS}, {LINES}"), "quality")
 
 
-def boilerplate(measured: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(host, line, first_id) of the lines above the limit."""
-    per_text = (measured.select("host", "doc_id", "text_key", F.explode("lines").alias("l"))
-                .groupBy("host", F.col("l.line").alias("line"), "text_key").agg(F.min("doc_id").alias("first_id")))
-    return (per_text.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("first_id").alias("first_id"))
-            .filter(F.col("texts") > max_docs).drop("texts"))
+    per_doc = (measured.select("host", "doc_id", F.explode("lines").alias("l")).filter(F.col("l.words") >= MIN_LINE_WORDS)
+               .groupBy("host", F.col("l.line").alias("line"), "doc_id").agg(F.count(F.lit(1)).alias("times")))
+    lines = (per_doc.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_id"))
+             .filter(F.col("docs") > min_docs))
+    hosts = (measured.groupBy("host", "doc_id").agg(F.count(F.lit(1)).alias("times"))
+             .groupBy(F.col("host").alias("h_host")).agg(F.count(F.lit(1)).alias("h_docs")))
+    return (lines.join(hosts, F.col("host").eqNullSafe(F.col("h_host"))).filter(F.col("docs") > max_share * F.col("h_docs"))
+            .select("host", "line", "first_id"))
 
 
-def removals(measured: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+def removals(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(row_id, removed_words, removed_lines) of the rows that lose lines."""
-    frequent = boilerplate(measured, max_docs).withColumnRenamed("host", "f_host")
+    frequent = boilerplate(measured, min_docs, max_share).withColumnRenamed("host", "f_host")
     lines = measured.select("row_id", "host", "doc_id", F.explode("lines").alias("l"))
     return (lines.join(frequent, (F.col("l.line") == F.col("line")) & F.col("host").eqNullSafe(F.col("f_host"))
                        & ~F.col("doc_id").eqNullSafe(F.col("first_id")))
             .groupBy("row_id").agg(F.sum("l.words").alias("removed_words"), F.collect_list("l.no").alias("removed_lines")))
 
 
-def judge(measured: DataFrame, max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED) -> DataFrame:
+def judge(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_removed: float = MAX_REMOVED) -> DataFrame:
     """Measured rows with ``removed_words``, ``removed_lines``, ``base_failed`` and ``kept``."""
-    out = measured.drop("lines").join(removals(measured, max_docs), "row_id", "left")
+    out = measured.drop("lines").join(removals(measured, min_docs, max_share), "row_id", "left")
     lost = F.coalesce("removed_words", F.lit(0)).cast("long")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (out.withColumn("removed_words", lost).withColumn("base_failed", failed)
             .withColumn("kept", ~failed & (F.col("removed_words") <= max_removed * F.col("n_words"))))
 
 
-def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED) -> DataFrame:
+def verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_removed: float = MAX_REMOVED) -> DataFrame:
     """One row per document: the statistics and the verdict."""
-    return judge(measure(docs), max_docs, max_removed).select(
+    return judge(measure(docs), min_docs, max_share, max_removed).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "removed_words")
 
 
-def clean(docs: DataFrame, max_docs: int = MAX_DOCS, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """The documents kept, boilerplate lines taken out of ``text`` (and
-    ``n_chars`` following it, where the table has that column). The texts are read a second
+def clean(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_removed: float = MAX_REMOVED,
+          text_col: str = "text", id_col: str = "doc_id", host_col: str = "source", size_col: str = "n_chars") -> DataFrame:
+    """The documents kept, boilerplate lines taken out of the text (and ``size_col``
+    following it, where the table has that column). The texts are read a second
     time; only those of rejected or changed documents are shuffled, to meet their verdicts."""
-    judged = judge(measure(docs), max_docs, max_removed)
+    judged = judge(measure(docs, text_col, id_col, host_col), min_docs, max_share, max_removed)
     touched = written(judged.filter("not kept or removed_lines is not null").groupBy("content").agg(
         F.bool_and("kept").alias("kept"), F.first("removed_lines").alias("removed_lines")), "verdicts")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                       _content_key("text", "doc_id", "source").alias("content"))
+                       _content_key(text_col, id_col, host_col).alias("content"))
     whole, maybe = split_by(rows, touched, ["content"])
     met = maybe.join(touched.hint("merge"), "content", "left").filter("kept is null or kept")
+    text = F.col(f"doc.`{text_col}`")
     left = F.array_join(F.transform(
-        F.filter(F.transform(F.split("doc.text", "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
+        F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
                  lambda s: ~F.array_contains("removed_lines", s["i"])), lambda s: s["x"]), "\n")
     same = F.col("removed_lines").isNull()
-    new = {"text": F.when(same, F.col("doc.text")).otherwise(left)}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(same, F.col("doc.n_chars")).otherwise(F.length(left).cast(docs.schema["n_chars"].dataType))
+    new = {text_col: F.when(same, text).otherwise(left)}
+    if size_col in docs.columns:
+        new[size_col] = F.when(same, F.col(f"doc.`{size_col}`")).otherwise(F.length(left).cast(docs.schema[size_col].dataType))
     return (whole.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
             .unionByName(met.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])))
 
@@ -198,8 +206,14 @@ lines as (
   from raw_lines where len(lw) > 0),
 dups as (
   select doc_id, count(*) - count(distinct x) as n_dup_lines from lines group by 1),
+hosts as (
+  select source, count(distinct doc_id) + max(cast(doc_id is null as int)) as h_docs from documents group by 1),
 frequent as (
-  select source, line, min(doc_id) as first_id from lines group by 1, 2 having count(distinct text) > {max_docs}),
+  select f.source, line, first_id from (
+    select source, line, min(doc_id) as first_id, count(distinct doc_id) + max(cast(doc_id is null as int)) as docs
+    from lines where words >= {min_line_words} group by 1, 2) f
+  join hosts h on f.source is not distinct from h.source
+  where docs > {min_docs} and docs > {max_share} * h_docs),
 removed as (
   select l.doc_id, sum(l.words) as removed_words from lines l
   join frequent f on l.line = f.line and l.source is not distinct from f.source and l.doc_id is distinct from f.first_id
@@ -217,4 +231,5 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and removed_words <= {max_removed} * n_words as kept,
        removed_words
 from stats
-""".replace("{max_docs}", str(MAX_DOCS)).replace("{max_removed}", str(MAX_REMOVED))
+""".replace("{min_docs}", str(MIN_DOCS)).replace("{max_share}", str(MAX_SHARE)).replace(
+    "{min_line_words}", str(MIN_LINE_WORDS)).replace("{max_removed}", str(MAX_REMOVED))

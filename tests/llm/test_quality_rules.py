@@ -30,19 +30,19 @@ def norm(line):
     return " ".join(re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(line))
 
 
-def brute(rows, max_docs, max_removed):
-    texts, first = defaultdict(set), {}
+def brute(rows, min_docs, max_share, max_removed):
+    docs, hosts = defaultdict(set), defaultdict(set)
     for doc_id, text, host in rows:
+        hosts[host].add(doc_id)
         for line in (text or "").split("\n"):
-            if words(line):
-                key = host, norm(line)
-                texts[key].add(text)
-                if doc_id is not None:
-                    first[key] = min(first.get(key, doc_id), doc_id)
+            if len(words(line)) >= qr.MIN_LINE_WORDS:
+                docs[host, norm(line)].add(doc_id)
+    first = {k: min((d for d in ids if d is not None), default=None) for k, ids in docs.items()
+             if len(ids) > max(min_docs, max_share * len(hosts[k[0]]))}
     out = []
     for doc_id, text, host in rows:
-        removed = sum(len(words(line)) for line in (text or "").split("\n") if words(line)
-                      and len(texts[host, norm(line)]) > max_docs and first.get((host, norm(line))) != doc_id)
+        removed = sum(len(words(line)) for line in (text or "").split("\n")
+                      if (host, norm(line)) in first and first[host, norm(line)] != doc_id)
         b = base(text)
         failed = b[0] < 50 or 100 * b[4] > 50 * b[0]
         out.append((doc_id, *b, failed, not failed and removed <= max_removed * b[0], removed))
@@ -58,8 +58,19 @@ def test_noise_against_brute_force(spark):
                  for _ in range(rng.randint(0, 9))]
         rows.append((None if i % 41 == 0 else i, "\n".join(lines), rng.choice(["h1", "h1", "h2", None])))
     rows += [rows[5], rows[6], (500, None, "h1"), (501, "", "h1"), (502, "x" * 70000 + " y\r\n" + "z " * 4000, "h2")]
-    got = qr.verdicts(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as row_id", "'l' as lines").repartition(4), 6, 0.3)
-    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 6, 0.3)
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as row_id", "'l' as lines").repartition(4)
+    for share in (0.01, 0.2):  # 0.2 of a host's documents is more than 6
+        got = qr.verdicts(docs, 6, share, 0.3)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 6, share, 0.3)
+
+
+def test_limit_follows_the_size_of_the_host(spark):
+    """The same 30 documents with a common line, in a small host and in one of 5,000 documents."""
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(h * 10000 + i, f"Read our other stories\n{body(h * 10000 + i)}", f"h{h}") for h in (0, 1) for i in range(30)]
+    rows += [(20000 + i, body(i), "h1") for i in range(5000)]
+    got = {r.doc_id: r.removed_words for r in qr.verdicts(spark.createDataFrame(rows, SCHEMA)).filter("doc_id < 20000").collect()}
+    assert got == {i: 4 if 0 < i < 30 else 0 for i in (*range(30), *range(10000, 10030))}
 
 
 def test_clean_removes_lines_and_depleted_documents(spark):
