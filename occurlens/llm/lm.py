@@ -10,7 +10,8 @@ k - 1 tokens, h' the context without its first token and mu the concentration,
 As an automaton, a state is a context, an arc (h, w) carries log10 p_k(w | h) for every
 n-gram seen in training, and a failure arc from h to h' carries log10(mu / (c(h) + mu)):
 an unseen n-gram's probability is that weight times the one at h', so the weights of the
-failures taken and of the arc found add up to the interpolated log-probability.
+failures taken and of the arc found add up to the interpolated log-probability. An arc leads to the
+longest suffix of its n-gram that is a context; a text's walk carries that state on.
 
 Scale: the model has no size bound, so it is never gathered. The documents are cut into
 blocks of bounded text, whose distinct n-grams are packed by shard. Each shard sums the
@@ -18,7 +19,8 @@ counts of its n-grams over all training blocks and answers every block that aske
 block's own order, with the totals only (written as a table). A second pass over the texts
 turns each block into n-gram numbers, joins it with its answers, builds the sub-automaton of
 the n-grams it meets and scores its texts, left to right, all texts of the block side by side.
-Counts cover every document; n-grams of a block are summed before they are shuffled, so a
+The number of shards follows the bytes of text, so a shard's n-grams, and the tasks that sum them, do not
+grow with the corpus. Counts cover every document; n-grams of a block are summed before they are shuffled, so a
 frequent n-gram is at most one number a block. Both passes must see the same rows in the
 same order, as a stored table gives them; checksums of every block's n-grams are compared,
 and a difference is an error, never a wrong score.
@@ -43,6 +45,8 @@ from .common import LOWER, SLICE_BYTES, Texts, Words, bound_batches, mix, text_s
 ORDER = 3
 CONCENTRATION = 5.0
 BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
+SHARD_BYTES = 2 * BLOCK_BYTES   # text per shard: a shard's share of the n-grams stays as large however much there is
+MAX_BLOCKS = 100_000            # beyond, blocks grow with the corpus, so that blocks x shards stays bounded
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 
@@ -122,12 +126,12 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[list[pa.RecordBatch]]:
     held, size = [], 0
     for part in text_slices(batches):
         held.append(part)
         size += part.column("text").nbytes
-        if size >= BLOCK_BYTES:
+        if size >= block_bytes:
             yield held
             held, size = [], 0
     if held:
@@ -159,29 +163,29 @@ def _source(docs: DataFrame, training, text_col: str, id_col: str) -> DataFrame:
     return rows.withColumn("training", F.coalesce(training(F.col("doc_id")), F.lit(True)))
 
 
-def gram_counts(rows: DataFrame, order: int, shards: int) -> DataFrame:
+def gram_counts(rows: DataFrame, order: int, shards: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, k, shard, a, b): per block, order and shard the distinct n-grams and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _blocks(batches):
+        for parts in _blocks(batches, block_bytes):
             name = parts[0].column("row_id")[0].as_py()  # row numbers are unique, so this names the block
             out = []
             for k, keys, _, counts in _counted(Block(parts, order), parts, order, True):
                 cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
                 out += [{"block": name, "k": k, "shard": s, "a": pack_keys(keys[a:b]), "b": _pack_numbers(counts[a:b])}
-                        for s, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+                        for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             yield pa.RecordBatch.from_pylist(out, pa.schema([
                 ("block", pa.int64()), ("k", pa.int32()), ("shard", pa.int32()), ("a", pa.binary()), ("b", pa.binary())]))
 
     return rows.mapInArrow(run, "block long, k int, shard int, a binary, b binary")
 
 
-def streams(rows: DataFrame, order: int) -> DataFrame:
+def streams(rows: DataFrame, order: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, sizes, numbers, checks, ids): per block its texts as k-gram numbers, with a checksum of
     the keys of every order, which the answers must match."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _blocks(batches):
+        for parts in _blocks(batches, block_bytes):
             block = Block(parts, order)
             numbers, checks = [], []
             for _, keys, number, _ in _counted(block, parts, order, False):
@@ -213,7 +217,7 @@ def _sum_shard(rows: list[dict]) -> list[dict]:
     return out
 
 
-def totals(keys: DataFrame) -> DataFrame:
+def totals(keys: DataFrame, tasks: int) -> DataFrame:
     """Written table (block, k, shard, totals, check, tokens, types): what each shard answers each
     block; its first row also has the shard's token and type sums."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,59 +233,83 @@ def totals(keys: DataFrame) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_pylist(_sum_shard(held), schema)
 
-    return written(keys.repartition("k", "shard").sortWithinPartitions("k", "shard").mapInArrow(
+    return written(keys.repartition(tasks, "k", "shard").sortWithinPartitions("k", "shard").mapInArrow(
         run, "block long, k int, shard int, totals binary, check long, tokens long, types long"), "totals")
 
 
 class Automaton:
-    """Backoff automaton over the n-grams of one block. A state of order k is a (k-1)-gram
-    number; ``arcs[k]`` has the weight of each k-gram of the block (its failure weight plus
-    the weight below where training lacks it)."""
+    """Backoff automaton over the n-grams of one block.
+
+    States are contexts: state 0 is the empty one, the states of level k (2 to the order) are the
+    (k-1)-grams of the block. ``arc_keys`` (state * tokens + token, sorted) has an arc for every
+    k-gram seen in training, with its weight and the next state: the longest suffix of the k-gram
+    that is a context. State 0 has an arc for every token. Every other state has a failure
+    arc, with its weight, to the state of the context without its first token."""
 
     def __init__(self, numbers: list[np.ndarray], counts: list[np.ndarray], contexts: list[np.ndarray],
                  n: int, v: int, mu: float):
         """numbers[k-1]: k-gram number at each token; counts[k-1]: training total of each
         k-gram; contexts[k-1]: (k-1)-gram number of the context of each token (k >= 2)."""
-        self.numbers, self.contexts = numbers, contexts
+        top, self.tokens = len(numbers), len(counts[0])
+        base = np.cumsum([0, 1, *(len(counts[k - 2]) for k in range(2, top + 1))])  # first state of each level
+        self.stream = numbers[0]
         self.unigram = np.log10((counts[0] + 0.5) / (n + 0.5 * (v + 1)))
-        arc = self.unigram
-        self.arcs, self.failures, self.seen = [arc], [np.zeros(0)], [np.ones(len(arc), bool)]
-        for k in range(2, len(numbers) + 1):
-            number, context = numbers[k - 1], contexts[k - 1]
-            grams = len(counts[k - 1])
-            ctx, lower = np.zeros(grams, np.int64), np.zeros(grams)
-            ctx[number] = context
-            lower[number] = arc[numbers[k - 2]]
-            held = counts[k - 2][ctx] + mu
-            self.failures.append(np.log10(mu / (counts[k - 2] + mu)))
-            self.seen.append(counts[k - 1] > 0)
-            arc = np.where(self.seen[-1], np.log10((counts[k - 1] + mu * 10.0 ** lower) / held), self.failures[-1][ctx] + lower)
-            self.arcs.append(arc)
+        self.failure, self.shorter = np.zeros(base[-1]), np.zeros(base[-1], np.int64)
+        token = np.arange(self.tokens)
+        known = counts[0] > 0
+        keys, weights = [token], [self.unigram]
+        targets = [np.where(known, base[1] + token, 0) if top > 1 else np.zeros(self.tokens, np.int64)]
+        lower = self.unigram
+        for k in range(2, top + 1):
+            number, context, grams = numbers[k - 1], contexts[k - 1], len(counts[k - 1])
+            ctx, last, below = (np.zeros(grams, np.int64) for _ in range(3))
+            occurs = np.zeros(grams, bool)
+            ctx[number], last[number], below[number], occurs[number] = context, numbers[0], numbers[k - 2], True
+            held = counts[k - 2] + mu
+            fails = np.log10(mu / held)
+            level = slice(base[k - 1], base[k])
+            self.failure[level] = fails
+            if k > 2:  # contexts that occur as grams, and the one of start marks
+                self.shorter[base[k - 1] + numbers[k - 2]] = base[k - 2] + numbers[k - 3]
+                marks = np.ones(len(counts[k - 2]), bool)
+                marks[numbers[k - 2]] = False
+                self.shorter[base[k - 1] + np.flatnonzero(marks)] = base[k - 2] + contexts[k - 2][0]
+            seen = counts[k - 1] > 0
+            weight = np.where(seen, np.log10((counts[k - 1] + mu * 10.0 ** lower[below]) / held[ctx]), fails[ctx] + lower[below])
+            arc = np.flatnonzero(seen & occurs)
+            keys.append((base[k - 1] + ctx[arc]) * self.tokens + last[arc])
+            weights.append(weight[arc])
+            targets.append(base[k] + arc if k < top else base[k - 1] + below[arc])
+            lower = weight
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        self.arc_keys = keys[order]
+        self.weights, self.targets = np.concatenate(weights)[order], np.concatenate(targets)[order]
+        self.start = base[top - 1] + contexts[top - 1][0] if top > 1 else 0
 
     def traverse(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(model, unigram) log10 probability of each text: one walk from left to right, the
-        texts of the block side by side. At each token the walk stands in the state of the
-        longest context; it takes the token's arc if training has it, else the failure arc to
-        the next shorter context, adding the weights it passes."""
+        texts of the block side by side. Each text carries its state: it takes the token's arc to
+        the next state where there is one, else the failure arc to a shorter context, and tries
+        again; the weights of all arcs taken add up."""
         starts = np.cumsum(sizes) - sizes
         longest = np.argsort(-sizes, kind="stable")
         score, base = np.zeros(len(sizes)), np.zeros(len(sizes))
-        top = len(self.arcs)
+        state = np.full(len(sizes), self.start, np.int64)
         for step in range(int(sizes.max()) if len(sizes) else 0):
-            alive = longest[:np.searchsorted(-sizes[longest], -step, side="left")]
-            at = starts[alive] + step
-            gain = np.zeros(len(at))
-            todo = np.arange(len(at))
-            for k in range(top, 0, -1):
-                gram = self.numbers[k - 1][at[todo]]
-                found = self.seen[k - 1][gram]
-                gain[todo[found]] += self.arcs[k - 1][gram[found]]
-                todo = todo[~found]
-                if not len(todo):
-                    break
-                gain[todo] += self.failures[k - 1][self.contexts[k - 1][at[todo]]]
-            score[alive] += gain
-            base[alive] += self.unigram[self.numbers[0][at]]
+            todo = longest[:np.searchsorted(-sizes[longest], -step, side="left")]
+            token = self.stream[starts[todo] + step]
+            base[todo] += self.unigram[token]
+            while len(todo):
+                key = state[todo] * self.tokens + token
+                arc = np.minimum(np.searchsorted(self.arc_keys, key), len(self.arc_keys) - 1)
+                found = self.arc_keys[arc] == key
+                done, arc = todo[found], arc[found]
+                score[done] += self.weights[arc]
+                state[done] = self.targets[arc]
+                todo, token = todo[~found], token[~found]
+                score[todo] += self.failure[state[todo]]
+                state[todo] = self.shorter[state[todo]]
         return score, base
 
 
@@ -320,12 +348,14 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
     ``training``: column of the id -> boolean column, true for the documents to learn from."""
     if order < 1:
         raise ValueError("order must be at least 1")
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    default = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(f"`{text_col}`") + 1), F.lit(0))).first()[0]
+    block_bytes = max(BLOCK_BYTES, size // MAX_BLOCKS)
+    shards = shards or size // max(SHARD_BYTES, block_bytes) + 1
     rows = _source(docs, training, text_col, id_col)
-    answers = totals(gram_counts(rows, order, shards))
+    answers = totals(gram_counts(rows, order, shards, block_bytes), max(order * shards, default))
     n, v = answers.filter("k = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    stream = streams(rows, order)
+    stream = streams(rows, order, block_bytes)
     own, reply = ["sizes", "numbers", "checks", "ids"], ["totals", "check"]
     both = (stream.select("block", F.lit(0).alias("k"), F.lit(-1).alias("shard"), *own,
                           *[F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in reply])
@@ -345,6 +375,6 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
             yield _score_block(held, order, n, v, mu, ids)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = both.repartition("block").sortWithinPartitions("block", "k", "shard").mapInArrow(
+    scored = both.repartition(max(size // block_bytes + 1, default), "block").sortWithinPartitions("block", "k", "shard").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
