@@ -7,12 +7,15 @@ forms with the next live part. Each node keeps the smallest (rank, position)
 below it, so the root names the leftmost pair of lowest rank; a merge rewrites
 the leaves of the merged part, of the part it swallowed and of its left
 neighbour, and updates their log2(length) ancestors. Pieces of one size class
-are merged side by side: every step does one merge in each piece.
+are merged side by side: every step does one merge in each piece. A piece above ``LONG_PIECE``
+bytes is merged alone: a step descends its tree to all places of the lowest rank, merges them
+from the left up to the first merge that makes a pair of lower rank (which one merge at a
+time would take next), and updates the tree once for all of them.
 
 Scale: a narrow pass, one row in and out; the rank file is read by each worker
 from the installed tokenizer files (its path is a parameter). Encoded pieces are
-remembered per worker up to ``CACHE_PIECES``, which bounds memory and changes no
-result.
+remembered per worker up to ``CACHE_PIECES`` and ``CACHE_BYTES``, which bounds memory and changes
+no result. A long piece takes about 50 bytes of work memory a byte while it is merged.
 
 Defined cases: null and empty texts give no ids and decode to no bytes;
 special-token strings are ordinary text; extra columns pass through; an id that
@@ -36,6 +39,8 @@ from pyspark.sql import functions as F
 from .common import bound_batches, text_of, text_slices
 
 CACHE_PIECES = 300_000
+CACHE_BYTES = 64 << 20
+LONG_PIECE = 2048         # bytes above which a piece is merged alone, many places a step
 TREE_CELLS = 1 << 20      # leaves merged at a time
 LONG_TEXT = 1 << 20       # characters above which pieces are taken in runs
 PIECES_AT_ONCE = 1 << 16
@@ -63,6 +68,7 @@ class Vocabulary:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
         self.cache: dict[str, bytes] = {}
+        self.held = 0  # bytes of long pieces in the cache
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
@@ -118,6 +124,56 @@ class Vocabulary:
         ends = np.cumsum(live.sum(axis=1)) * 4
         return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
+    def merge_long(self, raw: bytes) -> bytes:
+        """Ids (packed) of one long piece."""
+        n, leaves = len(raw), 1 << (len(raw) - 1).bit_length()
+        part = self.byte_ids[np.frombuffer(raw, np.uint8)]
+        follow, before, live = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        tree = np.full(2 * leaves, NONE, np.int64)
+        rank = self.pair_rank(part[:-1], part[1:])
+        tree[leaves:leaves + n - 1] = np.where(rank < NONE, rank * leaves + np.arange(n - 1), NONE)
+        width = leaves
+        while width > 1:
+            width //= 2
+            tree[width:2 * width] = np.minimum(tree[2 * width:4 * width:2], tree[2 * width + 1:4 * width:2])
+        while tree[1] < NONE:
+            low = tree[1] // leaves
+            nodes = np.ones(1, np.int64)
+            while nodes[0] < leaves:  # down to every leaf of the lowest rank, in order
+                nodes = np.repeat(2 * nodes, 2)
+                nodes[1::2] += 1
+                nodes = nodes[tree[nodes] < (low + 1) * leaves]
+            at = nodes - leaves
+            begins = np.ones(len(at), bool)
+            begins[1:] = follow[at[:-1]] != at[1:]
+            number = np.arange(len(at))  # of overlapping places every other one, from the left
+            at = at[(number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 0]
+            gone = follow[at]
+            after, left = follow[gone], before[at]
+            left_part = part[left]
+            merged = np.zeros(len(at), bool)
+            merged[1:] = after[:-1] == at[1:]  # the left neighbour is merged in this step too
+            left[1:][merged[1:]] = at[:-1][merged[1:]]
+            left_part[merged] = low
+            lower = (left >= 0) & (self.pair_rank(left_part, np.full(len(at), low)) < low)
+            lower |= (after < n) & (self.pair_rank(np.full(len(at), low), part[np.minimum(after, n - 1)]) < low)
+            if lower.any():
+                stop = int(np.argmax(lower)) + 1
+                at, gone, after, left = at[:stop], gone[:stop], after[:stop], left[:stop]
+            part[at], follow[at], live[gone] = low, after, False
+            before[after[after < n]] = at[after < n]
+            touched = np.unique(np.concatenate((at, left[left >= 0])))
+            right = follow[touched]
+            rank = np.where(right < n, self.pair_rank(part[touched], part[np.minimum(right, n - 1)]), NONE)
+            tree[leaves + gone] = NONE
+            tree[leaves + touched] = np.where(rank < NONE, rank * leaves + touched, NONE)
+            nodes = np.unique(np.concatenate((gone, touched))) + leaves
+            while nodes[0] > 1:
+                nodes >>= 1
+                nodes = nodes[np.concatenate(([True], nodes[1:] != nodes[:-1]))]
+                tree[nodes] = np.minimum(tree[2 * nodes], tree[2 * nodes + 1])
+        return part[live].astype("<u4").tobytes()
+
     def learn(self, pieces: set[str]) -> None:
         """Encode new pieces into the cache, size class by size class."""
         classes: dict[int, list[tuple[str, bytes]]] = {}
@@ -126,6 +182,9 @@ class Vocabulary:
             whole = self.ranks.get(raw)
             if whole is not None:
                 self.cache[piece] = whole.to_bytes(4, "little")
+            elif len(raw) > LONG_PIECE:
+                self.cache[piece] = self.merge_long(raw)
+                self.held += len(raw)
             else:
                 classes.setdefault(1 << max(1, (len(raw) - 1).bit_length()), []).append((piece, raw))
         for leaves, group in classes.items():
@@ -144,8 +203,9 @@ class Vocabulary:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian 32-bit ids of each text."""
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > CACHE_PIECES or self.held > CACHE_BYTES:
             self.cache.clear()
+            self.held = 0
         cut = [self.pattern.findall(t) if t and len(t) <= LONG_TEXT else None for t in texts]
         self.learn({p for pieces in cut if pieces for p in pieces if p not in self.cache})
         out = []

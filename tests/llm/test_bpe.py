@@ -5,6 +5,7 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -64,3 +65,26 @@ def test_edges(spark):
     assert sorted(len(r.ids) for r in out) == [0, 0, 4, 4] and out[0].row.ids == "x"
     assert bpe.digest(rows.limit(0), BPE_RANKS, PATTERN).count() == 0
     assert [r.ids for r in bpe.tokens(rows, BPE_RANKS, PATTERN).orderBy("n_tokens").collect()][0] == []
+
+
+def test_long_pieces_equal_the_library_and_the_short_way():
+    """Unbroken pieces: random letters, few letters (many ties and overlaps), repeats; one of 1 MB."""
+    import time
+
+    vocab, library = bpe.vocabulary(BPE_RANKS, PATTERN), reference()
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for n in (2, 3, 50, 700, 5000):
+        for alphabet in (letters, "ab", "aeth", "esting", "é漢a", "a"):
+            text = "".join(rng.choice(alphabet) for _ in range(n))
+            raw = text.encode()
+            want = vocab.merge([raw], 1 << max(1, (len(raw) - 1).bit_length())) if len(raw) < 9000 else None
+            got = vocab.merge_long(raw)
+            assert want is None or got == want[0], (n, alphabet)
+    for text in ("".join(rng.choice(letters) for _ in range(30000)), "the" * 9000 + "internationalization" * 500, "ha" * 20000):
+        assert vocab.encode([text])[0] == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    big = "".join(rng.choice(letters) for _ in range(1 << 20))
+    begin = time.perf_counter()
+    ids = vocab.encode([big])[0]
+    assert vocab.decode(ids) == big.encode() and time.perf_counter() - begin < 60
+    assert ids == np.array(library.encode_ordinary(big), "<u4").tobytes()
