@@ -8,7 +8,9 @@ format and context features. Cells are counted over all documents (a grouped sum
 whose row count is bounded by the product of the bins), boosted trees of depth 2 are
 fitted to them with weak labels (the base checks; an assignment to a secret-like name
 for opaque tokens; a contact word before phone numbers without + and addresses spelt
-with at and dot, which no base check keeps; none of these is a feature), margins are calibrated by isotonic
+with at and dot, which no base check keeps; addresses with @ are true where they are written
+without blanks or follow a contact word; all eight groups, or three of a shortened one, for host
+numbers; none of these is a feature), margins are calibrated by isotonic
 regression on held-out cells, and candidates whose calibrated probability reaches
 ``MIN_PRECISION`` are added.
 
@@ -20,8 +22,10 @@ become a CASE expression. Only the bounded cell counts reach the driver.
 
 Spans are code points, end exclusive. Defined cases: null and empty texts have no
 spans (a null text stays null when redacting); repeated rows get the same spans;
-without candidates, or with one class only, nothing is added; empty tables give empty
-results.
+without candidates, or with one class only, nothing is added; a kind of which fewer than
+``MIN_HELD_OUT`` held-out candidates support a threshold adds nothing (a precision cannot be
+vouched for from fewer), so very small tables get base spans only; empty tables give empty
+results. Tokens of lower-case letters alone, and of one capital and lower-case letters, are not proposed.
 """
 
 from __future__ import annotations
@@ -48,12 +52,18 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # generators beyond the base patterns
-    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+"
-               r"\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,24}+",
-    "host": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){3,7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])",
+    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]++"
+               r"\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,}+",
+    "host": r"(?<![0-9A-Za-z:])[0-9A-Fa-f:]++(?<=[0-9A-Fa-f]|::)(?![0-9A-Za-z])",
     "dial": r"(?<![0-9+])\(?[0-9]{2,4}+\)?[\x20.-][0-9]{3,4}+[\x20.-][0-9]{3,4}+(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}+[0-9])[A-Za-z0-9+/_=-]{16,}+",
+    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+",
 }
+# What a run must be to be proposed: a host number of 4 to 8 groups, or one with a run of zeros
+# left out (::) and a digit; a token with a digit or with a capital after another letter or mark.
+HOST_FULL = r"^[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){3,7}$"
+HOST_SHORT = r"^(?=.*[0-9])(?!.*::.*::)(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?$"
+TOKEN = r"[0-9]|[a-z+/_=-][A-Z]"
+PLAIN_ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\."
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 SECRET_NAME = r"(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|credential|(?:api|access|private|auth)[_ -]?key)[\"']?\x20?[:=]\x20?[\"']?$"
@@ -140,24 +150,28 @@ def propose(docs: DataFrame, text_col: str = "text") -> DataFrame:
     digit, at = F.col("has_digit"), F.col("text").contains("@")
     guards = {"email": at, "ip": digit, "card": digit, "phone": digit & F.col("text").contains("+"),
               "address": at | F.col("text").rlike(r"[\[(]at[\])]|\x20at\x20[A-Za-z0-9-]+\x20?(?:dot|[\[(.])"),
-              "host": digit & F.col("text").contains(":"), "dial": digit, "secret": digit}
+              "host": digit & F.col("text").contains(":"), "dial": digit,
+              "secret": F.col("text").rlike("[A-Za-z0-9+/_=-]{16}")}
     for kind, guard in guards.items():
         df = _found(df, kind, guard)
     card_ok = lambda x: F.length(_digits(x)).between(13, 19) & F.call_function("luhn_check", _digits(x))
     phone_ok = lambda x: F.length(_digits(x)).between(9, 15)
     ip_ok = lambda x: x.rlike(IP_VALID)
     always = lambda x: F.lit(True)
+    groups = lambda x: F.size(F.filter(F.split(x, ":"), lambda g: g != ""))
     df = df.select(
         "row_id", "doc", F.pmod(F.xxhash64("text"), F.lit(5)).cast("int").alias("fold"),
         _spans("email", always).alias("email"), _spans("ip", ip_ok).alias("ip"),
         _spans("card", card_ok).alias("card"), _spans("phone", phone_ok).alias("phone"),
         F.concat(
-            _candidates("address", 0, lambda x: x.contains("@"), lambda x, left: F.lit(True)),
+            _candidates("address", 0, lambda x: x.contains("@"),
+                        lambda x, left: x.rlike(PLAIN_ADDRESS) | left.rlike(MAIL_WORD), context=False),
             _candidates("ip", 1, always, lambda x, left: ip_ok(x)),
-            _candidates("host", 1, always, lambda x, left: F.length(x) >= 15),
+            _candidates("host", 1, lambda x: x.rlike(HOST_FULL) | x.rlike(HOST_SHORT),
+                        lambda x, left: F.when(x.rlike(HOST_SHORT), groups(x) >= 3).otherwise(groups(x) == 8)),
             _candidates("card", 2, lambda x: F.length(_digits(x)) >= 7, lambda x, left: card_ok(x)),
             _candidates("phone", 3, always, lambda x, left: phone_ok(x)),
-            _candidates("secret", 4, always, lambda x, left: left.rlike(SECRET_NAME) & x.rlike("[A-Za-z]")),
+            _candidates("secret", 4, lambda x: x.rlike(TOKEN), lambda x, left: left.rlike(SECRET_NAME) & x.rlike("[A-Za-z]")),
             _candidates("dial", 5, always, lambda x, left: F.when(~left.rlike(IN_PHONE), left.rlike(PHONE_WORD)), context=False),
             _candidates("address", 6, lambda x: ~x.contains("@"), lambda x, left: left.rlike(MAIL_WORD), context=False)).alias("cands"))
     return written(df, "pii")

@@ -1,6 +1,7 @@
 """PII: base spans against a plain brute-force version; model, redaction, edges."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -115,3 +116,62 @@ def test_empty_table_and_plan(spark):
 @pytest.mark.parametrize("points,want", [([(1, 1, 2), (2, 0, 2), (3, 3, 3)], [0.25, 1.0]), ([], [])])
 def test_isotonic(points, want):
     assert [p for _, p, _ in pii.isotonic(points)] == want
+
+
+def test_generators_have_no_length_limits(spark):
+    late = "abcdefghij" * 9 + "7" + "k" * 30         # its digit comes after 90 letters
+    mixed = "".join(chr(65 + i % 26) + chr(97 + i * 7 % 26) for i in range(20))  # no digit at all
+    hosts = ["2001:db8::1", "::ffff:0:1", "fe80::1ff:fe23:4567:890a", "2001:0db8:0000:0000:0000:ff00:0042:8329", "1:2:3:4"]
+    not_hosts = ["dead::beef", "std::vector", "12:30:45", "1::2::3", "::", "a:b"]
+    local = "x" * 100 + "@" + "y" * 80 + "." + "z" * 30
+    rows = [(1, f"token = {late} and {mixed} end"), (2, " ".join(["at", *hosts, *not_hosts, "end"])), (3, f"write {local} now"),
+            (4, "Verfassungsgerichtshof donaudampfschifffahrt")]
+    cands = {r.doc.doc_id: r.cands for r in pii.propose(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    found = {d: {(pii.ADDED_KINDS[c.kind], text[d][c.start:c.end]) for c in cs} for d, cs in cands.items()}
+    assert found[1] == {("secret", late), ("secret", mixed)} and found[4] == set()
+    assert {x for k, x in found[2] if k == "host"} == set(hosts) and ("address", local) in found[3]
+
+
+def test_addresses_with_blanks_around_the_sign_have_negatives(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("bdklmnrst") + rng.choice("aeiou") for _ in range(2))
+    rows = [(i, f"we met @ {name()}. Then {name()} @ {name()}. Again", 1) for i in range(120)]
+    rows += [(200 + i, f"see {name()}@{name()}.org now", 1) for i in range(120)]
+    out = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    assert all(out[i] == t for i, t, _ in rows if i < 200) and all(out[200 + i] == "see [EMAIL] now" for i in range(120))
+
+
+def test_boosting_against_brute_force():
+    """Every split of the first tree is the best of all by its plain definition; later trees lower the loss."""
+    rng = random.Random(8)
+    cells = [{f: rng.randrange(b) for f, b in pii.FEATURES.items()} | {"n": rng.randint(1, 30)} for _ in range(60)]
+    for c in cells:
+        c["pos"] = sum(rng.random() < (0.9 if c["digit_bin"] > 2 and c["mixed"] == 2 else 0.1) for _ in range(c["n"]))
+    grad, hess = [c["n"] * 0.5 - c["pos"] for c in cells], [c["n"] * 0.25 for c in cells]
+
+    def part(at):
+        g, h = sum(grad[i] for i in at), sum(hess[i] for i in at)
+        return g * g / (h + pii.LAMBDA)
+
+    def best(at):
+        return max((part([i for i in at if cells[i][f] <= b]) + part([i for i in at if cells[i][f] > b]) - part(at), f, b)
+                   for f, n in pii.FEATURES.items() for b in range(n - 1))
+
+    trees = pii.boost(cells)
+    name, bound, low, high = trees[0]
+    everything = list(range(60))
+    assert pii._best_split(cells, grad, hess, everything)[0] == pytest.approx(best(everything)[0])
+    sides = [i for i in everything if cells[i][name] <= bound], [i for i in everything if cells[i][name] > bound]
+    for at, (f, b, left, right) in zip(sides, (low, high)):
+        inner = [i for i in at if cells[i][f] <= b], [i for i in at if cells[i][f] > b]
+        assert part(inner[0]) + part(inner[1]) - part(at) == pytest.approx(best(at)[0])
+        for leaf, ids in zip((left, right), inner):
+            assert leaf == pytest.approx(-pii.RATE * sum(grad[i] for i in ids) / (sum(hess[i] for i in ids) + pii.LAMBDA))
+
+    def loss(n):
+        m = [sum(pii.tree_value(t, c) for t in trees[:n]) for c in cells]
+        return sum(c["n"] * math.log(1 + math.exp(x)) - c["pos"] * x for c, x in zip(cells, m))
+
+    losses = [loss(n) for n in range(len(trees) + 1)]
+    assert all(b <= a + 1e-9 for a, b in zip(losses, losses[1:])) and losses[-1] < 0.7 * losses[0]
