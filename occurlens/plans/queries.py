@@ -431,6 +431,38 @@ def schema_drift(spark, sf_dir):
     return SF.schema_drift(spark, _exported(spark, sf_dir), _EXPORT_GLOB)
 
 
+RETYPED_FILE = "f_1998"
+
+
+@register("schema_drift_parquet", O.with_raw(
+    f"select distinct ARQUIVO_ORIGEM as arquivo, case when ARQUIVO_ORIGEM = '{BLANK_YEAR_FILE}' then 'MES,ANO' else '' end as colunas_ausentes,"
+    f" case when ARQUIVO_ORIGEM = '{RETYPED_FILE}' then 'NUM_BO:bigint' else '' end as colunas_de_outro_tipo"
+    f" from raw where ARQUIVO_ORIGEM in ('{BLANK_YEAR_FILE}', '{RETYPED_FILE}')", clean=False))
+def schema_drift_parquet(spark, sf_dir):
+    """Parquet files: one origin lacks two columns, one has a column of another type."""
+    raw, root = _raw(spark, sf_dir), scratch_path(spark, "source-files")
+    retyped = F.col(C.LINEAGE_COLUMN) == RETYPED_FILE
+    SF.export_source_files(raw.filter(~retyped), root, drop={BLANK_YEAR_FILE: ["ANO", "MES"]}, fmt="parquet")
+    SF.export_source_files(raw.filter(retyped).withColumn("NUM_BO", F.col("NUM_BO").cast("long")), root, fmt="parquet")
+    return SF.schema_drift_columnar(spark, root, _EXPORT_GLOB)
+
+
+@register("raw_incremental", O.with_raw_blank_year(
+    f"select * replace (try_cast(ANO as integer) as ANO) from ({_DERIVED_BODY})", _DERIVED_CTES))
+def raw_incremental(spark, sf_dir):
+    """Files of which one holds half its rows, then that file whole: the second ingest reads it alone,
+    and raw equals all files read at once."""
+    raw, layout = _raw(spark, sf_dir), PL.Layout(scratch_path(spark, "pipeline"))
+    changed, drop = F.col(C.LINEAGE_COLUMN) == RETYPED_FILE, {BLANK_YEAR_FILE: ["ANO", "MES"]}
+    half = F.pmod(F.col("NUM_BO").cast("long"), F.lit(2)) == 0
+    root = SF.export_source_files(raw.filter(~changed | half), scratch_path(spark, "source-files"), drop=drop)
+    PL.ingest_files(spark, layout, root, file_glob=_EXPORT_GLOB)
+    (raw.filter(changed).drop(C.LINEAGE_COLUMN).write.mode("overwrite").options(**SF.CSV_OPTIONS)
+     .csv(f"{root}/{C.LINEAGE_COLUMN}={RETYPED_FILE}"))
+    PL.ingest_files(spark, layout, root, file_glob=_EXPORT_GLOB)
+    return PL.read_raw(spark, layout).select(*RAW_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # Pipeline, sinks, refresh
 # ---------------------------------------------------------------------------

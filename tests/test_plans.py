@@ -60,7 +60,7 @@ def test_one_pass_kpis_single_scan(clean_small):
 
 
 # Queries whose construction writes files first (pipeline, file sources).
-EAGER = {"raw_ingest", "raw_projection", "schema_drift", "load_report", "kpi_refresh_year",
+EAGER = {"raw_ingest", "raw_projection", "raw_incremental", "schema_drift", "schema_drift_parquet", "load_report", "kpi_refresh_year",
          "discover_years", "kpi_integrity", "kpi_reconcile"}
 
 
