@@ -24,13 +24,14 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, written
+from .common import bound_batches, list_array
 
 OPEN, SEP, CLOSE = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNT_ROLE = "assistant"
@@ -83,15 +84,34 @@ def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: np.ndarray) -> np.nda
 def _format(turns: list[tuple[str, str]], path: str) -> dict:
     formatted, spans = render(turns)
     enc = _tokenizer(path).encode(formatted, add_special_tokens=False)
-    offsets = np.array(enc.offsets, np.int64).reshape(-1, 2)
-    return {"n_turns": len(turns), "formatted": formatted, "ids": enc.ids, "starts": offsets[:, 0].tolist(),
-            "ends": offsets[:, 1].tolist(), "loss": loss_mask(offsets[:, 0], offsets[:, 1], spans).tolist()}
+    offsets = np.fromiter(chain.from_iterable(enc.offsets), np.int32).reshape(-1, 2)
+    starts, ends = offsets[:, 0], offsets[:, 1]
+    loss = loss_mask(starts, ends, spans)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], loss, [False])).astype(np.int8)))
+    return {"n_turns": len(turns), "formatted": formatted, "ids": enc.ids, "starts": starts, "ends": ends, "loss": loss,
+            "loss_starts": starts[edge[::2]], "loss_ends": ends[edge[1::2] - 1]}
+
+
+TOKEN_COLUMNS = {"ids": pa.int32(), "starts": pa.int32(), "ends": pa.int32(), "loss": pa.bool_()}
+SPAN_COLUMNS = {"loss_starts": pa.int32(), "loss_ends": pa.int32()}
+
+
+def _batch(rows: list[dict], conv_type: pa.DataType, arrays: dict[str, pa.DataType]) -> pa.RecordBatch:
+    """Rows as a batch; token columns go from arrays to lists without Python values between."""
+    columns = {"conv_id": pa.array([r["conv_id"] for r in rows], conv_type), "segment": pa.array([r["segment"] for r in rows], pa.int64()),
+               "part": pa.array([r["part"] for r in rows], pa.int32()), "n_turns": pa.array([r["n_turns"] for r in rows], pa.int64()),
+               "formatted": pa.array([r["formatted"] for r in rows], pa.string())}
+    for name, kind in arrays.items():
+        flat = np.concatenate([np.asarray(r[name], kind.to_pandas_dtype()) for r in rows])
+        columns[name] = list_array(pa.array(flat, kind), np.array([len(r[name]) for r in rows]))
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def format_conversations(turns: DataFrame, path: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                         text_col: str = "text") -> DataFrame:
-    """Table (conv_id, segment, part, n_turns, formatted, ids, starts, ends, loss): token ids,
-    their spans (code points of ``formatted``) and the loss mask. ``path``: tokenizer file."""
+                         text_col: str = "text", tokens: bool = True) -> DataFrame:
+    """Table (conv_id, segment, part, n_turns, formatted, ids, starts, ends, loss, loss_starts,
+    loss_ends): token ids, their spans (code points of ``formatted``), the loss mask and its runs as
+    spans. Without ``tokens`` the columns of one entry a token are left out. ``path``: tokenizer file."""
     bound_batches(turns.sparkSession)
     rows = turns.select(
         F.col(f"`{conv_col}`").alias("conv_id"), F.coalesce(F.floor(F.col(f"`{turn_col}`") / SEGMENT_TURNS), F.lit(-(1 << 62))).alias("segment"),
@@ -99,9 +119,10 @@ def format_conversations(turns: DataFrame, path: str, conv_col: str = "conv_id",
     order = ["conv_id", "segment", "turn", "role", "text"]
     dealt = rows.repartition("conv_id", "segment").sortWithinPartitions(*[F.asc_nulls_first(c) for c in order])
     kind = rows.schema["conv_id"].dataType.simpleString()
+    arrays = {**(TOKEN_COLUMNS if tokens else {}), **SPAN_COLUMNS}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, part, held, size, out, schema = None, 0, [], 0, [], None
+        key, part, held, size, out, conv_type = None, 0, [], 0, [], None
 
         def close():
             nonlocal held, size, part
@@ -110,10 +131,7 @@ def format_conversations(turns: DataFrame, path: str, conv_col: str = "conv_id",
                 held, size, part = [], 0, part + 1
 
         for batch in batches:
-            schema = schema or pa.schema([
-                ("conv_id", batch.schema.field("conv_id").type), ("segment", pa.int64()), ("part", pa.int32()), ("n_turns", pa.int64()),
-                ("formatted", pa.string()), ("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32())),
-                ("ends", pa.list_(pa.int32())), ("loss", pa.list_(pa.bool_()))])
+            conv_type = batch.schema.field("conv_id").type
             for conv, seg, role, text in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "segment", "role", "text")]):
                 if (conv, seg) != key:
                     close()
@@ -123,14 +141,14 @@ def format_conversations(turns: DataFrame, path: str, conv_col: str = "conv_id",
                 if size > SEGMENT_CHARS:
                     close()
                 if len(out) >= 64 or (out and size == 0):
-                    yield pa.RecordBatch.from_pylist(out, schema)
+                    yield _batch(out, conv_type, arrays)
                     out = []
         close()
         if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
+            yield _batch(out, conv_type, arrays)
 
-    return dealt.mapInArrow(run, f"conv_id {kind}, segment long, part int, n_turns long, formatted string, ids array<int>,"
-                                 " starts array<int>, ends array<int>, loss array<boolean>")
+    lists = "".join(f", {name} array<{'boolean' if t == pa.bool_() else 'int'}>" for name, t in arrays.items())
+    return dealt.mapInArrow(run, f"conv_id {kind}, segment long, part int, n_turns long, formatted string{lists}")
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:
@@ -138,18 +156,16 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
-def read_loss(formatted: str, starts: list[int], ends: list[int], loss: list[bool]) -> str:
-    """The text under the loss mask, unescaped."""
-    mask = np.array(loss, bool)
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
-    return "".join(unescape(formatted[starts[a]:ends[b - 1]]) for a, b in zip(edge[::2], edge[1::2]))
+def read_loss(formatted: str, starts: list[int], ends: list[int]) -> str:
+    """The text under the loss mask, given by its runs, unescaped."""
+    return "".join(unescape(formatted[a:b]) for a, b in zip(starts, ends))
 
 
 def digest(formatted: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars per conversation,
     read back from the formatted segments in order."""
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    dealt = (formatted.select("conv_id", "segment", "part", "formatted", "starts", "ends", "loss").repartition("conv_id")
+    dealt = (formatted.select("conv_id", "segment", "part", "formatted", "loss_starts", "loss_ends").repartition("conv_id")
              .sortWithinPartitions(F.asc_nulls_first("conv_id"), "segment", "part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +187,7 @@ def digest(formatted: DataFrame) -> DataFrame:
                 for role, text in read_turns(row["formatted"]):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
-                learnt = read_loss(row["formatted"], row["starts"], row["ends"], row["loss"])
+                learnt = read_loss(row["formatted"], row["loss_starts"], row["loss_ends"])
                 state[2] += len(learnt)
                 state[3].update(learnt.encode())
                 state[4] += len(row["formatted"])
@@ -192,7 +208,7 @@ def table(turns: DataFrame, path: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise(LEARNT_ROLE).alias("role"), F.lit(CLOSE + OPEN + "assistant ok").alias("text"))
     rows = turns.select("conv_id", "turn", "role", "text").unionByName(extra)
-    return digest(written(format_conversations(rows, path), "formatted"))
+    return digest(format_conversations(rows, path, tokens=False))
 
 
 ORACLE_SQL = r"""

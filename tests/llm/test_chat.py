@@ -49,3 +49,14 @@ def test_ties_nulls_repeats_and_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat.digest(chat.format_conversations(empty, CHAT_TOKENIZER)).count() == 0
     assert [r.conv_id for r in chat.table(empty, CHAT_TOKENIZER).collect()] == [-1]
+
+
+def test_token_columns_agree_with_the_mask_runs(spark):
+    rows = [(1, i, r, t) for i, (r, t) in enumerate([("user", "hi there"), ("assistant", "one <| two\\"), ("assistant", " é漢 "), ("user", "")])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    (r,) = chat.format_conversations(df, CHAT_TOKENIZER).collect()
+    covered = {p for a, b, x in zip(r.starts, r.ends, r.loss) if x for p in range(a, b)}
+    assert covered == {p for a, b in zip(r.loss_starts, r.loss_ends) for p in range(a, b)}
+    assert chat.read_loss(r.formatted, r.loss_starts, r.loss_ends) == "one <| two\\ é漢 "
+    (slim,) = chat.format_conversations(df, CHAT_TOKENIZER, tokens=False).collect()
+    assert "ids" not in slim and (slim.formatted, slim.loss_starts) == (r.formatted, r.loss_starts)
