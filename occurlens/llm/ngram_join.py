@@ -7,8 +7,9 @@ and a target recall at the threshold (``choose_bands``); representatives are
 shuffled on band hashes and linked to the smallest member of each bucket, which
 gives candidate groups that contain every colliding pair. Every pair inside a
 candidate group is then verified on the full n-gram sets, in blocks of bounded
-size: a large group is cut into chunks and every two chunks meet in a task of
-their own. Blocks return a link count and a local root per text, never pairs.
+size: members are classed by the logarithm of their set's size, so that a pair at the
+threshold lies in one class or in two adjacent ones, classes are cut into chunks, and every two
+chunks of one class or of adjacent classes meet in a task of their own. Blocks return a link count and a local root per text, never pairs.
 
 Result: per document its class (smallest doc_id of its connected component of
 links, copies included) and its number of links (other n-gram sets with
@@ -40,6 +41,7 @@ RECALL = 0.9999
 MAX_HASHES = 128
 CHUNK_TEXTS = 256       # texts and n-grams that one side of a verification block may hold
 CHUNK_GRAMS = 400_000
+CHUNK_STRIDE = 1 << 40  # chunk numbers of one class lie below the next class's
 CELLS = 1 << 24         # incidence cells multiplied at a time
 
 
@@ -195,17 +197,28 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
     groups = components(buckets.join(shared, "bucket").select("u", F.col("rep").alias("v")).filter("u <> v"))
 
     members = written(groups.join(reps.select("rep", "n_grams"), F.col("node") == F.col("rep"))
-                      .select("node", F.col("root").alias("grp"), "n_grams"), "members")
-    parts = members.groupBy("grp").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / CHUNK_TEXTS, F.sum("n_grams") / CHUNK_GRAMS)).cast("int").alias("parts"))
+                      .select("node", F.col("root").alias("grp"), "n_grams"), "grouped")
+    # |A| <= |B| at the threshold means |A| >= threshold * |B|: the logarithms to a base just above
+    # 1 / threshold differ by less than 1, so the classes by at most 1. No link is outside. A group
+    # that fits into one block is one class.
+    pieces = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_TEXTS, F.sum("n_grams") / CHUNK_GRAMS)).cast("int").alias("parts")
+    cls = F.floor(F.log(F.col("n_grams")) / math.log((1 / threshold) * (1 + 1e-9))).cast("int") if threshold < 1 else F.col("n_grams")
+    whole = members.groupBy("grp").agg(pieces).select("grp", (F.col("parts") == 1).alias("whole"))
+    members = written(members.join(whole, "grp").withColumn("cls", F.when(F.col("whole"), 0).otherwise(cls)).drop("whole"), "members")
+    chunks = written(members.groupBy("grp", "cls").agg(pieces, F.count(F.lit(1)).alias("n")), "chunks")
+    number = lambda c, part: c.cast("long") * CHUNK_STRIDE + part
+    here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: number(F.col("cls"), i))
+    met = (chunks.select("grp", "n", here.alias("here"), F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("to"), "cls")
+           .filter("to <> cls or n > 1").groupBy("grp", F.col("to").alias("cls")).agg(F.flatten(F.collect_list("here")).alias("others")))
+    plan = chunks.select("grp", "cls", "parts").join(met, ["grp", "cls"])
     texts = sketched.select("row_id", F.col(f"doc.`{text_col}`").alias("text"))
     _, texts = split_by(texts, members.withColumnRenamed("node", "row_id"), ["row_id"])  # the rest is not shuffled
-    side = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # Only members of groups are replicated, and only over the chunks of a large group.
+    side = number(F.col("cls"), F.pmod(F.xxhash64("node"), F.col("parts")))
+    # Only members of groups are replicated, and only over the chunks of their class and its neighbours.
     # Members grow with the corpus, so this join is a sort-merge join at every size.
-    blocks = (members.join(parts, "grp").withColumn("side", side)
+    blocks = (members.join(plan, ["grp", "cls"]).withColumn("side", side)
               .join(texts.hint("merge"), F.col("row_id") == F.col("node"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+              .withColumn("other", F.explode("others"))
               .select("grp", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"),
                       "node", "side", "text"))
     checked = written(

@@ -109,3 +109,14 @@ def test_components_of_a_path_and_stars(spark):
 def test_bands_reach_the_recall(threshold, recall):
     bands, rows = ngram_join.choose_bands(threshold, recall)
     assert 1 - (1 - threshold ** rows) ** bands >= recall and bands * rows <= ngram_join.MAX_HASHES
+
+
+def test_size_classes_lose_no_link(spark, monkeypatch):
+    """Nested texts of 30 to 150 n-grams in one group of many chunks: two are linked exactly if
+    the smaller has at least 0.8 of the larger's n-grams, ratios of exactly 0.8 included."""
+    monkeypatch.setattr(ngram_join, "CHUNK_TEXTS", 4)
+    words = [f"w{i}" for i in range(200)]
+    sizes = range(30, 151)
+    rows = [(n, " ".join(words[:n + ngram_join.N - 1])) for n in sizes]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {n: (30, sum(n != m and 5 * min(n, m) >= 4 * max(n, m) for m in sizes)) for n in sizes}
