@@ -46,6 +46,7 @@ ORDER = 3
 CONCENTRATION = 5.0
 BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
 SHARD_BYTES = 2 * BLOCK_BYTES   # text per shard: a shard's share of the n-grams stays as large however much there is
+TASKS_PER_PART = 4
 MAX_BLOCKS = 100_000            # beyond, blocks grow with the corpus, so that blocks x shards stays bounded
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
@@ -240,52 +241,47 @@ def totals(keys: DataFrame, tasks: int) -> DataFrame:
 class Automaton:
     """Backoff automaton over the n-grams of one block.
 
-    States are contexts: state 0 is the empty one, the states of level k (2 to the order) are the
-    (k-1)-grams of the block. ``arc_keys`` (state * tokens + token, sorted) has an arc for every
-    k-gram seen in training, with its weight and the next state: the longest suffix of the k-gram
-    that is a context. State 0 has an arc for every token. Every other state has a failure
-    arc, with its weight, to the state of the context without its first token."""
+    States are contexts: state 0 (level 1) is the empty one, the states of level k (2 to the order)
+    are the (k-1)-grams of the block. Arcs are the k-grams seen in training: from the state of
+    their first k-1 tokens, with a weight, to the state of their longest suffix that is a context
+    (``target``, ``level``). State 0 has an arc for every token. Every other state has a failure
+    arc, with its weight, to the state of its context without the first token. Arcs are numbered
+    like the block's n-grams, so a state of level k finds the arc of the token before it under the
+    number of the k-gram that ends there."""
 
     def __init__(self, numbers: list[np.ndarray], counts: list[np.ndarray], contexts: list[np.ndarray],
                  n: int, v: int, mu: float):
         """numbers[k-1]: k-gram number at each token; counts[k-1]: training total of each
         k-gram; contexts[k-1]: (k-1)-gram number of the context of each token (k >= 2)."""
-        top, self.tokens = len(numbers), len(counts[0])
+        top = len(numbers)
         base = np.cumsum([0, 1, *(len(counts[k - 2]) for k in range(2, top + 1))])  # first state of each level
-        self.stream = numbers[0]
+        first = np.cumsum([0, *map(len, counts)])[:-1]                             # first arc of each level
+        self.arcs = np.stack([number + f for number, f in zip(numbers, first)])
         self.unigram = np.log10((counts[0] + 0.5) / (n + 0.5 * (v + 1)))
         self.failure, self.shorter = np.zeros(base[-1]), np.zeros(base[-1], np.int64)
-        token = np.arange(self.tokens)
         known = counts[0] > 0
-        keys, weights = [token], [self.unigram]
-        targets = [np.where(known, base[1] + token, 0) if top > 1 else np.zeros(self.tokens, np.int64)]
-        lower = self.unigram
+        weight, seen = [self.unigram], [np.ones(len(known), bool)]
+        target = [np.where(known & (top > 1), base[1] + np.arange(len(known)), 0)]
+        level = [np.where(known & (top > 1), 2, 1)]
         for k in range(2, top + 1):
             number, context, grams = numbers[k - 1], contexts[k - 1], len(counts[k - 1])
-            ctx, last, below = (np.zeros(grams, np.int64) for _ in range(3))
-            occurs = np.zeros(grams, bool)
-            ctx[number], last[number], below[number], occurs[number] = context, numbers[0], numbers[k - 2], True
+            ctx, below = np.zeros(grams, np.int64), np.zeros(grams, np.int64)
+            ctx[number], below[number] = context, numbers[k - 2]
             held = counts[k - 2] + mu
             fails = np.log10(mu / held)
-            level = slice(base[k - 1], base[k])
-            self.failure[level] = fails
+            self.failure[base[k - 1]:base[k]] = fails
             if k > 2:  # contexts that occur as grams, and the one of start marks
-                self.shorter[base[k - 1] + numbers[k - 2]] = base[k - 2] + numbers[k - 3]
                 marks = np.ones(len(counts[k - 2]), bool)
                 marks[numbers[k - 2]] = False
                 self.shorter[base[k - 1] + np.flatnonzero(marks)] = base[k - 2] + contexts[k - 2][0]
-            seen = counts[k - 1] > 0
-            weight = np.where(seen, np.log10((counts[k - 1] + mu * 10.0 ** lower[below]) / held[ctx]), fails[ctx] + lower[below])
-            arc = np.flatnonzero(seen & occurs)
-            keys.append((base[k - 1] + ctx[arc]) * self.tokens + last[arc])
-            weights.append(weight[arc])
-            targets.append(base[k] + arc if k < top else base[k - 1] + below[arc])
-            lower = weight
-        keys = np.concatenate(keys)
-        order = np.argsort(keys)
-        self.arc_keys = keys[order]
-        self.weights, self.targets = np.concatenate(weights)[order], np.concatenate(targets)[order]
-        self.start = base[top - 1] + contexts[top - 1][0] if top > 1 else 0
+                self.shorter[base[k - 1] + numbers[k - 2]] = base[k - 2] + numbers[k - 3]
+            seen.append(counts[k - 1] > 0)
+            lower = weight[-1][below]
+            weight.append(np.where(seen[-1], np.log10((counts[k - 1] + mu * 10.0 ** lower) / held[ctx]), fails[ctx] + lower))
+            target.append(base[k] + np.arange(grams) if k < top else base[k - 1] + below)
+            level.append(np.full(grams, min(k, top - 1) + 1))
+        self.weight, self.seen, self.target, self.level = map(np.concatenate, (weight, seen, target, level))
+        self.start, self.top = base[top - 1] + contexts[top - 1][0] if top > 1 else 0, top
 
     def traverse(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(model, unigram) log10 probability of each text: one walk from left to right, the
@@ -293,23 +289,28 @@ class Automaton:
         the next state where there is one, else the failure arc to a shorter context, and tries
         again; the weights of all arcs taken add up."""
         starts = np.cumsum(sizes) - sizes
+        score = np.zeros(len(sizes))
+        if not len(sizes):
+            return score, score
+        base = np.add.reduceat(self.unigram[self.arcs[0]], starts)
         longest = np.argsort(-sizes, kind="stable")
-        score, base = np.zeros(len(sizes)), np.zeros(len(sizes))
-        state = np.full(len(sizes), self.start, np.int64)
-        for step in range(int(sizes.max()) if len(sizes) else 0):
-            todo = longest[:np.searchsorted(-sizes[longest], -step, side="left")]
-            token = self.stream[starts[todo] + step]
-            base[todo] += self.unigram[token]
-            while len(todo):
-                key = state[todo] * self.tokens + token
-                arc = np.minimum(np.searchsorted(self.arc_keys, key), len(self.arc_keys) - 1)
-                found = self.arc_keys[arc] == key
-                done, arc = todo[found], arc[found]
-                score[done] += self.weights[arc]
-                state[done] = self.targets[arc]
-                todo, token = todo[~found], token[~found]
-                score[todo] += self.failure[state[todo]]
-                state[todo] = self.shorter[state[todo]]
+        at = starts[longest]
+        alive = len(sizes) - np.searchsorted(sizes[longest][::-1], np.arange(sizes.max()), side="right")
+        state, level, gain = np.full(len(sizes), self.start), np.full(len(sizes), self.top), np.zeros(len(sizes))
+        for step, m in enumerate(alive.tolist()):
+            token = at[:m] + step
+            arc = self.arcs[level[:m] - 1, token]
+            lost = np.flatnonzero(~self.seen[arc])
+            while len(lost):
+                gain[lost] += self.failure[state[lost]]
+                state[lost] = self.shorter[state[lost]]
+                level[lost] -= 1
+                arc[lost] = self.arcs[level[lost] - 1, token[lost]]
+                lost = lost[~self.seen[arc[lost]]]
+            gain[:m] += self.weight[arc]
+            state[:m] = self.target[arc]
+            level[:m] = self.level[arc]
+        score[longest] = gain
         return score, base
 
 
@@ -353,7 +354,8 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
     block_bytes = max(BLOCK_BYTES, size // MAX_BLOCKS)
     shards = shards or size // max(SHARD_BYTES, block_bytes) + 1
     rows = _source(docs, training, text_col, id_col)
-    answers = totals(gram_counts(rows, order, shards, block_bytes), max(order * shards, default))
+    # More tasks than shards or blocks: dealt by hash, few tasks then get several of them.
+    answers = totals(gram_counts(rows, order, shards, block_bytes), max(TASKS_PER_PART * order * shards, default))
     n, v = answers.filter("k = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     stream = streams(rows, order, block_bytes)
     own, reply = ["sizes", "numbers", "checks", "ids"], ["totals", "check"]
@@ -375,6 +377,6 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
             yield _score_block(held, order, n, v, mu, ids)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = both.repartition(max(size // block_bytes + 1, default), "block").sortWithinPartitions("block", "k", "shard").mapInArrow(
+    scored = both.repartition(max(TASKS_PER_PART * (size // block_bytes + 1), default), "block").sortWithinPartitions("block", "k", "shard").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
