@@ -46,7 +46,6 @@ ORDER = 3
 CONCENTRATION = 5.0
 BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
 SHARD_BYTES = 2 * BLOCK_BYTES   # text per shard: a shard's share of the n-grams stays as large however much there is
-TASKS_PER_PART = 4
 MAX_BLOCKS = 100_000            # beyond, blocks grow with the corpus, so that blocks x shards stays bounded
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
@@ -354,8 +353,8 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
     block_bytes = max(BLOCK_BYTES, size // MAX_BLOCKS)
     shards = shards or size // max(SHARD_BYTES, block_bytes) + 1
     rows = _source(docs, training, text_col, id_col)
-    # More tasks than shards or blocks: dealt by hash, few tasks then get several of them.
-    answers = totals(gram_counts(rows, order, shards, block_bytes), max(TASKS_PER_PART * order * shards, default))
+    answers = totals(gram_counts(rows, order, shards, block_bytes), max(order * shards, default))
+    docs.sparkSession._jvm.System.gc()  # the cleaner then removes that shuffle's files, which nobody reads again
     n, v = answers.filter("k = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     stream = streams(rows, order, block_bytes)
     own, reply = ["sizes", "numbers", "checks", "ids"], ["totals", "check"]
@@ -377,6 +376,6 @@ def score(docs: DataFrame, training, order: int = ORDER, mu: float = CONCENTRATI
             yield _score_block(held, order, n, v, mu, ids)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = both.repartition(max(TASKS_PER_PART * (size // block_bytes + 1), default), "block").sortWithinPartitions("block", "k", "shard").mapInArrow(
+    scored = both.repartition(max(size // block_bytes + 1, default), "block").sortWithinPartitions("block", "k", "shard").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
