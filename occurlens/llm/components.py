@@ -20,6 +20,21 @@ def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     return table, (seen.get["n"], seen.get["x"])
 
 
+SALTS = 256  # parts that the pairs of one node are dealt over
+
+
+def with_lowest(pairs: DataFrame, alone: bool = True) -> DataFrame:
+    """(u, v, m) for the rows (u, v): m is the smallest v of u; without ``alone`` only for the u that
+    have two values of v or more. The rows of one u are dealt over SALTS parts by v and meet the
+    minimum there, so a centre that a third of all rows link to is no hot task; a part is
+    looked up only where it has rows, so the minima are never more than the rows."""
+    dealt = pairs.select("u", "v", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int").alias("salt")).repartition("u", "salt")
+    low = (dealt.groupBy("u", "salt").agg(F.min("v").alias("m"), F.max("v").alias("top"))
+           .groupBy("u").agg(F.min("m").alias("m"), F.max("top").alias("top"), F.collect_list("salt").alias("salts")))
+    low = (low if alone else low.filter("m < top")).select("u", "m", F.explode("salts").alias("salt"))
+    return dealt.join(low, ["u", "salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (two long columns u, v); root
     is the smallest node of the component. Self links name single nodes."""
@@ -29,11 +44,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = cur.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
         both = both.select("e.u", "e.v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.join(low, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
-        small = (large.join(low, F.col("u") == F.col("k"))
+        large = with_lowest(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = (with_lowest(large)
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct("u", F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())

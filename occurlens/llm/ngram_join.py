@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import (LOWER, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed, split_by, text_of,
                      text_slices, with_row_id, written)
-from .components import components
+from .components import components, with_lowest
 
 N = 5
 THRESHOLD = 0.8
@@ -192,9 +192,8 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
     its number of links and the smallest representative of its component."""
     reps = written(sketched.filter("n_grams > 0").groupBy("set_key", "n_grams")
                    .agg(F.min("row_id").alias("rep"), F.min_by("bands", "row_id").alias("bands")), "classes")
-    buckets = reps.select(F.explode("bands").alias("bucket"), "rep")
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u < top").drop("top")
-    groups = components(buckets.join(shared, "bucket").select("u", F.col("rep").alias("v")).filter("u <> v"))
+    buckets = reps.select(F.explode("bands").alias("u"), F.col("rep").alias("v"))
+    groups = components(with_lowest(buckets, alone=False).filter("m <> v").select(F.col("m").alias("u"), "v"))
 
     members = written(groups.join(reps.select("rep", "n_grams"), F.col("node") == F.col("rep"))
                       .select("node", F.col("root").alias("grp"), "n_grams"), "grouped")

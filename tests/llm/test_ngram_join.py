@@ -4,10 +4,12 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from occurlens.llm import components as components_module
 from occurlens.llm import ngram_join
-from occurlens.llm.components import components
+from occurlens.llm.components import components, with_lowest
 from occurlens.llm.queries import QUERIES
 
 
@@ -105,6 +107,44 @@ def test_components_of_a_path_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 500: 500}
 
 
+@pytest.mark.parametrize("salts", [1, 3, 256])
+def test_lowest_and_components_of_hot_centres(spark, monkeypatch, salts):
+    """Two thirds of the rows name one node; minima and components are those of plain Python, whatever the salts."""
+    monkeypatch.setattr(components_module, "SALTS", salts)
+    rng = random.Random(salts)
+    edges = [(7, rng.randrange(8, 1000)) for _ in range(600)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(150)]
+    edges += [(50, 50), (2000, 2000), (3, 2001), (2001, 7)]
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(4)
+    values = {}
+    for u, v in edges:
+        values.setdefault(u, set()).add(v)
+    got = sorted((r.u, r.v, r.m) for r in with_lowest(frame).collect())
+    assert got == sorted((u, v, min(values[u])) for u, v in edges)
+    got = sorted((r.u, r.v, r.m) for r in with_lowest(frame, alone=False).collect())
+    assert got == sorted((u, v, min(values[u])) for u, v in edges if len(values[u]) > 1)
+    root = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for u, v in edges:
+            low = min(root[u], root[v])
+            changed |= root[u] != low or root[v] != low
+            root[u] = root[v] = low
+    assert {r.node: r.root for r in components(frame).collect()} == root
+
+
+def test_links_of_one_centre_are_dealt_over_tasks(spark):
+    """20,000 rows of one node: every one of the eight tasks gets about its share."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = with_lowest(spark.range(20_000).selectExpr("1L as u", "id as v"))
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("v").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 20_000 and len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
 @pytest.mark.parametrize("threshold,recall", [(0.8, 0.9999), (0.9, 0.99), (0.8, 0.5)])
 def test_bands_reach_the_recall(threshold, recall):
     bands, rows = ngram_join.choose_bands(threshold, recall)
