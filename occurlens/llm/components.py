@@ -20,19 +20,21 @@ def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     return table, (seen.get["n"], seen.get["x"])
 
 
-SALTS = 256  # parts that the pairs of one node are dealt over
+SALTS = 64  # parts that the pairs of one node are dealt over (the bits of a long)
 
 
-def with_lowest(pairs: DataFrame, alone: bool = True) -> DataFrame:
-    """(u, v, m) for the rows (u, v): m is the smallest v of u; without ``alone`` only for the u that
-    have two values of v or more. The rows of one u are dealt over SALTS parts by v and meet the
-    minimum there, so a centre that a third of all rows link to is no hot task; a part is
-    looked up only where it has rows, so the minima are never more than the rows."""
+def with_lowest(pairs: DataFrame) -> DataFrame:
+    """(u, v, m) for the rows (u, v): m is the smallest v of u. The rows of one u are dealt over SALTS
+    parts by v and meet the minimum there, so a centre that a third of all rows link to is no
+    hot task; a part is looked up only where it has rows, so the minima are never more than the rows."""
     dealt = pairs.select("u", "v", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int").alias("salt")).repartition("u", "salt")
-    low = (dealt.groupBy("u", "salt").agg(F.min("v").alias("m"), F.max("v").alias("top"))
-           .groupBy("u").agg(F.min("m").alias("m"), F.max("top").alias("top"), F.collect_list("salt").alias("salts")))
-    low = (low if alone else low.filter("m < top")).select("u", "m", F.explode("salts").alias("salt"))
-    return dealt.join(low, ["u", "salt"]).select("u", "v", "m")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
+    low = (dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
+           .groupBy("u").agg(F.min("m").alias("m"), F.bit_or(bit).alias("parts")))
+    has = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)),
+                   lambda i: F.call_function("shiftright", F.col("parts"), i).bitwiseAND(1) == 1)
+    low = low.select("u", "m", F.explode(has).alias("salt"))
+    return dealt.join(low.hint("merge"), ["u", "salt"]).select("u", "v", "m")  # at every size where the rows were dealt
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -193,7 +193,9 @@ def link_classes(sketched: DataFrame, n: int = N, threshold: float = THRESHOLD,
     reps = written(sketched.filter("n_grams > 0").groupBy("set_key", "n_grams")
                    .agg(F.min("row_id").alias("rep"), F.min_by("bands", "row_id").alias("bands")), "classes")
     buckets = reps.select(F.explode("bands").alias("u"), F.col("rep").alias("v"))
-    groups = components(with_lowest(buckets, alone=False).filter("m <> v").select(F.col("m").alias("u"), "v"))
+    shared = buckets.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top")).filter("m < top").select("u")
+    _, shared = split_by(buckets, shared, ["u"])  # most buckets have one text: those rows are not shuffled again
+    groups = components(with_lowest(shared).filter("m <> v").select(F.col("m").alias("u"), "v"))
 
     members = written(groups.join(reps.select("rep", "n_grams"), F.col("node") == F.col("rep"))
                       .select("node", F.col("root").alias("grp"), "n_grams"), "grouped")

@@ -107,7 +107,7 @@ def test_components_of_a_path_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 500: 500}
 
 
-@pytest.mark.parametrize("salts", [1, 3, 256])
+@pytest.mark.parametrize("salts", [1, 3, 64])
 def test_lowest_and_components_of_hot_centres(spark, monkeypatch, salts):
     """Two thirds of the rows name one node; minima and components are those of plain Python, whatever the salts."""
     monkeypatch.setattr(components_module, "SALTS", salts)
@@ -120,8 +120,6 @@ def test_lowest_and_components_of_hot_centres(spark, monkeypatch, salts):
         values.setdefault(u, set()).add(v)
     got = sorted((r.u, r.v, r.m) for r in with_lowest(frame).collect())
     assert got == sorted((u, v, min(values[u])) for u, v in edges)
-    got = sorted((r.u, r.v, r.m) for r in with_lowest(frame, alone=False).collect())
-    assert got == sorted((u, v, min(values[u])) for u, v in edges if len(values[u]) > 1)
     root = {x: x for e in edges for x in e}
     changed = True
     while changed:
