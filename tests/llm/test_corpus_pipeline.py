@@ -11,10 +11,17 @@ import tiktoken
 import __spark_entry__
 import corpus_pipeline
 from occurlens.llm.queries import BPE_RANKS
+from test_ngram_join import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def encoding():
+    with open(BPE_RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @pytest.fixture(scope="module")
 def planted(spark, tmp_path_factory):
     """Clean, short, copied, nearly copied, contaminated and personal documents."""
@@ -44,9 +51,7 @@ def test_stages_on_planted_documents(spark, planted):
         docs = corpus_pipeline.written(out, name)
         left.append(sorted(r.doc_id for r in docs.select("doc_id").collect()))
     assert left == [[1, 3, 4, 5, 6, 7], [1, 3, 6, 7], [1, 3, 7], [1, 3, 7], [1, 3, 7]]
-    with open(BPE_RANKS, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f)}
-    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = encoding()
     want = {1: texts[1], 3: texts[3], 7: texts[7].replace("a.b@c.example.com", "[EMAIL]")}
     got = {r.doc_id: r for r in docs.collect()}
     for i, text in want.items():
@@ -60,3 +65,37 @@ def test_empty_documents(spark, planted, tmp_path):
     spark.read.parquet(f"{root}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{root}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_whole_run_against_brute_force(spark, tmp_path):
+    """All stages in plain Python on 60 rows: near copies, repeated rows, a text of 40,000 words, shared benchmark
+    windows, e-mail addresses, short and null texts, and extra columns named like the stages' own."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10 ** 7)}"
+    items = [[word() for _ in range(30)] for _ in range(3)]
+    texts = {}
+    for i in range(20):
+        words = [word() for _ in range(rng.randrange(30, 160))]
+        texts[3 * i] = words
+        texts[3 * i + 1] = [word() if rng.random() < 0.01 * (i % 5) else w for w in words]  # from equal to below the threshold
+    texts[2] = [word() for _ in range(40_000)]
+    texts[5] = texts[2][:39_000]
+    for i in range(4):
+        texts[8 + 3 * i] = texts[12][:40] + items[i % 3][i:i + 8 + i] + [word() for _ in range(60)]  # 8 to 11 shared words
+    texts[20] = [word() for _ in range(50)] + ["a.b@c.example.com"] + [word() for _ in range(20)]
+    rows = [(i, " ".join(t)) for i, t in texts.items()] + [(i, " ".join(texts[i])) for i in (0, 2, 20, 33)] + [(90, None), (91, "")]
+    rng.shuffle(rows)
+    spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or ""), 1, "g", "c", "d", 7) for i, t in rows],
+                          SCHEMA + ", row_id int, grp string, content string, doc string, node int").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    kept = {(i, t) for i, t in rows if len((t or "").split()) >= 50}
+    classes = brute(sorted(kept))
+    kept = {(i, t) for i, t in kept if classes[i][0] == i}
+    windows = {tuple(t[j:j + 10]) for t in items for j in range(21)}
+    shares = lambda w: any(tuple(w[j:j + 10]) in windows for j in range(len(w) - 9))
+    enc = encoding()
+    want = {i: enc.encode_ordinary(t.replace("a.b@c.example.com", "[EMAIL]")) for i, t in kept if not shares(t.split())}
+    assert {8, 11} <= set(want) and not {14, 17} & set(want) and 2 in want and 5 not in want
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "ids").collect()
+    assert len(got) == len(want) and {r.doc_id: r.ids for r in got} == want
