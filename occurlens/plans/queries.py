@@ -16,6 +16,7 @@ from .. import constants as C
 from .. import oracle as O
 from ..operators import clean as CL
 from ..operators import kpis as K
+from ..session import case_sensitive
 from ..sources.fixture import raw_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,7 +144,9 @@ def derive_brand(spark, sf_dir):
 @register("normalize_bairro", O.with_raw(
     f"select BAIRRO, {O.normalize_bairro(O.clean_text('BAIRRO'))} as bairro from raw", clean=False))
 def normalize_bairro(spark, sf_dir):
-    return _raw(spark, sf_dir).select("BAIRRO", FN.normalize_bairro(FN.clean_text("BAIRRO")).alias("bairro"))
+    """Its two columns differ in case only, so it runs in a session that tells them apart:
+    elsewhere the rows could be collected but not stored."""
+    return _raw(case_sensitive(spark), sf_dir).select("BAIRRO", FN.normalize_bairro(FN.clean_text("BAIRRO")).alias("bairro"))
 
 
 @register("derive_period", O.with_raw(

@@ -113,3 +113,16 @@ def test_clean_stage_is_small_enough_to_compile(spark, raw_small):
     code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(executed)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_normalize_bairro_can_be_stored(spark):
+    """Its columns differ in case only; the session it is called with stays as it is."""
+    from occurlens.plans.queries import REGISTRY
+    from occurlens.session import case_sensitive, scratch_path
+
+    before = spark.conf.get("spark.sql.caseSensitive")
+    df, path = REGISTRY["normalize_bairro"][0](spark, SF_SMALL), scratch_path(spark, "bairro")
+    df.write.parquet(path)
+    stored = case_sensitive(spark).read.parquet(path)
+    assert stored.columns == ["BAIRRO", "bairro"] and sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
+    assert spark.conf.get("spark.sql.caseSensitive") == before
