@@ -116,7 +116,7 @@ def probe_files(spark: SparkSession, root: str | list[str], file_glob: str = C.S
     count = F.count(F.lit(1)).alias("n")
     per_file.observe(n_files, count).write.parquet(found)
     per_file = spark.read.schema("file string, at long, encoding string, by_record boolean").parquet(found)
-    first = lines.select("file", "at", "line").join(per_file, ["file", "at"])
+    first = lines.select("file", "at", "line").join(F.broadcast(per_file), ["file", "at"])
     probe = first.select("file", _decoded(F.col("line"), F.col("encoding"), options).alias("header"), "encoding", "by_record")
     probe.observe(n_headers, count).write.parquet(path)
     if n_headers.get.get("n", 0) != n_files.get.get("n", 0):
@@ -155,8 +155,9 @@ def _by_line(lines: DataFrame, probe: DataFrame, headers: list[str], columns: li
                                   "header string, pick array<int>")
     width = max(len(n) for n in names.values())
     ddl = ", ".join(f"`c{i}` string" for i in range(width))
-    files = probe.filter("not by_record").join(picks, "header")  # sizes are left to the optimizer
-    rows = lines.join(files, "file").select("file", "pick", "header", _decoded(F.col("line"), F.col("encoding"), options).alias("line"))
+    # One row per distinct header, one per file: broadcast, as lines shuffled by file would come to one task per file.
+    files = probe.filter("not by_record").join(F.broadcast(picks), "header")
+    rows = lines.join(F.broadcast(files), "file").select("file", "pick", "header", _decoded(F.col("line"), F.col("encoding"), options).alias("line"))
     parsed = rows.filter("line <> header").select("file", "pick", F.from_csv("line", ddl, _parse_options(options)).alias("row"))
     cells = parsed.select("file", "pick", F.array(*[F.col("row")[f"c{i}"] for i in range(width)]).alias("cells"))
     return cells.select("file", *[F.get("cells", F.get("pick", i)).alias(c) for i, c in enumerate(columns)])
@@ -251,11 +252,11 @@ def derive_year_month(raw: DataFrame) -> DataFrame:
     """Where **every** row of a file has a blank ``ANO``, set ``ANO``/``MES``
     to the year/month of its occurrence date (blank when unparsable).
 
-    The per-file flag is an aggregate (one row per file) joined back without a
-    hint: the optimizer broadcasts it while it is small, and shuffles with skew
-    splitting beyond, so a file holding a third of all rows is still split."""
-    flags = raw.groupBy(C.LINEAGE_COLUMN).agg(F.bool_and(F.col("ANO") == "").alias("_blank_year"))
-    joined = raw.join(flags, on=C.LINEAGE_COLUMN, how="left")
+    The per-file flag is an aggregate of which only the blank files are kept (at most one
+    row per file, as in the listing the reader holds) and broadcast: shuffled by
+    file, the rows would come to one task per file, however many they are."""
+    flags = raw.groupBy(C.LINEAGE_COLUMN).agg(F.bool_and(F.col("ANO") == "").alias("_blank_year")).filter("_blank_year")
+    joined = raw.join(F.broadcast(flags), on=C.LINEAGE_COLUMN, how="left")
     date = parse_date("DATA_OCORRENCIA_BO")
     blank = F.coalesce(F.col("_blank_year"), F.lit(False))
     out = joined.withColumns({

@@ -218,3 +218,26 @@ def test_ingest_reads_and_writes_what_changed(spark, monkeypatch):
     PL.ingest(real(spark, root), full)
     out = full
     assert got == rows()
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("Join"), shuffled.count("SortMergeJoin") + shuffled.count("ShuffledHashJoin")
+
+
+def test_rows_are_not_shuffled_by_file(spark):
+    """Neither the lines nor the parsed rows come to one task per file, whatever the table sizes."""
+    root = local(scratch_path(spark, "src"))
+    write(f"{root}/CelularesSubtraidos_2017.csv", C.REQUIRED_COLUMNS, [["2017"] * len(C.REQUIRED_COLUMNS)])
+    raw = spark.createDataFrame([("2020-05-01", "", "", "a"), ("2020-05-01", "", "", None)],
+                                "DATA_OCORRENCIA_BO string, ANO string, MES string, ARQUIVO_ORIGEM string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (SF.derive_year_month(raw), SF.read_occurrence_files(spark, root, derive_year=False)):
+            joins, shuffled = _joins(df)
+            assert joins and not shuffled
+        assert sorted((r["ARQUIVO_ORIGEM"] or "", r["ANO"]) for r in SF.derive_year_month(raw).collect()) == [("", ""), ("a", "2020")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
