@@ -29,6 +29,10 @@ NULL_TOKENS = ["NULL", "N/D", ""]
 MIN_DATE_STRING = "1900-01-01"
 # Date formats tried in order.
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy"]
+# The same as patterns: the last is brought to the form of the others. Years may be 0 or negative (with
+# four digits or more), as in the parser of these formats; times end at 23:59:59.
+DAY_FIRST_DATE = r"^([0-9]{2})/([0-9]{2})/([0-9]{4})\z"
+ISO_DATE = r"^((?:[0-9]{4}|-(?!0+-)[0-9]{4,6})-[0-9]{2}-[0-9]{2})(?: (?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9])?\z"
 # Hour text must start like H:MM or HH:MM.
 HOUR_PATTERN = r"^\d{1,2}:\d{2}"
 HOUR_CAPTURE = r"^(\d{1,2}):\d{2}"  # the same, with the hour captured

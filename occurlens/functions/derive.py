@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,12 +21,26 @@ def crime_type(rubrica: Column | str) -> Column:
     return out.otherwise(C.CRIME_OTHER)
 
 
+def _has(up: Column, pattern: str) -> Column:
+    """``rlike`` on upper-cased text. A pattern of plain words, which ignores case in ASCII, is a
+    byte search for each; another's regex runs only where its longest plain word occurs."""
+    words = pattern.removeprefix("(?i)").strip("()").split("|")
+    out = None
+    for word in words:
+        plain = max(re.findall(r"(?<![\\\[])[a-z]+", word), key=len).upper()
+        cond = up.contains(plain)
+        if plain != word.upper():
+            cond = cond & up.rlike(f"(?i){word}")
+        out = cond if out is None else out | cond
+    return out
+
+
 def brand(marca: Column | str) -> Column:
     """First brand pattern that matches the upper-cased text, else 'Outras'."""
     up = F.upper(F.trim(_col(marca)))
     out = None
     for pattern, label in C.BRAND_RULES:
-        cond = up.rlike(pattern)
+        cond = _has(up, pattern)
         out = F.when(cond, label) if out is None else out.when(cond, label)
     return out.otherwise(C.BRAND_OTHER)
 

@@ -18,6 +18,7 @@ from ..functions import (
     brand, clean_text, crime_type, normalize_bairro, parse_date, parse_hour, period,
     tolerant_double, tolerant_int,
 )
+from ..session import compiled_stages
 
 DATE_FILTER_MODES = ("compat", "parsed")
 
@@ -126,6 +127,7 @@ def clean(raw: DataFrame, years: int | Iterable[int] | None = None,
     ``require_municipality`` also drops rows without a municipality (the
     specification's cleaning rule; by default only the municipality KPI
     drops them)."""
+    compiled_stages(raw.sparkSession)
     df = filter_valid_dates(filter_years(raw, years), date_mode)
     if valid_rows is not None:
         df = df.observe(valid_rows, F.count(F.lit(1)).alias("rows"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table_path
+from ..session import compiled_stages, table_path
 
 # The projection that defines the fixture (one SQL expression
 # per raw column, in raw column order).
@@ -119,6 +119,7 @@ def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) ->
     join key. ``nation`` has a fixed 25 rows, so it is broadcast outright.
     Only the referenced columns are read (pruned ReadSchema).
     """
+    compiled_stages(spark)
     lineitem = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select(

@@ -99,3 +99,51 @@ def test_tolerant_int_is_no_float_cast(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r.v for r in df.select("i", tolerant_int("t").alias("v")).orderBy("i").collect()]
     assert got == [12, 12, -7, 2024, 7, 0, None, None, None, None, None, None, None, 3, None, None]
+
+
+def test_date_is_what_the_formats_parse(spark):
+    """Against Spark's own parser, format by format."""
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from occurlens import constants as C
+
+    dates = [f"{y}-{m}-{d}" for y, m, d in product(["0000", "0001", "1900", "2019", "2020", "9999", "20200", "+2020", "-2020", "-0000", "-00000", "-20200", "-120200", "20", "020"],
+                                                   ["00", "02", "2", "12", "13"], ["00", "1", "28", "29", "30", "31", "32"])]
+    turned = ["/".join(reversed(x.split("-"))) for x in dates]
+    times = [f"2020-02-28{sep}{t}" for sep in (" ", "T", "  ") for t in ("00:00:00", "23:59:59", "24:00:00", "12:60:00", "12:00:60", "1:00:00", "12:00", "12:00:00.0")]
+    odd = ["", " ", "NULL", "2020-02-28 ", " 2020-02-28", "2020-02-28\n", "28/02/2020\n", "28/02/2020 00:00:00", "2020/02/28", "28-02-2020",
+           "２０２０-02-28", "2020-02-28Z", "2020-02", "2020", None]
+    df = spark.createDataFrame([(x,) for x in dates + turned + times + odd], "x string")
+    old = F.coalesce(*[F.try_to_date("x", f) for f in C.DATE_FORMATS])
+    rows = df.select("x", FN.parse_date("x").cast("string").alias("got"), old.cast("string").alias("want")).collect()
+    assert [r for r in rows if r["got"] != r["want"]] == []
+    assert sum(r["got"] is not None for r in rows) > 30
+
+
+def test_brand_is_what_the_patterns_match(spark):
+    from pyspark.sql import functions as F
+
+    from occurlens import constants as C
+
+    values = ["apple", " iPhone 12", "i-phone", "I PHONE", "i  phone", "iphon", "phone", "Galaxy", "samsung", "motorola", "Moto G", "MOTO", "moto-g", "motog",
+              "LG", "lg k10", "LGK10", "lgé", "algo", "x lg", "xiaomi", "POSITIVO", "lenovo", "asus", "nokia", "huawei", "tcl", "realme", "oppo",
+              "multilaser", "APPLE (capa samsung)", "ıphone", "K", "", None]
+    df = spark.createDataFrame([(x,) for x in values], "x string")
+    want = F.lit(C.BRAND_OTHER)
+    for pattern, label in reversed(C.BRAND_RULES):
+        want = F.when(F.upper(F.trim("x")).rlike(pattern), label).otherwise(want)
+    rows = df.select("x", FN.brand("x").alias("got"), want.alias("want")).collect()
+    assert [r for r in rows if r["got"] != r["want"]] == []
+
+
+def test_clean_stages_are_compiled(spark):
+    """The limit on generated methods holds in a session that has no settings of its own."""
+    from occurlens.operators.clean import clean
+    from occurlens.schema import RAW_COLUMNS
+
+    own = spark.newSession()
+    own.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    clean(own.createDataFrame([], ", ".join(f"{c} string" for c in RAW_COLUMNS)))
+    assert own.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
