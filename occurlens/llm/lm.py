@@ -44,8 +44,8 @@ from .common import LOWER, SLICE_BYTES, Texts, Words, bound_batches, mix, text_s
 
 ORDER = 3
 CONCENTRATION = 5.0
-BLOCK_BYTES = 2 * SLICE_BYTES   # text of a block (a single longer text is a block of its own)
-SHARD_BYTES = 2 * BLOCK_BYTES   # text per shard: a shard's share of the n-grams stays as large however much there is
+BLOCK_BYTES = SLICE_BYTES       # text of a block (a single longer text is a block of its own); a worker holds many times that
+SHARD_BYTES = 4 * SLICE_BYTES   # text per shard: a shard's share of the n-grams stays as large however much there is
 MAX_BLOCKS = 100_000            # beyond, blocks grow with the corpus, so that blocks x shards stays bounded
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
