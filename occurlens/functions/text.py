@@ -25,8 +25,8 @@ def fold_accents(c: Column | str) -> Column:
 def normalize_bairro(c: Column | str) -> Column:
     """Fold accents, upper-case, expand abbreviations; null stays null.
 
-    The regex chain runs only on names that contain one of the abbreviations
-    as a substring (plain byte searches first); others pass unchanged."""
+    The regex chain runs only on names that hold one of the abbreviations as a word (plain byte
+    searches first, then one regex for all of them); others pass unchanged."""
     base = F.upper(fold_accents(c))
     out = base
     for pattern, expansion in C.ABBREVIATIONS:
@@ -35,4 +35,5 @@ def normalize_bairro(c: Column | str) -> Column:
     maybe = base.contains(words[0])
     for w in words[1:]:
         maybe = maybe | base.contains(w)
-    return F.when(maybe, out).otherwise(base)
+    held = base.rlike("|".join(p for p, _ in C.ABBREVIATIONS))
+    return F.when(maybe & held, out).otherwise(base)

@@ -7,7 +7,9 @@ from occurlens.operators import kpis as K
 from occurlens.operators.clean import clean
 from occurlens.plans import pipeline as PL
 from occurlens.plans.queries import REGISTRY
+from occurlens.schema import KPI_SCHEMAS
 from occurlens.session import scratch_path
+from occurlens.sources.fixture import raw_from_tables
 from conftest import SF_SMALL
 
 
@@ -126,3 +128,21 @@ def test_normalize_bairro_can_be_stored(spark):
     stored = case_sensitive(spark).read.parquet(path)
     assert stored.columns == ["BAIRRO", "bairro"] and sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
     assert spark.conf.get("spark.sql.caseSensitive") == before
+
+
+def test_refresh_query_joins_the_tables_once(spark, monkeypatch):
+    """Both runs of the refresh query read one stored raw table."""
+    seen = []
+
+    def run_pipeline(spark, layout, raw):
+        seen.append(raw)
+
+    monkeypatch.setattr(PL, "run_pipeline", run_pipeline)
+    monkeypatch.setattr(PL, "ingest", lambda raw, layout: seen.append(raw))
+    monkeypatch.setattr(PL, "refresh_years", lambda *a: None)
+    monkeypatch.setattr("occurlens.sinks.tables.read_kpis", lambda *a: {t: spark.createDataFrame([], s) for t, s in KPI_SCHEMAS.items()})
+    REGISTRY["kpi_refresh_year"][0](spark, SF_SMALL)
+    assert len(seen) == 2 and all("Join" not in optimized(df) for df in seen)
+    stored, fixture = seen[1], raw_from_tables(spark, SF_SMALL)
+    assert stored.schema.names == fixture.schema.names
+    assert stored.exceptAll(fixture).isEmpty() and fixture.exceptAll(stored).isEmpty()
