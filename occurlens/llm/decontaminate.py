@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (ALNUM, MASK, Texts, Words, bound_batches, list_array, mix, signed, split_by, text_of, text_slices,
+from .common import (ALNUM, MASK, WORD_SLICE_BYTES, Texts, Words, bound_batches, list_array, mix, signed, split_by, text_of, text_slices,
                      with_row_id, written)
 
 WINDOW = 10
@@ -168,7 +168,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int, k: int, bloom_bits: int
     keep = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, f"doc.{text_col}"):
+        for part in text_slices(batches, f"doc.{text_col}", WORD_SLICE_BYTES):
             texts = Texts(text_of(part, f"doc.{text_col}"))
             words = Words(texts, ALNUM)
             doc = pa.StructArray.from_arrays([text_of(part, f"doc.{c}") for c in keep], keep)

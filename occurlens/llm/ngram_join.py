@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed, split_by, text_of,
+from .common import (LOWER, WORD_SLICE_BYTES, Texts, Words, bound_batches, list_array, mix, sequence_hash, signed, split_by, text_of,
                      text_slices, with_row_id, written)
 from .components import components, with_lowest
 
@@ -101,7 +101,7 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int, text_col: str, id_col
     rowed = with_row_id(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, f"doc.{text_col}"):
+        for part in text_slices(batches, f"doc.{text_col}", WORD_SLICE_BYTES):
             texts = Texts(text_of(part, f"doc.{text_col}"))
             grams, counts = gram_sets(texts, n)
             total = np.concatenate(([np.uint64(0)], np.cumsum(mix(grams), dtype=np.uint64)))

@@ -10,6 +10,7 @@ import tiktoken
 
 import __spark_entry__
 import corpus_pipeline
+from occurlens.llm import decontaminate, ngram_join, quality_rules
 from occurlens.llm.queries import BPE_RANKS
 from test_ngram_join import brute
 
@@ -99,3 +100,31 @@ def test_whole_run_against_brute_force(spark, tmp_path):
     assert {8, 11} <= set(want) and not {14, 17} & set(want) and 2 in want and 5 not in want
     got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "ids").collect()
     assert len(got) == len(want) and {r.doc_id: r.ids for r in got} == want
+
+
+@pytest.mark.parametrize("step", ["quality", "near_duplicates", "decontamination"])
+def test_word_steps_work_in_small_slices(spark, monkeypatch, step):
+    """What a worker holds at once follows a slice of 1 MB of text, not an Arrow batch."""
+    module = {"quality": quality_rules, "near_duplicates": ngram_join, "decontamination": decontaminate}[step]
+    docs = spark.createDataFrame([(i, f"word{i} " * 9000, "en", "s", 0) for i in range(50)], SCHEMA)
+    items = spark.createDataFrame([(0, "f", 1, 0)], "item_id long, kind string, hash long, size int")
+    calls, held, cut = [], [], module.text_slices
+
+    def slices(*args, **options):
+        for part in cut(*args, **options):
+            held.append(part.num_rows)
+            yield part
+
+    def step_of(df, f, schema):
+        calls.append((f, df.toArrow()))
+        return df
+
+    monkeypatch.setattr(type(docs), "mapInArrow", step_of)
+    monkeypatch.setattr(module, "written", lambda df, name: df)
+    monkeypatch.setattr(module, "text_slices", slices)
+    {"quality": lambda: quality_rules.measure(docs),
+     "near_duplicates": lambda: ngram_join.sketch(docs, 5, 24, 5, "text", "doc_id"),
+     "decontamination": lambda: decontaminate.scan(docs, items, 10, 5, 12, "text")}[step]()
+    (run, table), = calls
+    rows = sum(out.num_rows for out in run(iter(table.combine_chunks().to_batches())))
+    assert rows == sum(held) == 50 and max(held) <= 20  # of 54 KB each
