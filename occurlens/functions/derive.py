@@ -12,8 +12,9 @@ from .casts import _col
 
 
 def crime_type(rubrica: Column | str) -> Column:
-    """'Roubo' if the text mentions robbery, else 'Furto' for theft, else 'Outros'."""
-    low = F.lower(_col(rubrica))
+    """'Roubo' if the text mentions robbery, else 'Furto' for theft, else 'Outros' (null text too: read
+    as empty, it needs no null checks in the generated code)."""
+    low = F.lower(F.coalesce(_col(rubrica), F.lit("")))
     out = None
     for needle, label in C.CRIME_RULES:
         cond = low.contains(needle)
@@ -36,8 +37,9 @@ def _has(up: Column, pattern: str) -> Column:
 
 
 def brand(marca: Column | str) -> Column:
-    """First brand pattern that matches the upper-cased text, else 'Outras'."""
-    up = F.upper(F.trim(_col(marca)))
+    """First brand pattern that matches the upper-cased text, else 'Outras' (null text too: read as
+    empty, it needs no null checks in the generated code of each word)."""
+    up = F.upper(F.trim(F.coalesce(_col(marca), F.lit(""))))
     out = None
     for pattern, label in C.BRAND_RULES:
         cond = _has(up, pattern)

@@ -484,10 +484,24 @@ def load_report(spark, sf_dir):
     return SK.load_report(spark, report.loads)
 
 
+SLICE_BYTES, MAX_SLICES = 1 << 30, 64
+
+
+def _slices(df: DataFrame) -> int:
+    """Slices of about SLICE_BYTES of the files that ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(MAX_SLICES, max(1, -(-size // SLICE_BYTES)))
+
+
 def _stored(raw: DataFrame) -> DataFrame:
-    """``raw`` written once: its uses read it instead of joining the large tables each time."""
-    path = scratch_path(raw.sparkSession, "raw")
-    raw.write.parquet(path)
+    """``raw`` written once: its uses read it instead of joining the large tables each time. Large
+    tables are joined slice after slice of the reports' numbers (the filter reaches the scans that
+    have the number), so the disk holds the shuffled rows of one slice, not of all."""
+    path, n = scratch_path(raw.sparkSession, "raw"), _slices(raw)
+    for i in range(n):
+        mine = raw.filter(F.pmod(F.xxhash64("NUM_BO"), F.lit(n)) == i) if n > 1 else raw
+        SK.write_partitioned(mine, path, mode="append")
     return raw.sparkSession.read.schema(raw.schema).parquet(path)
 
 

@@ -117,22 +117,23 @@ def raw_from_tables(spark: SparkSession, sf_dir: str, extended: bool = False) ->
     Joins are left to the optimizer: AQE broadcasts a side only when its
     measured size is under the broadcast threshold, else it shuffles on the
     join key. ``nation`` has a fixed 25 rows, so it is broadcast outright.
-    Only the referenced columns are read (pruned ReadSchema).
+    Only the referenced columns are read (pruned ReadSchema), and the shuffles carry
+    days instead of times, and neither the dates' texts nor the nation's name: those are made after them.
     """
     compiled_stages(spark)
     lineitem = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date")))
     orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
 
-    lo = (lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-          .selectExpr("*", *ORDER_DATE_PARTS))
+    lo = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
     joined = (lo.join(customer, lo.o_custkey == customer.c_custkey)
+              .join(part, lo.l_partkey == part.p_partkey)
               .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
-              .join(part, lo.l_partkey == part.p_partkey))
+              .selectExpr("*", *ORDER_DATE_PARTS))
     return joined.selectExpr(*RAW_EXPRESSIONS, *(EXTRA_EXPRESSIONS if extended else []))
 
 

@@ -1,6 +1,8 @@
 """Pipeline: one commit for all eight tables, failures leave the published state, exact
 year replacement, restart, rollback, dry run, health check, sinks."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from occurlens import constants as C
 from occurlens.operators import views as V
 from occurlens.plans import pipeline as PL
 from occurlens.schema import KPI_TABLES
-from occurlens.session import scratch_path
+from occurlens.session import held_settings, scratch_path
 from occurlens.sinks import tables as SK
 from occurlens.sinks import versions as VS
 
@@ -198,6 +200,61 @@ def test_files_follow_bytes_not_tasks(spark, few):
     assert PL.read_raw(spark, out).count() == few.count()
 
 
+def _shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_shuffle_files_go_when_a_write_ends(spark, few):
+    """Not when the driver collects its garbage; the session's settings are as before."""
+    before = _shuffle_files(spark)
+    PL.ingest(few.repartition(3), PL.Layout(scratch_path(spark, "freed")))
+    until = time.time() + 30  # they are removed in the background
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP, None) is None
+
+
+def test_rows_straight_from_files_are_not_shuffled(spark, few):
+    """Raw from files and clean from raw: no shuffle file (kept here by the session's own setting). With
+    more years than a task keeps writers for, every row is stored too."""
+    path, out = scratch_path(spark, "source"), PL.Layout(scratch_path(spark, "direct"))
+    years = few.unionByName(few.limit(100).withColumn("ANO", (F.monotonically_increasing_id() % 40 + 1950).cast("string")))
+    years.coalesce(4).write.parquet(path)
+    raw = spark.read.schema(few.schema).parquet(path)
+    spark.conf.set(CLEANUP, "false")
+    try:
+        before = _shuffle_files(spark)
+        n = SK.write_partitioned(raw, f"{out.root}/alone", "ANO", balanced=True)
+        assert not _shuffle_files(spark) - before
+        assert spark.conf.get(CLEANUP) == "false"
+    finally:
+        spark.conf.unset(CLEANUP)
+    assert n == raw.count() and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
+    assert PL.ingest(raw, out) == n
+    stored = PL.read_raw(spark, out).select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns])
+    blank = raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns])
+    assert stored.exceptAll(blank).isEmpty() and blank.exceptAll(stored).isEmpty()
+    assert SK.scans_files_only(PL.clean_step(PL.read_raw(spark, out)))
+    assert not SK.scans_files_only(raw.repartition(2)) and not SK.scans_files_only(few.checkpoint(eager=True))
+
+
+def test_held_settings_may_overlap(spark):
+    key, own = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.shuffle.partitions"
+    had = spark.conf.get(own)
+    a, b = held_settings(spark, {key: "3", own: "77"}), held_settings(spark, {key: "3"})
+    a.__enter__()
+    b.__enter__()
+    a.__exit__(None, None, None)
+    assert spark.conf.get(key) == "3" and spark.conf.get(own) == had
+    b.__exit__(None, None, None)
+    assert spark.conf.get(key, None) is None and spark.conf.get(own) == had
+
+
 def test_null_key_rows_go_aside_and_are_counted(spark, few, layout):
     folder = VS.current(spark, layout.root).kpis
     aside = spark.read.parquet(f"{folder}/sem_chave/{C.KPI_ANNUAL}")

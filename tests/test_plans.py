@@ -1,5 +1,7 @@
 """Plan checks: pruning, pushdown, top-N as WindowGroupLimit, no Python."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from occurlens.operators import extras as X
@@ -146,3 +148,42 @@ def test_refresh_query_joins_the_tables_once(spark, monkeypatch):
     stored, fixture = seen[1], raw_from_tables(spark, SF_SMALL)
     assert stored.schema.names == fixture.schema.names
     assert stored.exceptAll(fixture).isEmpty() and fixture.exceptAll(stored).isEmpty()
+
+
+def test_stored_raw_is_joined_slice_after_slice(spark, monkeypatch):
+    """Every row once, whatever the slices; a slice's filter reaches both scans that have the number."""
+    from occurlens.plans import queries as Q
+    from occurlens.schema import RAW_SCHEMA
+
+    raw = raw_from_tables(spark, SF_SMALL)
+    assert Q._slices(raw) == 1
+    size = sum(os.path.getsize(f"{SF_SMALL}/{t}.parquet") for t in ("lineitem", "orders", "customer", "nation", "part"))
+    monkeypatch.setattr(Q, "SLICE_BYTES", -(-size // 3))
+    assert Q._slices(raw) == 3
+    writes, real = [], Q.SK.write_partitioned
+    monkeypatch.setattr(Q.SK, "write_partitioned", lambda df, *a, **k: writes.append(df) or real(df, *a, **k))
+    stored = Q._stored(raw)
+    assert len(writes) == 3 and stored.dtypes == raw.dtypes
+    assert stored.exceptAll(raw).isEmpty() and raw.exceptAll(stored).isEmpty()
+    for df in writes:
+        scans = [x for x in plan(df).splitlines() if "Filter" in x and "xxhash64" in x and "FileScan" not in x]
+        assert len(scans) == 2 and "l_orderkey" in scans[0] + scans[1] and "o_orderkey" in scans[0] + scans[1]
+    odd = spark.createDataFrame([tuple(n if c == "NUM_BO" else "x" for c in RAW_SCHEMA.names) for n in (None, None, "7", "7", "a")], RAW_SCHEMA)
+    path = scratch_path(spark, "odd")
+    odd.write.parquet(path)
+    odd = spark.read.schema(RAW_SCHEMA).parquet(path)
+    monkeypatch.setattr(Q, "SLICE_BYTES", 1)
+    assert sorted(map(str, Q._stored(odd).collect())) == sorted(map(str, odd.collect())) and len(writes) == 3 + Q.MAX_SLICES
+
+
+def test_joins_shuffle_no_texts_made_from_them(spark):
+    """The dates' texts and the nation's name are made above the joins, not carried through their shuffles."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(raw_from_tables(spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    first = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
+    own = [x for x in lines[first:] if "Project [" in x]
+    assert own and not any("lpad" in x or "n_name" in x for x in own)
